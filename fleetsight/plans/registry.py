@@ -82,3 +82,403 @@ def model_failure_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annualised failure rate per model from raw telemetry."""
     cleaned = cleaned_c1(spark, sf_dir, zscores=False)
     return reports.model_failure_summary(features.add_entity_age(cleaned, SPEC), SPEC)
+
+
+# ---- SQL building blocks ------------------------------------------------------------------------
+_C1_CLEAN = O.with_ctes(O.C1_TELEMETRY, O.clean_ctes(SPEC, zscores=True))
+_C1_CLEAN_NOZ = O.with_ctes(O.C1_TELEMETRY, O.clean_ctes(SPEC, zscores=False))
+_C1_FEATURES = _C1_CLEAN + "," + O.feature_ctes(SPEC, "cleaned")
+_Z = [m.zscore for m in SPEC.metrics]
+_TRENDS = SPEC.trend_columns
+_COUNTERS = SPEC.error_counters
+_KEY = "serial_number, model, date"
+
+
+def _q(cols) -> str:
+    return ", ".join(cols)
+
+
+# ---- SC3 / U1 -----------------------------------------------------------------------------------
+def _drifted_pair(spark: SparkSession, sf_dir: str):
+    t = fixtures.telemetry_c1(spark, sf_dir)
+    from pyspark.sql import functions as F
+
+    # batch A: one column missing, one extra, a non-numeric marker; batch B: columns reversed
+    a_cols = []
+    for c in t.columns:
+        if c == "smart_9_raw":
+            continue
+        if c == "smart_188_raw":
+            a_cols.append(F.when(F.col(c) == 0, F.lit("n/a")).otherwise(F.col(c).cast("string")).alias(c))
+        else:
+            a_cols.append(F.col(c).cast("string").alias(c))
+    a = t.select(*a_cols, F.lit("dc-1").alias("datacenter"))
+    b = t.select(*[F.col(c).cast("string").alias(c) for c in reversed(t.columns)])
+    return a, b
+
+
+@register(
+    "conform_schema",
+    O.with_ctes(O.C1_TELEMETRY)
+    + """
+SELECT * REPLACE (CAST(NULL AS BIGINT) AS smart_9_raw,
+                  CASE WHEN smart_188_raw = 0 THEN NULL ELSE smart_188_raw END AS smart_188_raw)
+FROM telemetry
+UNION ALL
+SELECT * FROM telemetry""",
+)
+def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC3 + U1: two drifted string batches conformed to the target schema and unioned."""
+    from fleetsight.sources.conform import conform_to_schema, union_all
+
+    a, b = _drifted_pair(spark, sf_dir)
+    return union_all([conform_to_schema(a, SPEC.schema()), conform_to_schema(b, SPEC.schema())])
+
+
+# ---- P1-P5 / A16 --------------------------------------------------------------------------------
+@register(
+    "clean_drive_days",
+    _C1_CLEAN_NOZ + "\nSELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM cleaned",
+)
+def clean_drive_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised names, valid rows, one row per drive-day, year / month."""
+    return clean.with_date_partitions(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+
+
+# ---- A1 / P6 / P7 / J1 --------------------------------------------------------------------------
+@register(
+    "model_statistics",
+    O.rounded(
+        _C1_CLEAN_NOZ
+        + "\nSELECT model, "
+        + _q([f"avg({c}) AS {c}_model_mean" for c in SPEC.raw_columns])
+        + ", "
+        + _q([f"stddev_samp({c}) AS {c}_model_stddev" for c in SPEC.raw_columns])
+        + " FROM cleaned GROUP BY model",
+        [f"{c}_model_mean" for c in SPEC.raw_columns] + [f"{c}_model_stddev" for c in SPEC.raw_columns],
+    ),
+)
+def model_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: per-model mean and sample standard deviation of the 7 readings."""
+    return clean.group_statistics(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+
+
+@register("model_zscores", O.rounded(_C1_CLEAN + "\nSELECT * FROM cleaned", _Z))
+def model_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z-scores within model (checked broadcast of the statistics) and reported flags."""
+    return cleaned_c1(spark, sf_dir, zscores=True)
+
+
+# ---- W1-W4 / W7 ---------------------------------------------------------------------------------
+@register(
+    "drive_age",
+    _C1_CLEAN_NOZ
+    + """
+SELECT serial_number, model, date, first_seen, CAST(date_diff('day', first_seen, date) AS INTEGER) AS age_days
+FROM (SELECT *, min(date) OVER (PARTITION BY model, serial_number) AS first_seen FROM cleaned)""",
+)
+def drive_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen date and age in days."""
+    out = features.add_entity_age(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+    return out.select("serial_number", "model", "date", "first_seen", "age_days")
+
+
+def _trend_sql(frame: str) -> str:
+    part = "PARTITION BY model, serial_number ORDER BY date"
+    cols = []
+    for m in SPEC.metrics:
+        for n in SPEC.trend_rows:
+            bound = f"ROWS BETWEEN {n} PRECEDING" if frame == "rows" else f"RANGE BETWEEN INTERVAL {n} DAYS PRECEDING"
+            cols.append(f"avg({m.raw}) OVER ({part} {bound} AND CURRENT ROW) AS {m.trend(n)}")
+    return O.rounded(_C1_CLEAN_NOZ + f"\nSELECT {_KEY}, {_q(cols)} FROM cleaned", _TRENDS)
+
+
+@register("metric_trends", _trend_sql("rows"))
+def metric_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing 8-row and 31-row means of the 7 readings."""
+    out = features.add_metric_trends(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+    return out.select("serial_number", "model", "date", *_TRENDS)
+
+
+@register("metric_trends_days", _trend_sql("days"))
+def metric_trends_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 (calendar option): trailing 7-day and 30-day means by date range, not rows."""
+    spec = SPEC.with_(trend_frame="days")
+    out = features.add_metric_trends(cleaned_c1(spark, sf_dir, zscores=False), spec)
+    return out.select("serial_number", "model", "date", *_TRENDS)
+
+
+@register(
+    "failure_labels",
+    _C1_CLEAN_NOZ
+    + """,
+f AS (SELECT *, max(CASE WHEN failure = 1 THEN date END) OVER (PARTITION BY model, serial_number) AS failure_date FROM cleaned)
+SELECT serial_number, model, date, failure, failure_date,
+       CAST(date_diff('day', date, failure_date) AS INTEGER) AS days_until_failure,
+       CASE WHEN date_diff('day', date, failure_date) BETWEEN 0 AND 30 THEN 1 ELSE 0 END AS failure_label
+FROM f""",
+)
+def failure_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last failure date per drive, days until it, 30-day pre-failure label."""
+    out = features.add_failure_labels(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+    return out.select("serial_number", "model", "date", "failure", "failure_date", "days_until_failure", "failure_label")
+
+
+@register(
+    "metric_deltas",
+    _C1_CLEAN_NOZ
+    + f"\nSELECT {_KEY}, "
+    + _q(
+        [
+            f"{m.raw} - lag({m.raw}, {k}) OVER (PARTITION BY model, serial_number ORDER BY date) AS {name}"
+            for m in SPEC.metrics
+            for k, name in ((1, m.daily_delta), (7, m.weekly_increase))
+        ]
+    )
+    + " FROM cleaned",
+)
+def metric_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change against the previous reading and against the reading 7 rows back."""
+    out = features.add_metric_deltas(cleaned_c1(spark, sf_dir, zscores=False), SPEC)
+    cols = [c for m in SPEC.metrics for c in (m.daily_delta, m.weekly_increase)]
+    return out.select("serial_number", "model", "date", *cols)
+
+
+_ESPEC = fixtures.EVENT_SPEC
+
+
+@register(
+    "generic_device_features",
+    O.rounded(
+        O.with_ctes(O.C4_EVENTS, O.clean_ctes(_ESPEC, zscores=True), O.feature_ctes(_ESPEC, "cleaned"))
+        + "\nSELECT * FROM features",
+        ["value", "value_model_zscore", *_ESPEC.trend_columns],
+    ),
+)
+def generic_device_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same clean + feature operators on a second shape (user events as devices)."""
+    raw = fixtures.event_devices_c4(spark, sf_dir)
+    return features.build_features(clean.clean_telemetry(raw, _ESPEC), _ESPEC)
+
+
+# ---- A2 / A9 ------------------------------------------------------------------------------------
+_DAILY_SQL = """,
+daily AS (
+  SELECT date, count(DISTINCT serial_number) AS drive_count,
+         CAST(sum(failure) AS BIGINT) AS failure_count,
+         CAST(sum(failure_label) AS BIGINT) AS at_risk_count,
+         avg(age_days) AS mean_age_days, avg(smart_194_raw) AS mean_temperature_celsius,
+         CAST(sum(failure) AS BIGINT) / count(DISTINCT serial_number) * 100 AS failure_rate_pct,
+         CAST(sum(failure_label) AS BIGINT) / count(DISTINCT serial_number) * 100 AS at_risk_rate_pct
+  FROM features GROUP BY date
+)"""
+_DAILY_DOUBLES = ["mean_age_days", "mean_temperature_celsius", "failure_rate_pct", "at_risk_rate_pct"]
+
+
+@register("daily_fleet_health", O.rounded(_C1_FEATURES + _DAILY_SQL + "\nSELECT * FROM daily", _DAILY_DOUBLES))
+def daily_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: daily drives, failures, at-risk rows, mean age and temperature, rates."""
+    return reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC)
+
+
+@register(
+    "weekly_fleet_health",
+    O.rounded(
+        _C1_FEATURES
+        + _DAILY_SQL
+        + """
+SELECT date - CAST(dayofweek(date) AS INTEGER) AS week,
+       CAST(sum(failure_count) AS BIGINT) AS failures,
+       round(avg(drive_count)) AS avg_drives,
+       round(sum(failure_count) / avg(drive_count) * 100, 4) AS weekly_failure_rate_pct
+FROM daily GROUP BY 1""",
+        ["avg_drives", "weekly_failure_rate_pct"],
+    ),
+)
+def weekly_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly rollup with weeks starting on Sunday."""
+    return reports.weekly_fleet_health(reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC), SPEC)
+
+
+# ---- A3 + P21 + T2 ------------------------------------------------------------------------------
+_SUMMARY_SQL = """,
+summary AS (
+  SELECT model, count(DISTINCT serial_number) AS drive_count, count(*) AS drive_days,
+         CAST(sum(failure) AS BIGINT) AS failure_count, avg(capacity_bytes) / 1e12 AS mean_capacity_tb,
+         avg(CASE WHEN failure = 1 THEN age_days END) AS mean_age_at_failure_days,
+         avg(smart_194_raw) AS mean_temperature_celsius,
+         CAST(sum(failure) AS BIGINT) / (count(*) / 365.0) * 100 AS annualized_failure_rate_pct
+  FROM features GROUP BY model
+)"""
+TOP_MODELS_MIN_DRIVES = 4  # the fixture fleet is small; the report's own default is 100
+
+
+@register(
+    "top_models_by_afr",
+    O.rounded(
+        _C1_FEATURES
+        + _SUMMARY_SQL
+        + f"""
+SELECT model, drive_count, drive_days, failure_count, annualized_failure_rate_pct,
+       round(annualized_failure_rate_pct, 2) AS afr_pct, round(mean_capacity_tb, 1) AS capacity_tb,
+       round(mean_age_at_failure_days) AS mean_age_at_failure_days
+FROM summary WHERE drive_count >= {TOP_MODELS_MIN_DRIVES}
+ORDER BY annualized_failure_rate_pct DESC NULLS LAST, model LIMIT 25""",
+        ["annualized_failure_rate_pct", "afr_pct", "capacity_tb", "mean_age_at_failure_days"],
+    ),
+)
+def top_models_by_afr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + P21 + T2: the 25 models with the highest annualised failure rate."""
+    summary = reports.model_failure_summary(features_c1(spark, sf_dir), SPEC)
+    return reports.top_models_by_afr(summary, min_drives=TOP_MODELS_MIN_DRIVES, k=25, spec=SPEC)
+
+
+# ---- U2 / A4 / A12 ------------------------------------------------------------------------------
+_LONG_SQL = (
+    """,
+long AS ("""
+    + "\n  UNION ALL\n".join(
+        f"  SELECT {m.id} AS attribute_id, '{m.name}' AS attribute_name, "
+        f"CASE WHEN failure_label = 1 THEN 'pre_failure' ELSE 'healthy' END AS cohort, "
+        f"{m.zscore} AS zscore, CAST({m.reported} AS DOUBLE) AS reported, {m.trend(30)} AS trend_30d FROM features"
+        for m in SPEC.metrics
+    )
+    + "\n)"
+)
+_SIGNAL_SQL = """,
+signal AS (
+  SELECT attribute_id, attribute_name, cohort, count(*) AS row_count, avg(reported) AS reported_share,
+         avg(zscore) AS mean_zscore, quantile_disc(zscore, 0.5) AS median_zscore,
+         quantile_disc(zscore, 0.95) AS p95_zscore, avg(trend_30d) AS mean_trend_30d
+  FROM long GROUP BY attribute_id, attribute_name, cohort
+)"""
+
+
+@register("metric_unpivot", O.rounded(_C1_FEATURES + _LONG_SQL + "\nSELECT * FROM long", ["zscore", "reported", "trend_30d"]))
+def metric_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 7 metrics unpivoted into rows in one pass."""
+    return reports.metric_unpivot(features_c1(spark, sf_dir), SPEC)
+
+
+@register(
+    "metric_failure_signal",
+    O.rounded(
+        _C1_FEATURES + _LONG_SQL + _SIGNAL_SQL + "\nSELECT * FROM signal",
+        ["reported_share", "mean_zscore", "median_zscore", "p95_zscore", "mean_trend_30d"],
+    ),
+)
+def metric_failure_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + P8: per metric and cohort: rows, reported share, mean / median / p95 z, mean trend."""
+    return reports.metric_failure_signal(features_c1(spark, sf_dir), SPEC)
+
+
+@register(
+    "signal_gap",
+    _C1_FEATURES
+    + _LONG_SQL
+    + _SIGNAL_SQL
+    + """
+SELECT attribute_id, attribute_name,
+       round(max(CASE WHEN cohort = 'healthy' THEN mean_zscore END), 3) AS healthy_mean_z,
+       round(max(CASE WHEN cohort = 'pre_failure' THEN mean_zscore END), 3) AS pre_failure_mean_z,
+       round(max(CASE WHEN cohort = 'pre_failure' THEN mean_zscore END)
+             - max(CASE WHEN cohort = 'healthy' THEN mean_zscore END), 3) AS gap,
+       round(max(CASE WHEN cohort = 'pre_failure' THEN p95_zscore END), 3) AS pre_failure_p95_z,
+       round(max(CASE WHEN cohort = 'healthy' THEN reported_share END), 3) AS reported_share
+FROM signal GROUP BY attribute_id, attribute_name ORDER BY gap DESC NULLS LAST, attribute_id""",
+)
+def signal_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 + T7: cohort pivot and gap per metric."""
+    return reports.signal_gap(reports.metric_failure_signal(features_c1(spark, sf_dir), SPEC))
+
+
+# ---- W5 / P14-P17 -------------------------------------------------------------------------------
+_LATEST_SQL = """,
+latest AS (
+  SELECT * EXCLUDE (_r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY serial_number ORDER BY date DESC) AS _r FROM features
+  ) WHERE _r = 1
+)"""
+_FEATURE_DOUBLES = _Z + _TRENDS
+
+
+@register("latest_per_drive", O.rounded(_C1_FEATURES + _LATEST_SQL + "\nSELECT * FROM latest", _FEATURE_DOUBLES))
+def latest_per_drive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest feature row of every drive."""
+    return reports.latest_per_entity(features_c1(spark, sf_dir), SPEC)
+
+
+def _count_sql(conds) -> str:
+    return "(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in conds) + ")"
+
+
+_ANOM = _count_sql([f"{m.zscore} > 2.0" for m in _COUNTERS])
+_RISING = _count_sql([f"{m.raw} > 0 AND {m.trend(7)} > {m.trend(30)}" for m in _COUNTERS])
+_WATCHLIST_SQL = f""",
+wl_latest AS (
+  SELECT * EXCLUDE (_r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY serial_number ORDER BY date DESC) AS _r
+    FROM features WHERE failure_date IS NULL
+  ) WHERE _r = 1
+),
+watchlist AS (
+  SELECT serial_number, model, date AS as_of_date, age_days, smart_194_raw AS temperature_celsius,
+         {_ANOM} + {_RISING} AS risk_score, {_ANOM} AS anomalous_counter_count, {_RISING} AS rising_counter_count,
+         {_q([m.raw for m in _COUNTERS])}, {_q([m.zscore for m in _COUNTERS])}
+  FROM wl_latest WHERE {_ANOM} + {_RISING} > 0
+)"""
+
+
+@register(
+    "drive_risk_watchlist",
+    O.rounded(_C1_FEATURES + _WATCHLIST_SQL + "\nSELECT * FROM watchlist", [m.zscore for m in _COUNTERS]),
+)
+def drive_risk_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P14-P17 + W5: latest reading of never-failed drives with a positive rule score."""
+    return reports.drive_risk_watchlist(features_c1(spark, sf_dir), SPEC)
+
+
+# ---- C5: J4 / A10 / A11 / T3 / T4 ---------------------------------------------------------------
+_PRED_SQL = """,
+predictions AS (
+  SELECT serial_number, model, date, failure_label,
+         CAST(coalesce(smart_187_raw, 0) / 50.0 AS DOUBLE) AS failure_probability
+  FROM features
+)"""
+
+
+@register(
+    "riskiest_drives",
+    _C1_FEATURES
+    + _WATCHLIST_SQL
+    + _PRED_SQL
+    + """,
+p AS (SELECT serial_number, arg_max(failure_probability, date) AS failure_probability, max(date) AS prediction_date
+      FROM predictions GROUP BY serial_number)
+SELECT w.serial_number, w.model, w.as_of_date, w.age_days, w.risk_score, w.anomalous_counter_count,
+       w.rising_counter_count, w.smart_5_raw AS reallocated, w.smart_197_raw AS pending,
+       w.smart_187_raw AS uncorrectable, round(p.failure_probability, 3) AS failure_probability, p.prediction_date
+FROM watchlist w LEFT JOIN p ON p.serial_number = w.serial_number
+ORDER BY w.risk_score DESC, p.failure_probability DESC NULLS LAST, w.serial_number LIMIT 20""",
+)
+def riskiest_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + A10 + T3: watchlist with each drive's latest predicted probability, top 20."""
+    feats = features_c1(spark, sf_dir)
+    return reports.riskiest_drives(
+        reports.drive_risk_watchlist(feats, SPEC), fixtures.predictions_c5(feats), k=20, spec=SPEC
+    )
+
+
+@register(
+    "top_predicted_drives",
+    _C1_FEATURES
+    + _PRED_SQL
+    + """
+SELECT serial_number, model, max(date) AS latest_date, round(max(failure_probability), 3) AS max_probability,
+       max(failure_label) AS was_actually_pre_failure
+FROM predictions GROUP BY serial_number, model
+ORDER BY max(failure_probability) DESC NULLS LAST, serial_number, model LIMIT 20""",
+)
+def top_predicted_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 + T4: drives with the highest predicted probability, top 20."""
+    return reports.top_predicted_drives(fixtures.predictions_c5(features_c1(spark, sf_dir)), k=20, spec=SPEC)

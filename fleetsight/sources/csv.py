@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetsight.sources.conform import conform_to_schema, union_all
 
@@ -31,27 +31,59 @@ def discover_batch_files(spark: SparkSession, root: str, batches: Sequence[str]
     return sorted(r.path for r in listing.collect())
 
 
+HEADER_PROBE_BYTES = 1 << 16
+
+
+def _first_lines(batches):
+    """mapInPandas body: read only the first line of each file, on the executors."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        headers = []
+        for path in pdf["path"]:
+            uri = "file://" + path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
+            if "://" not in uri:
+                uri = "file://" + uri
+            fs, inner = pafs.FileSystem.from_uri(uri)
+            chunks = []
+            with fs.open_input_stream(inner) as stream:
+                while True:
+                    chunk = stream.read(HEADER_PROBE_BYTES)
+                    chunks.append(chunk)
+                    if not chunk or b"\n" in chunk:
+                        break
+            head = b"".join(chunks).split(b"\n", 1)[0].rstrip(b"\r")
+            headers.append(head.decode("utf-8-sig"))
+        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of each file, computed on the executors (one row per file comes back)."""
+    """First line of each file, read on the executors (a few KB per file, one row per file back).
+
+    The path list is file metadata, not data. Files on a filesystem pyarrow cannot open fall back
+    to a text scan that keeps, per file, the first line of its first split.
+    """
     if not paths:
         return {}
-    lines = (
-        spark.read.text(list(paths))
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            "value",
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    try:
+        rows = listing.mapInPandas(_first_lines, "path string, header string").collect()
+        return {r.path: r.header for r in rows}
+    except Exception:
+        lines = (
+            spark.read.text(list(paths))
+            .select(
+                F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("block_start"),
+                "value",
+            )
+            .where(F.col("block_start") == 0)
+            .withColumn("_order", F.monotonically_increasing_id())
+            .groupBy("path")
+            .agg(F.min_by("value", "_order").alias("header"))
         )
-        .where(F.col("block_start") == 0)
-        .withColumn("_order", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(F.min_by("value", "_order").alias("header"))
-    )
-    return {r.path: r.header for r in lines.collect()}
-
-
-def _normalise(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
+        return {r.path: r.header for r in lines.collect()}
 
 
 def read_csv_batches(
@@ -73,10 +105,12 @@ def read_csv_batches(
     frames = []
     for header in sorted(groups):
         raw = spark.read.option("header", True).option("inferSchema", False).csv(sorted(groups[header]))
-        conformed = conform_to_schema(raw, target)
         if with_lineage:
-            conformed = conformed.withColumn(LINEAGE_COLUMN, raw["_metadata.file_path"])
-        frames.append(conformed)
+            raw = raw.withColumn(LINEAGE_COLUMN, F.col("_metadata.file_path"))
+            fields = list(target.fields) + [StructField(LINEAGE_COLUMN, StringType(), True)]
+            frames.append(conform_to_schema(raw, StructType(fields)))
+        else:
+            frames.append(conform_to_schema(raw, target))
     if not frames:
         return None
     return union_all(frames)
