@@ -482,3 +482,408 @@ ORDER BY max(failure_probability) DESC NULLS LAST, serial_number, model LIMIT 20
 def top_predicted_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 + T4: drives with the highest predicted probability, top 20."""
     return reports.top_predicted_drives(fixtures.predictions_c5(features_c1(spark, sf_dir)), k=20, spec=SPEC)
+
+
+# ---- P9-P12 / A5 / A8 / M2 ----------------------------------------------------------------------
+from fleetsight.operators import checks, evaluation, training  # noqa: E402
+from fleetsight.streaming import scoring  # noqa: E402
+
+_MD5_BUCKET = "CAST(CAST(concat('0x', substr(md5({k}), 1, 8)) AS BIGINT) % {n} AS INTEGER)"
+
+
+def _model_rows_sql(censor: str) -> str:
+    drop = "failure_date IS NULL AND date > d - 30" if censor == "healthy_only" else "date > d - 30"
+    feats = [
+        f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in SPEC.feature_columns()
+    ]
+    return f""",
+last_day AS (SELECT max(date) AS d FROM features),
+model_rows AS (
+  SELECT serial_number, model, date, CAST(failure_label AS DOUBLE) AS failure_label, {_q(feats)},
+         {_MD5_BUCKET.format(k='serial_number', n=100)} AS split_bucket
+  FROM features, last_day WHERE NOT ({drop})
+)"""
+
+
+_ROW_DOUBLES = ["failure_label", *SPEC.feature_columns()]
+
+
+@register(
+    "model_rows",
+    O.rounded(_C1_FEATURES + _model_rows_sql("healthy_only") + "\nSELECT * FROM model_rows", _ROW_DOUBLES),
+)
+def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 (original rule: healthy rows of the last 30 days censored), P10, P11, A8."""
+    return training.prepare_model_rows(features_c1(spark, sf_dir), SPEC, censor="healthy_only")
+
+
+@register(
+    "model_rows_whole_window",
+    O.rounded(_C1_FEATURES + _model_rows_sql("whole_window") + "\nSELECT * FROM model_rows", _ROW_DOUBLES),
+)
+def model_rows_whole_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 (whole last window censored, the default for training), P10, P11, A8."""
+    return training.prepare_model_rows(features_c1(spark, sf_dir), SPEC, censor="whole_window")
+
+
+@register(
+    "split_buckets",
+    _C1_CLEAN_NOZ
+    + f"""
+SELECT serial_number, b AS split_bucket,
+       CASE WHEN b < 70 THEN 'train' WHEN b < 80 THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT DISTINCT serial_number, {_MD5_BUCKET.format(k='serial_number', n=100)} AS b FROM cleaned)""",
+)
+def split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 + P12: every drive's stable bucket and the split it falls in."""
+    from pyspark.sql import functions as F
+
+    drives = cleaned_c1(spark, sf_dir, zscores=False).select("serial_number").distinct()
+    drives = drives.withColumn("split_bucket", training.split_bucket(SPEC).cast("int"))
+    train, validation, test = training.split_by_entity(drives)
+    return (
+        train.withColumn("split", F.lit("train"))
+        .unionByName(validation.withColumn("split", F.lit("validation")))
+        .unionByName(test.withColumn("split", F.lit("test")))
+    )
+
+
+_TRAIN_SQL = _model_rows_sql("whole_window") + ",\ntrain AS (SELECT * FROM model_rows WHERE split_bucket < 70)"
+
+
+@register(
+    "label_counts",
+    O.rounded(
+        _C1_FEATURES + _TRAIN_SQL + "\nSELECT failure_label, count(*) AS row_count FROM train GROUP BY failure_label",
+        ["failure_label"],
+    ),
+)
+def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: rows per label in the training split."""
+    rows = training.prepare_model_rows(features_c1(spark, sf_dir), SPEC)
+    return training.label_counts(training.split_by_entity(rows)[0], SPEC)
+
+
+@register(
+    "downsampled_rows",
+    O.rounded(
+        _C1_FEATURES
+        + _TRAIN_SQL
+        + """,
+cnt AS (SELECT count(*) FILTER (WHERE failure_label = 1.0) AS pos, count(*) FILTER (WHERE failure_label = 0.0) AS neg FROM train),
+frac AS (SELECT CASE WHEN neg = 0 THEN 1.0 ELSE least(1.0, pos * 20 / neg) END AS f FROM cnt)
+SELECT serial_number, date, failure_label FROM train, frac
+WHERE failure_label = 1.0
+   OR CAST(concat('0x', substr(md5(concat('s', serial_number, CAST(date AS VARCHAR))), 1, 8)) AS BIGINT) % 1000000 < f * 1000000""",
+        ["failure_label"],
+    ),
+)
+def downsampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: all positives and at most 20 negatives per positive, chosen by a stable hash."""
+    rows = training.prepare_model_rows(features_c1(spark, sf_dir), SPEC)
+    train = training.split_by_entity(rows)[0]
+    return training.downsample_negatives(train, SPEC).select("serial_number", "date", "failure_label")
+
+
+# ---- C2: A6 / A17 / A7 / P13 / A13 --------------------------------------------------------------
+_THRESHOLDS_SQL = "thresholds AS (SELECT CAST(t AS DOUBLE) AS threshold FROM (VALUES {}) v(t))".format(
+    ", ".join(f"({t})" for t in evaluation.THRESHOLDS)
+)
+_SWEEP_SQL = (
+    O.with_ctes(O.C2_SCORED, _THRESHOLDS_SQL)
+    + """,
+counts AS (
+  SELECT threshold,
+         count(*) FILTER (WHERE failure_probability >= threshold AND failure_label = 1.0) AS tp,
+         count(*) FILTER (WHERE failure_probability >= threshold AND NOT failure_label = 1.0) AS fp,
+         count(*) FILTER (WHERE NOT failure_probability >= threshold AND failure_label = 1.0) AS fn
+  FROM thresholds LEFT JOIN scored ON TRUE GROUP BY threshold
+),
+pr AS (
+  SELECT *, CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+            CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall
+  FROM counts
+),
+sweep AS (
+  SELECT *, CASE WHEN precision + recall <> 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+  FROM pr
+)"""
+)
+_SWEEP_DOUBLES = ["threshold", "precision", "recall", "f1"]
+
+
+def scored_c2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.scored_docs_c2(spark, sf_dir)
+
+
+@register("threshold_sweep", O.rounded(_SWEEP_SQL + "\nSELECT * FROM sweep", _SWEEP_DOUBLES))
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A17: confusion counts, precision, recall and F1 for 19 thresholds in one scan."""
+    return evaluation.threshold_sweep(scored_c2(spark, sf_dir))
+
+
+@register(
+    "best_threshold",
+    O.rounded(_SWEEP_SQL + "\nSELECT * FROM sweep ORDER BY f1 DESC, threshold ASC LIMIT 1", _SWEEP_DOUBLES),
+)
+def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best F1 threshold, ties to the lowest."""
+    return evaluation.best_threshold(scored_c2(spark, sf_dir))
+
+
+RATE_THRESHOLD = 0.5
+
+
+@register(
+    "drive_level_rates",
+    O.rounded(
+        O.with_ctes(O.C2_SCORED)
+        + f""",
+per AS (
+  SELECT entity_group, max(failure_label) AS failed,
+         max(CASE WHEN failure_probability >= {RATE_THRESHOLD} THEN 1.0 ELSE 0.0 END) AS flagged
+  FROM scored GROUP BY entity_group
+),
+tot AS (
+  SELECT coalesce(sum(failed), 0.0) AS failed_drives, coalesce(sum(failed * flagged), 0.0) AS caught_drives,
+         coalesce(sum(1 - failed), 0.0) AS healthy_drives, coalesce(sum((1 - failed) * flagged), 0.0) AS false_alarm_drives
+  FROM per
+)
+SELECT *, CASE WHEN failed_drives <> 0 THEN caught_drives / failed_drives ELSE 0.0 END AS drive_recall,
+          CASE WHEN healthy_drives <> 0 THEN false_alarm_drives / healthy_drives ELSE 0.0 END AS drive_false_alarm_rate
+FROM tot""",
+        ["failed_drives", "caught_drives", "healthy_drives", "false_alarm_drives", "drive_recall", "drive_false_alarm_rate"],
+    ),
+)
+def drive_level_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity-level recall and false-alarm rate (entity = doc_id % 200)."""
+    return evaluation.drive_level_rates(scored_c2(spark, sf_dir), RATE_THRESHOLD, entity="entity_group")
+
+
+@register(
+    "predicted_flags",
+    O.rounded(
+        O.with_ctes(O.C2_SCORED)
+        + f"\nSELECT *, CAST(failure_probability >= {RATE_THRESHOLD} AS INTEGER) AS predicted_failure FROM scored",
+        ["failure_label", "failure_probability"],
+    ),
+)
+def predicted_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flag at a threshold as an int."""
+    return evaluation.predicted_flags(scored_c2(spark, sf_dir), RATE_THRESHOLD)
+
+
+def _metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep in long form (model_name, split, metric, value)."""
+    from pyspark.sql import functions as F
+
+    sweep = evaluation.threshold_sweep(scored_c2(spark, sf_dir))
+    names = ["precision", "recall", "f1", "threshold"]
+    entries = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
+    return sweep.select(
+        F.concat(F.lit("t"), F.col("threshold").cast("string")).alias("model_name"),
+        F.lit("validation").alias("split"),
+        F.explode(entries).alias("e"),
+    ).select("model_name", "split", "e.metric", "e.value")
+
+
+_PIVOT_COLS = ", ".join(
+    (f"max(value) FILTER (WHERE metric = '{name}') AS {alias}" if name == "threshold"
+     else f"round(max(value) FILTER (WHERE metric = '{name}'), 4) AS {alias}")
+    for name, alias in reports.METRIC_PIVOT
+)
+
+
+@register(
+    "metrics_pivot",
+    O.rounded(
+        _SWEEP_SQL
+        + """,
+long AS (
+  SELECT concat('t', CAST(threshold AS VARCHAR)) AS model_name, 'validation' AS split, metric, value
+  FROM sweep, (VALUES ('precision'), ('recall'), ('f1'), ('threshold')) m(metric),
+       LATERAL (SELECT CASE metric WHEN 'precision' THEN precision WHEN 'recall' THEN recall
+                                   WHEN 'f1' THEN f1 ELSE threshold END AS value)
+)
+SELECT model_name, split, """
+        + _PIVOT_COLS
+        + " FROM long GROUP BY model_name, split",
+        [alias for _, alias in reports.METRIC_PIVOT],
+    ),
+)
+def metrics_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation metrics pivoted to one row per (model, split)."""
+    return reports.metrics_pivot(_metrics_long(spark, sf_dir))
+
+
+# ---- ST2 without a model: J2 / P15 / P18 / J3 / P19 / P20 / W6 ----------------------------------
+STREAM_DAYS = 7
+
+
+def stream_split(spark: SparkSession, sf_dir: str):
+    """history = readings before the last 7 days, batch = readings of the last 7 days."""
+    from pyspark.sql import functions as F
+
+    raw = fixtures.telemetry_c1(spark, sf_dir)
+    cut = F.date_sub(raw.select(F.max("date")).scalar(), STREAM_DAYS)
+    return raw.filter(F.col("date") <= cut), raw.filter(F.col("date") > cut)
+
+
+def stream_sides(spark: SparkSession, sf_dir: str):
+    history, batch = stream_split(spark, sf_dir)
+    cleaned_history = clean.clean_telemetry(history, SPEC, zscores=False)
+    statistics = scoring.model_statistics(cleaned_history, SPEC)
+    context = scoring.entity_context(features.build_features(clean.add_group_zscores(cleaned_history, SPEC), SPEC), SPEC)
+    return statistics, context, batch
+
+
+_STREAM_SQL = (
+    O.with_ctes(O.C1_TELEMETRY)
+    + f""",
+cutoff AS (SELECT max(date) - {STREAM_DAYS} AS c FROM telemetry),
+history AS (SELECT t.* FROM telemetry t, cutoff WHERE t.date <= c),
+batch_raw AS (SELECT t.* FROM telemetry t, cutoff WHERE t.date > c),"""
+    + O.clean_ctes(SPEC, zscores=False, source="history")
+    + """,
+hstats AS (SELECT model, """
+    + _q([f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in SPEC.raw_columns])
+    + """ FROM cleaned GROUP BY model),
+ctx AS (SELECT serial_number, min(date) AS first_seen FROM cleaned GROUP BY serial_number),
+batch AS (
+  SELECT * REPLACE (upper(trim(model)) AS model) FROM batch_raw
+  WHERE date IS NOT NULL AND serial_number IS NOT NULL AND model IS NOT NULL AND failure IS NOT NULL
+    AND capacity_bytes > 0 AND failure IN (0, 1)
+),
+zb AS (
+  SELECT b.*, """
+    + _q(
+        [
+            f"CASE WHEN b.{m.raw} IS NULL THEN NULL WHEN s.{m.raw}_s > 0 THEN (b.{m.raw} - s.{m.raw}_m) / s.{m.raw}_s ELSE 0.0 END AS {m.zscore}"
+            for m in _COUNTERS
+        ]
+    )
+    + """
+  FROM batch b LEFT JOIN hstats s ON s.model = upper(trim(b.model))
+)
+SELECT z.date, z.serial_number, z.model, z.failure,
+       CAST(coalesce(date_diff('day', c.first_seen, z.date), 0) AS INTEGER) AS age_days,
+       """
+    + _count_sql([f"{m.zscore} > 2.0" for m in _COUNTERS])
+    + """ AS anomalous_counter_count,
+       greatest("""
+    + _q([f"coalesce({m.zscore}, 0.0)" for m in _COUNTERS])
+    + """) AS max_error_zscore,
+       CAST(NULL AS DOUBLE) AS failure_probability, """
+    + _q([f"z.{m.raw}" for m in _COUNTERS])
+    + ", "
+    + _q([f"z.{m.zscore}" for m in _COUNTERS])
+    + """
+FROM zb z LEFT JOIN ctx c ON c.serial_number = z.serial_number"""
+)
+
+
+@register("score_batch_rules", O.rounded(_STREAM_SQL, ["max_error_zscore", "failure_probability", *[m.zscore for m in _COUNTERS]]))
+def score_batch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 without a model: z-scores against history, rule scores, drive context and age."""
+    statistics, context, batch = stream_sides(spark, sf_dir)
+    batch = batch.transform(clean.normalize_group_names, SPEC).transform(clean.drop_invalid_rows, SPEC)
+    return scoring.score_batch(batch, statistics, context, None, SPEC)
+
+
+# ---- C6: P22 / T6 / A14 -------------------------------------------------------------------------
+@register(
+    "recent_scores",
+    O.rounded(
+        O.with_ctes(O.C6_STREAM)
+        + """
+SELECT scored_at, batch_id, date, serial_number, model, anomalous_counter_count,
+       round(max_error_zscore, 1) AS max_error_z, round(failure_probability, 3) AS failure_probability
+FROM scores WHERE scored_at >= (SELECT max(scored_at) FROM scores) - INTERVAL 1 HOUR
+ORDER BY scores.failure_probability DESC NULLS LAST, max_error_zscore DESC NULLS LAST, batch_id, serial_number, date, scored_at
+LIMIT 50""",
+        ["max_error_z", "failure_probability"],
+    ),
+)
+def recent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P22 + T6: readings scored in the hour before the newest score, worst 50."""
+    from pyspark.sql import functions as F
+
+    scores = fixtures.stream_scores_c6(spark, sf_dir)
+    as_of = scores.select(F.max("scored_at")).scalar()
+    return reports.recent_scores(scores, as_of=as_of, k=50, spec=SPEC)
+
+
+@register(
+    "batch_summary",
+    O.with_ctes(O.C6_STREAM)
+    + """
+SELECT batch_id, min(scored_at) AS scored_at, count(*) AS readings,
+       count(*) FILTER (WHERE anomalous_counter_count > 0) AS anomalous,
+       count(*) FILTER (WHERE failure_probability >= 0.5) AS predicted_failures
+FROM scores GROUP BY batch_id""",
+)
+def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch first score time, readings, anomalous and predicted counts."""
+    return reports.batch_summary(fixtures.stream_scores_c6(spark, sf_dir))
+
+
+# ---- Q1-Q6 / J5 / SK8 ---------------------------------------------------------------------------
+@register(
+    "sanity_checks",
+    _C1_FEATURES
+    + _DAILY_SQL
+    + _SUMMARY_SQL
+    + _LONG_SQL
+    + _SIGNAL_SQL
+    + _WATCHLIST_SQL
+    + _PRED_SQL
+    + """
+SELECT
+  (SELECT count(*) = count(DISTINCT date) FROM daily) AS daily_dates_unique,
+  (SELECT sum(failure_count) FROM daily) = (SELECT sum(failure_count) FROM summary) AS failure_totals_agree,
+  (SELECT count(*) = 2 * count(DISTINCT attribute_id) FROM signal) AS smart_signal_complete,
+  (SELECT count(*) = count(DISTINCT serial_number) FROM watchlist) AS watchlist_one_row_per_drive,
+  (SELECT count(*) = 0 FROM watchlist WHERE serial_number IN (SELECT serial_number FROM features WHERE failure = 1))
+    AS watchlist_has_no_failed_drive,
+  (SELECT count(*) = 0 FROM (SELECT serial_number, date FROM features GROUP BY 1, 2 HAVING count(*) > 1))
+    AS features_unique_per_drive_day,
+  (SELECT count(*) FILTER (WHERE date IS NULL) = 0 FROM daily) AS daily_keys_not_null,
+  (SELECT count(*) FILTER (WHERE serial_number IS NULL) = 0 FROM watchlist) AS watchlist_keys_not_null,
+  true AS types_publishable,
+  (SELECT min(failure_probability) >= 0 AND max(failure_probability) <= 1 FROM predictions) AS probabilities_valid""",
+)
+def sanity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q6, Q4b, J5, SK8 as one row of booleans (true = pass)."""
+    feats = features_c1(spark, sf_dir)
+    return checks.sanity_checks(
+        spark,
+        reports.daily_fleet_health(feats, SPEC),
+        reports.model_failure_summary(feats, SPEC),
+        reports.metric_failure_signal(feats, SPEC),
+        reports.drive_risk_watchlist(feats, SPEC),
+        feats,
+        fixtures.predictions_c5(feats),
+        SPEC,
+    )
+
+
+# ---- A18 ----------------------------------------------------------------------------------------
+_DRIVER_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+_TABLE_WIDTH = {
+    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11,
+    "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
+}
+
+
+@register(
+    "table_inventory",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS total_rows, {_TABLE_WIDTH[t]} AS column_count FROM {t}"
+        for t in _DRIVER_TABLES
+    ),
+)
+def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of every input table."""
+    return reports.table_inventory(spark, {t: fixtures.table(spark, sf_dir, t) for t in _DRIVER_TABLES})
