@@ -887,3 +887,37 @@ _TABLE_WIDTH = {
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and columns of every input table."""
     return reports.table_inventory(spark, {t: fixtures.table(spark, sf_dir, t) for t in _DRIVER_TABLES})
+
+
+# ---- M2-M10 (rows-only: model fits are not SQL) -------------------------------------------------
+@register("train_and_evaluate")
+def train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit both candidates, tune and pick, evaluate once on test; metrics table."""
+    result = training.train_and_evaluate(features_c1(spark, sf_dir), SPEC)
+    return result.metrics
+
+
+# ---- SC7 / ST1-ST6 (rows-only: arrival order and time stamps are not SQL) -----------------------
+@register("stream_scores")
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC7, ST1-ST6: last-7-day readings written as CSV files with two different headers and a
+    malformed value, drained by the file stream into an idempotent table (scored_at dropped)."""
+    import uuid
+
+    from fleetsight.session import checkpoint_dir
+    from fleetsight.streaming.job import start_scoring_stream
+
+    statistics, context, batch = stream_sides(spark, sf_dir)
+    root = f"{checkpoint_dir(spark, allow_local_default=True).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    cols = batch.columns
+    from pyspark.sql import functions as F
+
+    as_text = batch.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    first = as_text.withColumn("smart_188_raw", F.when(F.col("smart_188_raw") == "0", "n/a").otherwise(F.col("smart_188_raw")))
+    first.filter(F.col("failure") == "0").write.option("header", True).csv(f"{root}/staging/a")
+    as_text.filter(F.col("failure") != "0").select(*reversed(cols)).write.option("header", True).csv(f"{root}/staging/b")
+    query = start_scoring_stream(
+        spark, f"{root}/staging", f"{root}/checkpoint", f"{root}/scores", statistics, context, None, SPEC, once=True
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/scores").drop("scored_at")

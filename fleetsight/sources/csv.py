@@ -34,30 +34,6 @@ def discover_batch_files(spark: SparkSession, root: str, batches: Sequence[str]
 HEADER_PROBE_BYTES = 1 << 16
 
 
-def _first_lines(batches):
-    """mapInPandas body: read only the first line of each file, on the executors."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        headers = []
-        for path in pdf["path"]:
-            uri = "file://" + path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
-            if "://" not in uri:
-                uri = "file://" + uri
-            fs, inner = pafs.FileSystem.from_uri(uri)
-            chunks = []
-            with fs.open_input_stream(inner) as stream:
-                while True:
-                    chunk = stream.read(HEADER_PROBE_BYTES)
-                    chunks.append(chunk)
-                    if not chunk or b"\n" in chunk:
-                        break
-            head = b"".join(chunks).split(b"\n", 1)[0].rstrip(b"\r")
-            headers.append(head.decode("utf-8-sig"))
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
-
-
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """First line of each file, read on the executors (a few KB per file, one row per file back).
 
@@ -66,6 +42,31 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """
     if not paths:
         return {}
+    probe = HEADER_PROBE_BYTES
+
+    # a closure, so it is pickled by value and executors need no copy of this package
+    def _first_lines(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            headers = []
+            for path in pdf["path"]:
+                uri = "file://" + path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
+                if "://" not in uri:
+                    uri = "file://" + uri
+                fs, inner = pafs.FileSystem.from_uri(uri)
+                chunks = []
+                with fs.open_input_stream(inner) as stream:
+                    while True:
+                        chunk = stream.read(probe)
+                        chunks.append(chunk)
+                        if not chunk or b"\n" in chunk:
+                            break
+                head = b"".join(chunks).split(b"\n", 1)[0].rstrip(b"\r")
+                headers.append(head.decode("utf-8-sig"))
+            yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
     try:
         rows = listing.mapInPandas(_first_lines, "path string, header string").collect()

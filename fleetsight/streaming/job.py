@@ -31,9 +31,17 @@ def load_model_if_present(path: str | None):
         raise
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def arrivals(spark: SparkSession, incoming_dir: str, pattern: str = "*.csv", max_files_per_trigger: int | None = None) -> DataFrame:
     """SC7: stream of newly arrived file paths."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(incoming_dir).select("path")
