@@ -59,26 +59,46 @@ def group_statistics(df: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> DataF
     return df.groupBy(spec.group).agg(*aggs)
 
 
+def group_count_bound(raw: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> int:
+    """Upper bound on the number of groups after cleaning, from the raw input.
+
+    Normalising names can only merge groups and the filters only drop rows, so the distinct
+    normalised names of the raw input bound the statistics table. The job reads one column
+    and combines map-side, so it is cheap next to the cleaning itself.
+    """
+    return raw.select(F.upper(F.trim(F.col(spec.group))).alias("g")).distinct().count()
+
+
 def add_group_zscores(
     df: DataFrame,
     spec: TelemetrySpec = DEFAULT_SPEC,
     statistics: DataFrame | None = None,
     unknown_group: str = "zero",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Z-score of each reading within its group, plus a reported flag.
 
-    ``statistics`` defaults to the frame's own (A1); the streaming scorer passes historic ones.
+    ``statistics`` defaults to the frame's own (A1); the streaming scorer passes historic ones,
+    which are materialised and counted before they are broadcast. Own statistics stay in the
+    same query (so the input is scanned and deduplicated once) and are broadcast when
+    ``group_bound`` (a proven bound on their rows, see :func:`group_count_bound`) is small.
     ``unknown_group="null"`` leaves z NULL for a group without statistics instead of 0.0.
     """
-    stats = statistics if statistics is not None else group_statistics(df, spec)
+    own = statistics is None
+    stats = group_statistics(df, spec) if own else statistics
     stats = stats.select(
         spec.group,
         *[F.col(c + MEAN_SUFFIX) for c in spec.raw_columns],
         *[F.col(c + STDDEV_SUFFIX) for c in spec.raw_columns],
         F.lit(True).alias("_has_stats"),
     )
-    joined = join_side_table(df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows)
+    if own:
+        bound = group_bound if group_bound is not None else group_count_bound(df, spec)
+        side = F.broadcast(stats) if bound <= max_broadcast_rows else stats
+        joined = df.join(side, on=spec.group, how="left")
+    else:
+        joined = join_side_table(df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows)
     zs = []
     for m in spec.metrics:
         z = zscore(F.col(m.raw), F.col(m.raw + MEAN_SUFFIX), F.col(m.raw + STDDEV_SUFFIX))
@@ -101,5 +121,5 @@ def clean_telemetry(
     if partitions:
         out = out.transform(with_date_partitions, spec)
     if zscores:
-        out = out.transform(add_group_zscores, spec)
+        out = add_group_zscores(out, spec, group_bound=group_count_bound(df, spec))
     return out

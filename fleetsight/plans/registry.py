@@ -56,6 +56,14 @@ def features_c1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_features(cleaned_c1(spark, sf_dir), SPEC)
 
 
+def features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features computed once and written to the shared checkpoint folder, for queries that
+    read them several times (the staged pipeline writes the same table as Parquet)."""
+    from fleetsight.session import cut_lineage
+
+    return cut_lineage(features_c1(spark, sf_dir))
+
+
 # ---- flagship: A3 -------------------------------------------------------------------------------
 _SUMMARY_DOUBLES = ["mean_capacity_tb", "mean_age_at_failure_days", "mean_temperature_celsius", "annualized_failure_rate_pct"]
 
@@ -463,7 +471,7 @@ ORDER BY w.risk_score DESC, p.failure_probability DESC NULLS LAST, w.serial_numb
 )
 def riskiest_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + A10 + T3: watchlist with each drive's latest predicted probability, top 20."""
-    feats = features_c1(spark, sf_dir)
+    feats = features_table(spark, sf_dir)
     return reports.riskiest_drives(
         reports.drive_risk_watchlist(feats, SPEC), fixtures.predictions_c5(feats), k=20, spec=SPEC
     )
@@ -514,7 +522,7 @@ _ROW_DOUBLES = ["failure_label", *SPEC.feature_columns()]
 )
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9 (original rule: healthy rows of the last 30 days censored), P10, P11, A8."""
-    return training.prepare_model_rows(features_c1(spark, sf_dir), SPEC, censor="healthy_only")
+    return training.prepare_model_rows(features_table(spark, sf_dir), SPEC, censor="healthy_only")
 
 
 @register(
@@ -523,7 +531,7 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def model_rows_whole_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9 (whole last window censored, the default for training), P10, P11, A8."""
-    return training.prepare_model_rows(features_c1(spark, sf_dir), SPEC, censor="whole_window")
+    return training.prepare_model_rows(features_table(spark, sf_dir), SPEC, censor="whole_window")
 
 
 @register(
@@ -560,7 +568,7 @@ _TRAIN_SQL = _model_rows_sql("whole_window") + ",\ntrain AS (SELECT * FROM model
 )
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: rows per label in the training split."""
-    rows = training.prepare_model_rows(features_c1(spark, sf_dir), SPEC)
+    rows = training.prepare_model_rows(features_table(spark, sf_dir), SPEC)
     return training.label_counts(training.split_by_entity(rows)[0], SPEC)
 
 
@@ -580,7 +588,7 @@ WHERE failure_label = 1.0
 )
 def downsampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: all positives and at most 20 negatives per positive, chosen by a stable hash."""
-    rows = training.prepare_model_rows(features_c1(spark, sf_dir), SPEC)
+    rows = training.prepare_model_rows(features_table(spark, sf_dir), SPEC)
     train = training.split_by_entity(rows)[0]
     return training.downsample_negatives(train, SPEC).select("serial_number", "date", "failure_label")
 
@@ -730,8 +738,10 @@ def stream_split(spark: SparkSession, sf_dir: str):
 
 
 def stream_sides(spark: SparkSession, sf_dir: str):
+    from fleetsight.session import cut_lineage
+
     history, batch = stream_split(spark, sf_dir)
-    cleaned_history = clean.clean_telemetry(history, SPEC, zscores=False)
+    cleaned_history = cut_lineage(clean.clean_telemetry(history, SPEC, zscores=False))
     statistics = scoring.model_statistics(cleaned_history, SPEC)
     context = scoring.entity_context(features.build_features(clean.add_group_zscores(cleaned_history, SPEC), SPEC), SPEC)
     return statistics, context, batch
@@ -854,7 +864,7 @@ SELECT
 )
 def sanity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q6, Q4b, J5, SK8 as one row of booleans (true = pass)."""
-    feats = features_c1(spark, sf_dir)
+    feats = features_table(spark, sf_dir)
     return checks.sanity_checks(
         spark,
         reports.daily_fleet_health(feats, SPEC),
@@ -893,7 +903,7 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("train_and_evaluate")
 def train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit both candidates, tune and pick, evaluate once on test; metrics table."""
-    result = training.train_and_evaluate(features_c1(spark, sf_dir), SPEC)
+    result = training.train_and_evaluate(features_table(spark, sf_dir), SPEC)
     return result.metrics
 
 

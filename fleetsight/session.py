@@ -23,6 +23,8 @@ def build_session(app_name: str = "fleetsight", master: str | None = None, **con
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # re-running one period replaces only the partitions it touches
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # checkpoint files of collected frames are removed with them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     defaults.update(conf)
     for key, value in defaults.items():
