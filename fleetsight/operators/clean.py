@@ -76,6 +76,7 @@ def add_group_zscores(
     unknown_group: str = "zero",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     group_bound: int | None = None,
+    statistics_rows: int | None = None,
 ) -> DataFrame:
     """Z-score of each reading within its group, plus a reported flag.
 
@@ -83,6 +84,7 @@ def add_group_zscores(
     which are materialised and counted before they are broadcast. Own statistics stay in the
     same query (so the input is scanned and deduplicated once) and are broadcast when
     ``group_bound`` (a proven bound on their rows, see :func:`group_count_bound`) is small.
+    ``statistics_rows`` is their row count when they were materialised beforehand.
     ``unknown_group="null"`` leaves z NULL for a group without statistics instead of 0.0.
     """
     own = statistics is None
@@ -98,7 +100,9 @@ def add_group_zscores(
         side = F.broadcast(stats) if bound <= max_broadcast_rows else stats
         joined = df.join(side, on=spec.group, how="left")
     else:
-        joined = join_side_table(df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows)
+        joined = join_side_table(
+            df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows, side_rows=statistics_rows
+        )
     zs = []
     for m in spec.metrics:
         z = zscore(F.col(m.raw), F.col(m.raw + MEAN_SUFFIX), F.col(m.raw + STDDEV_SUFFIX))

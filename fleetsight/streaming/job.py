@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetsight.operators.clean import drop_invalid_rows, normalize_group_names
 from fleetsight.sources.csv import read_csv_batches
-from fleetsight.streaming.scoring import score_batch
+from fleetsight.streaming.scoring import prepare_statistics, score_batch
 from fleetsight.spec import DEFAULT_SPEC, TelemetrySpec
 
 
@@ -57,7 +57,11 @@ def make_batch_handler(
     clean_first: bool = True,
     as_of=None,
 ):
-    """ST1-ST3: the foreachBatch body (also callable directly, e.g. to replay a batch)."""
+    """ST1-ST3: the foreachBatch body (also callable directly, e.g. to replay a batch).
+
+    The historic statistics are materialised once here, not once per micro-batch.
+    """
+    statistics, statistics_rows = prepare_statistics(statistics)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(r.path for r in batch.select("path").distinct().collect())
@@ -66,7 +70,7 @@ def make_batch_handler(
             return
         if clean_first:
             telemetry = telemetry.transform(normalize_group_names, spec).transform(drop_invalid_rows, spec)
-        scored = score_batch(telemetry, statistics, context, model, spec)
+        scored = score_batch(telemetry, statistics, context, model, spec, statistics_rows=statistics_rows)
         stamped = scored.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
             "scored_at", as_of if as_of is not None else F.current_timestamp()
         )
