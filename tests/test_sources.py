@@ -80,3 +80,10 @@ def test_optional_tables_report_missing(spark, scratch):
     found, missing = load_optional_tables(spark, {"a": f"{scratch}/present", "b": f"{scratch}/absent"})
     assert list(found) == ["a"] and found["a"].count() == 3
     assert missing == ["b"]
+
+
+def test_lineage_column(spark, scratch):
+    _write(f"{scratch}/q1/a.csv", "serial_number,date\nA,2026-01-01\n")
+    files = discover_batch_files(spark, scratch)
+    out = read_csv_batches(spark, files, DEFAULT_SPEC.schema(), with_lineage=True).first()
+    assert out.source_file.endswith("a.csv") and out.serial_number == "A"
