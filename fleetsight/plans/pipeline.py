@@ -54,6 +54,10 @@ class Layout:
     def model(self) -> str:
         return self._p("models", "failure_classifier")
 
+    @property
+    def model_rows(self) -> str:
+        return self._p("model_rows")
+
     @property
     def metrics(self) -> str:
         return self._p("model_evaluation", "metrics")
@@ -129,6 +133,7 @@ def serving_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEF
 
 def training_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEFAULT_SPEC, **kw) -> str:
     """M2-M10, SK3, SK4: fit, choose, evaluate; save the model and the three model tables."""
+    kw.setdefault("staging_path", layout.model_rows)
     result = training.train_and_evaluate(spark.read.parquet(layout.features), spec, **kw)
     result.model.write().overwrite().save(layout.model)
     publish(result.metrics, layout.metrics, ["model_name", "split", "metric"])

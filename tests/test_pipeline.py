@@ -58,3 +58,21 @@ def test_stages_in_order(spark, layout):
     scores = spark.read.parquet(layout.scores)
     assert scores.count() > 0
     assert scores.filter(F.col("failure_probability").isNull()).count() == 0  # the saved model was used
+
+
+def test_staged_model_rows_equal_unstaged(spark, layout):
+    from fleetsight.operators import training
+
+    feats = spark.read.parquet(layout.features)
+    staged = spark.read.parquet(layout.model_rows)
+    rows = training.prepare_model_rows(feats)
+    train, validation, test = training.split_by_entity(rows)
+    expected = {
+        "train": training.downsample_negatives(train),
+        "validation": validation,
+        "test": test,
+    }
+    for name, frame in expected.items():
+        got = staged.filter(F.col("split") == name).select("serial_number", "date", "failure_label")
+        want = frame.select("serial_number", "date", "failure_label")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
