@@ -8,6 +8,7 @@ each to the target schema before the union.
 
 from __future__ import annotations
 
+import csv as pycsv
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -105,7 +106,10 @@ def read_csv_batches(
         groups[header.strip()].append(path)
     frames = []
     for header in sorted(groups):
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(sorted(groups[header]))
+        # the header is already known: its columns, all strings, are the read schema (no inference job)
+        names = next(pycsv.reader([header]))
+        schema = StructType([StructField(n, StringType(), True) for n in names])
+        raw = spark.read.option("header", True).schema(schema).csv(sorted(groups[header]))
         if with_lineage:
             raw = raw.withColumn(LINEAGE_COLUMN, F.col("_metadata.file_path"))
             fields = list(target.fields) + [StructField(LINEAGE_COLUMN, StringType(), True)]
