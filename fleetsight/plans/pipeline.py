@@ -161,10 +161,17 @@ def stream_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEFA
     entity: it is hash-partitioned by entity once and kept, so each micro-batch only shuffles
     its own readings to meet it.
     """
-    statistics = scoring.model_statistics(spark.read.parquet(layout.cleaned), spec)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    context = scoring.entity_context(spark.read.parquet(layout.features), spec).repartition(parts, spec.entity).persist()
+
+    def sides():
+        statistics = scoring.model_statistics(spark.read.parquet(layout.cleaned), spec)
+        context = scoring.entity_context(spark.read.parquet(layout.features), spec)
+        return statistics, context.repartition(parts, spec.entity).persist()
+
+    statistics, context = sides()
     model = load_model_if_present(layout.model)
+    if not once:
+        kw.setdefault("reload_sides", sides)
     query = start_scoring_stream(
         spark, layout.incoming, layout.stream_checkpoint, layout.scores, statistics, context, model, spec, once=once, **kw
     )

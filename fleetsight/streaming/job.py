@@ -56,14 +56,27 @@ def make_batch_handler(
     spec: TelemetrySpec = DEFAULT_SPEC,
     clean_first: bool = True,
     as_of=None,
+    reload_sides=None,
+    refresh_every: int | None = None,
 ):
     """ST1-ST3: the foreachBatch body (also callable directly, e.g. to replay a batch).
 
-    The historic statistics are materialised once here, not once per micro-batch.
+    The historic statistics are materialised once here, not once per micro-batch. A long-running
+    stream can pass ``reload_sides`` (returns fresh ``(statistics, context)`` from the staged
+    tables) and ``refresh_every`` to reload them every that many micro-batches, so scores do not
+    drift on a stale history; by default the sides read at start are kept.
     """
-    statistics, statistics_rows = prepare_statistics(statistics)
+    state = {"seen": 0}
+    state["statistics"], state["rows"] = prepare_statistics(statistics)
+    state["context"] = context
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        state["seen"] += 1
+        if reload_sides is not None and refresh_every and state["seen"] % refresh_every == 0:
+            fresh_statistics, fresh_context = reload_sides()
+            state["statistics"], state["rows"] = prepare_statistics(fresh_statistics)
+            state["context"] = fresh_context
+        statistics, statistics_rows, context = state["statistics"], state["rows"], state["context"]
         paths = sorted(r.path for r in batch.select("path").distinct().collect())
         telemetry = read_csv_batches(spark, paths, spec.schema())
         if telemetry is None:
@@ -96,9 +109,13 @@ def start_scoring_stream(
     once: bool = True,
     interval: str = "30 seconds",
     max_files_per_trigger: int | None = None,
+    reload_sides=None,
+    refresh_every: int | None = None,
 ):
     """ST4 / ST5: drain and stop (``once``) or poll every ``interval``; progress is checkpointed."""
-    handler = make_batch_handler(spark, sink_path, statistics, context, model, spec)
+    handler = make_batch_handler(
+        spark, sink_path, statistics, context, model, spec, reload_sides=reload_sides, refresh_every=refresh_every
+    )
     writer = (
         arrivals(spark, incoming_dir, max_files_per_trigger=max_files_per_trigger)
         .writeStream.foreachBatch(handler)
