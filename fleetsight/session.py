@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,12 +54,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession, allow_local_default=True)
     return df.checkpoint(eager=eager)
-
-
-def shuffle_partitions_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
