@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetsight.functions.columns import round_doubles
-from fleetsight.operators import clean, features, reports
+from fleetsight.operators import checks, clean, evaluation, features, reports, training
 from fleetsight.plans import fixtures
 from fleetsight.plans import oracle as O
 from fleetsight.spec import DEFAULT_SPEC
+from fleetsight.streaming import scoring
 
 SPEC = DEFAULT_SPEC
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -493,8 +494,6 @@ def top_predicted_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- P9-P12 / A5 / A8 / M2 ----------------------------------------------------------------------
-from fleetsight.operators import checks, evaluation, training  # noqa: E402
-from fleetsight.streaming import scoring  # noqa: E402
 
 _MD5_BUCKET = "CAST(CAST(concat('0x', substr(md5({k}), 1, 8)) AS BIGINT) % {n} AS INTEGER)"
 
