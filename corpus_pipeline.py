@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetsight.llm import conv_classifier, mixture, packing, secret_scan
+from fleetsight.llm import conv_classifier, minhash, mixture, packing, secret_scan
 from fleetsight.llm.common import crc_remainder, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,6 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return conv_classifier.keep(docs.select(*COLUMNS), net)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near duplicates by five-word shingles."""
+    return minhash.deduplicate(docs.select(*COLUMNS))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
     return secret_scan.redact(docs.select(*COLUMNS))
@@ -41,6 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
     ("secrets", secrets),
     ("mixture", mix_sources),
     ("packing", pack),

@@ -39,10 +39,10 @@ CHUNK_BITS = 8  # slots are dealt to tasks in 2**CHUNK_BITS chunks by context
 TOP_WORDS = 65_536  # bound of the words whose counts are broadcast
 MIXER_SHARE = 16  # one training text in so many teaches the mixer instead of the counts
 BLOCK = 1 << 21  # bytes that are sorted at a time
-MIXER_BLOCK = 1 << 16  # bytes between two updates of the weights
+MIXER_BLOCK = 1 << 13  # bytes between two updates of the weights
 GATES = 2 * (ORDERS + 1)
 BUCKETS = 33
-RATE = 0.02
+RATE = 0.5
 _GRAM = ORDERS + 1
 _IN_CHUNK = SLOT_BITS - CHUNK_BITS
 _C = np.uint64(0x9E3779B97F4A7C15)

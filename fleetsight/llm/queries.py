@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetsight.llm import conv_classifier, host_rules, id_store, mixture, packing, secret_scan, warc
+from fleetsight.llm import (
+    context_mixing,
+    conv_classifier,
+    forest,
+    host_rules,
+    id_store,
+    minhash,
+    mixture,
+    packing,
+    secret_scan,
+    warc,
+)
 from fleetsight.llm.common import crc_remainder
 from fleetsight.session import checkpoint_dir
 
@@ -21,6 +32,11 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark, allow_local_default=True)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return context_mixing.score(docs, crc_remainder(F.col("doc_id"), 5) == 1)
+
+
 def op2_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken_words(mixture.mix(_table(spark, sf_dir, "documents")))
 
@@ -35,6 +51,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), "spans", "n_novel")
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     path = _folder(spark, "warc")
@@ -64,9 +89,12 @@ def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
+        op1_context_mixing,
         op2_source_mixture,
         op3_window_packing,
         op4_secret_scan,
+        op5_projection_forest,
+        op6_minhash,
         op7_warc_archive,
         op8_quality_scores,
         op9_host_rules,
