@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -35,6 +35,16 @@ def count_true(conditions: Iterable[Column]) -> Column:
     return total
 
 
+def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in ``order``.
+
+    The rank filter lets Catalyst place a partial WindowGroupLimit before the shuffle, so a key
+    with millions of rows leaves each map task as one row.
+    """
+    rank = "_rank_in_key"
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(f"{rank} = 1").drop(rank)
+
+
 def week_start_sunday(day: Column) -> Column:
     """Start of the week containing ``day`` with weeks starting on Sunday."""
     return F.date_sub(day, F.dayofweek(day) - 1)

@@ -5,10 +5,10 @@ Covers P1-P7, A1, A16 and J1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetsight.functions.columns import zscore
+from fleetsight.functions.columns import keep_first, zscore
 from fleetsight.operators.joins import MAX_BROADCAST_ROWS, join_side_table
 from fleetsight.spec import DEFAULT_SPEC, TelemetrySpec
 
@@ -38,13 +38,8 @@ def dedup_order(df: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> list:
 
 
 def deduplicate_entity_days(df: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> DataFrame:
-    """One row per (entity, date), the survivor chosen by a total order (deterministic).
-
-    ``row_number() == 1`` lets Catalyst place a partial WindowGroupLimit before the shuffle, so a
-    key with millions of duplicates is cut down to one row per map task before it moves.
-    """
-    w = Window.partitionBy(*[F.col(c) for c in spec.key]).orderBy(*dedup_order(df, spec))
-    return df.withColumn("_dup_rank", F.row_number().over(w)).filter("_dup_rank = 1").drop("_dup_rank")
+    """One row per (entity, date), the survivor chosen by a total order (deterministic)."""
+    return keep_first(df, spec.key, dedup_order(df, spec))
 
 
 def with_date_partitions(df: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> DataFrame:
@@ -59,32 +54,21 @@ def group_statistics(df: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> DataF
     return df.groupBy(spec.group).agg(*aggs)
 
 
-def group_count_bound(raw: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> int:
-    """Upper bound on the number of groups after cleaning, from the raw input.
-
-    Normalising names can only merge groups and the filters only drop rows, so the distinct
-    normalised names of the raw input bound the statistics table. The job reads one column
-    and combines map-side, so it is cheap next to the cleaning itself.
-    """
-    return raw.select(F.upper(F.trim(F.col(spec.group))).alias("g")).distinct().count()
-
-
 def add_group_zscores(
     df: DataFrame,
     spec: TelemetrySpec = DEFAULT_SPEC,
     statistics: DataFrame | None = None,
     unknown_group: str = "zero",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    group_bound: int | None = None,
     statistics_rows: int | None = None,
 ) -> DataFrame:
     """Z-score of each reading within its group, plus a reported flag.
 
-    ``statistics`` defaults to the frame's own (A1); the streaming scorer passes historic ones,
-    which are materialised and counted before they are broadcast. Own statistics stay in the
-    same query (so the input is scanned and deduplicated once) and are broadcast when
-    ``group_bound`` (a proven bound on their rows, see :func:`group_count_bound`) is small.
-    ``statistics_rows`` is their row count when they were materialised beforehand.
+    ``statistics`` defaults to the frame's own (A1), which stay in the same query: one scan and
+    one deduplication, and no job runs to build it. How they are joined is left to AQE: it knows
+    the statistics' size when they are made, broadcasts them below its threshold, and otherwise
+    joins by shuffle with hot groups split. The streaming scorer passes historic statistics that
+    were materialised beforehand; ``statistics_rows`` is then their row count.
     ``unknown_group="null"`` leaves z NULL for a group without statistics instead of 0.0.
     """
     own = statistics is None
@@ -96,9 +80,7 @@ def add_group_zscores(
         F.lit(True).alias("_has_stats"),
     )
     if own:
-        bound = group_bound if group_bound is not None else group_count_bound(df, spec)
-        side = F.broadcast(stats) if bound <= max_broadcast_rows else stats
-        joined = df.join(side, on=spec.group, how="left")
+        joined = df.join(stats, on=spec.group, how="left")
     else:
         joined = join_side_table(
             df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows, side_rows=statistics_rows
@@ -125,5 +107,5 @@ def clean_telemetry(
     if partitions:
         out = out.transform(with_date_partitions, spec)
     if zscores:
-        out = add_group_zscores(out, spec, group_bound=group_count_bound(df, spec))
+        out = add_group_zscores(out, spec)
     return out

@@ -1,12 +1,14 @@
 """Classifier evaluation as DataFrame aggregates.
 
-Every threshold is counted in one pass: one aggregate with 3 counters per threshold, then the
-single result row is unpivoted into one row per threshold. No cross join with a threshold table.
+Every threshold is counted in one pass: rows are counted by the number of thresholds they reach,
+and running sums over those few counts give each threshold's. No cross join with a threshold table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetsight.functions.columns import safe_ratio
@@ -22,29 +24,30 @@ THRESHOLDS = [round(THRESHOLD_STEP * k, 2) for k in range(1, THRESHOLD_COUNT + 1
 def confusion_counts(
     scored: DataFrame, thresholds: list[float] = THRESHOLDS, label: str = LABEL, probability: str = PROBABILITY
 ) -> DataFrame:
-    """(threshold, tp, fp, fn) for all thresholds in a single scan (count_if gives 0, not NULL)."""
+    """(threshold, tp, fp, fn) for all thresholds in a single scan.
+
+    A row only matters by how many thresholds its probability reaches. So rows are counted by
+    that number and by label, which leaves a row for each threshold, and running sums over the
+    steps from the top give what each threshold flags. Rows without label or probability count nowhere.
+    """
+    steps = sorted(set(thresholds))
+    reached = F.lit(0)
+    for t in steps:
+        reached = reached + (F.col(probability) >= t).cast("int")
     positive = F.col(label) == 1.0
-    aggs = []
-    for i, t in enumerate(thresholds):
-        flagged = F.col(probability) >= F.lit(t)
-        aggs += [
-            F.count_if(flagged & positive).alias(f"tp_{i}"),
-            F.count_if(flagged & ~positive).alias(f"fp_{i}"),
-            F.count_if(~flagged & positive).alias(f"fn_{i}"),
-        ]
-    one_row = scored.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(t).cast("double").alias("threshold"),
-                F.col(f"tp_{i}").alias("tp"),
-                F.col(f"fp_{i}").alias("fp"),
-                F.col(f"fn_{i}").alias("fn"),
-            )
-            for i, t in enumerate(thresholds)
-        ]
+    by_step = (
+        scored.filter(F.col(label).isNotNull() & F.col(probability).isNotNull())
+        .groupBy(reached.alias("step"))
+        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    )
+    grid = F.posexplode(F.array(F.lit(None).cast("double"), *[F.lit(float(t)) for t in steps])).alias("step", "threshold")
+    full = scored.sparkSession.range(1).select(grid).join(F.broadcast(by_step), "step", "left").na.fill(0, ["pos", "neg"])
+    above = Window.orderBy(F.desc("step"))  # as many rows as thresholds
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = full.select(
+        "threshold", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"), F.sum("pos").over(whole).alias("all")
     )
-    return one_row.select(F.explode(rows).alias("c")).select("c.*")
+    return running.filter("threshold is not null").select("threshold", "tp", "fp", (F.col("all") - F.col("tp")).alias("fn"))
 
 
 def with_prf(counts: DataFrame) -> DataFrame:
@@ -83,20 +86,23 @@ def predicted_flags(scored: DataFrame, threshold: float, probability: str = PROB
 def drive_level_rates(
     scored: DataFrame, threshold: float, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
 ) -> DataFrame:
-    """Per entity max(label) and max(flag), then entity recall and false-alarm rate (one row)."""
-    per_entity = scored.groupBy(entity).agg(
-        F.max(label).alias("failed"),
-        F.max(F.when(flagged(threshold, probability), 1.0).otherwise(0.0)).alias("flagged"),
-    )
-    totals = per_entity.agg(
-        F.coalesce(F.sum("failed"), F.lit(0.0)).alias("failed_drives"),
-        F.coalesce(F.sum(F.col("failed") * F.col("flagged")), F.lit(0.0)).alias("caught_drives"),
-        F.coalesce(F.sum(1 - F.col("failed")), F.lit(0.0)).alias("healthy_drives"),
-        F.coalesce(F.sum((1 - F.col("failed")) * F.col("flagged")), F.lit(0.0)).alias("false_alarm_drives"),
-    )
-    return totals.withColumn("drive_recall", safe_ratio(F.col("caught_drives"), F.col("failed_drives"))).withColumn(
-        "drive_false_alarm_rate", safe_ratio(F.col("false_alarm_drives"), F.col("healthy_drives"))
-    )
+    """How many failed entities were flagged at least once, and how many healthy ones (one row)."""
+    was_flagged = F.coalesce(F.bool_or(flagged(threshold, probability)), F.lit(False))
+    outcomes = scored.groupBy(entity).agg(F.max(label).alias("failed"), was_flagged.alias("flagged"))
+
+    def entities(*conditions: Column) -> Column:
+        return F.count_if(reduce(Column.__and__, conditions)).cast("double")
+
+    failed, healthy = F.col("failed") == 1.0, F.col("failed") == 0.0
+    counts = {
+        "failed_drives": entities(failed),
+        "caught_drives": entities(failed, F.col("flagged")),
+        "healthy_drives": entities(healthy),
+        "false_alarm_drives": entities(healthy, F.col("flagged")),
+    }
+    shares = {"drive_recall": ("caught_drives", "failed_drives"), "drive_false_alarm_rate": ("false_alarm_drives", "healthy_drives")}
+    totals = outcomes.agg(*[c.alias(name) for name, c in counts.items()])
+    return totals.withColumns({name: safe_ratio(F.col(part), F.col(whole)) for name, (part, whole) in shares.items()})
 
 
 def area_under_curves(scored: DataFrame, label: str = LABEL, score: str = PROBABILITY, num_bins: int = 0) -> dict[str, float]:

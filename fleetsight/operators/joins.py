@@ -28,13 +28,11 @@ def join_side_table(
     """Join ``side`` onto ``big``; broadcast only when its measured size is under the bound.
 
     ``side_rows`` is the known row count of an already materialised side (e.g. statistics
-    prepared once at stream start); otherwise the side is checkpointed and counted here.
-    Beyond the bound the join is an ordinary shuffle join and AQE's skew handling splits hot
-    keys of the big side, so a group holding a third of all rows never lands in one task.
+    prepared once at stream start). Without it no job runs here and the plan decides: AQE
+    broadcasts a side that turns out small. Beyond the bound the join is an ordinary shuffle join
+    and AQE's skew handling splits hot keys of the big side, so a group holding a third of all
+    rows never lands in one task.
     """
-    if side_rows is None:
-        side, side_rows = materialize_small(side)
-    rows = side_rows
-    if rows <= max_broadcast_rows:
+    if side_rows is not None and side_rows <= max_broadcast_rows:
         side = F.broadcast(side)
     return big.join(side, on=on, how=how)

@@ -83,6 +83,11 @@ class Layout:
         return self._p("stream", "streaming_anomaly_scores")
 
 
+    @property
+    def score_counts(self) -> str:
+        return self._p("stream", "streaming_row_counts")
+
+
 # report name -> key columns, and model table name -> (location, key columns)
 REPORT_KEYS = {
     "daily_fleet_health": ["date"],
@@ -139,6 +144,7 @@ def training_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DE
     publish(result.metrics, layout.metrics, ["model_name", "split", "metric"])
     publish(result.importance, layout.importance, ["feature"])
     publish(result.predictions, layout.predictions, [spec.group, spec.entity, spec.date])
+    result.release()
     return result.best_name
 
 
@@ -171,7 +177,8 @@ def stream_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEFA
     statistics, context = sides()
     model = load_model_if_present(layout.model)
     if not once:
-        kw.setdefault("reload_sides", sides)
+        kw.setdefault("reload_sides", sides)  # after each micro-batch; the old context is let go
+    kw.setdefault("counts_path", layout.score_counts)
     query = start_scoring_stream(
         spark, layout.incoming, layout.stream_checkpoint, layout.scores, statistics, context, model, spec, once=once, **kw
     )

@@ -57,12 +57,27 @@ def features_c1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_features(cleaned_c1(spark, sf_dir), SPEC)
 
 
-def features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features computed once and written to the shared checkpoint folder, for queries that
-    read them several times (the staged pipeline writes the same table as Parquet)."""
-    from fleetsight.session import cut_lineage
+def last_date_c1(spark: SparkSession, sf_dir: str):
+    """The last day of the cleaned rows, as a lazy scalar over the rows before any window or join."""
+    from pyspark.sql import functions as F
+
+    raw = fixtures.telemetry_c1(spark, sf_dir)
+    valid = raw.transform(clean.normalize_group_names, SPEC).transform(clean.drop_invalid_rows, SPEC)
+    return valid.select(F.max(SPEC.date)).scalar()
 
-    return cut_lineage(features_c1(spark, sf_dir))
+
+def model_rows_c1(spark: SparkSession, sf_dir: str, censor: str = "whole_window") -> DataFrame:
+    return training.prepare_model_rows(
+        features_c1(spark, sf_dir), SPEC, censor=censor, last_date=last_date_c1(spark, sf_dir)
+    )
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from fleetsight.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark, allow_local_default=True).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # ---- flagship: A3 -------------------------------------------------------------------------------
@@ -290,6 +305,22 @@ def daily_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC)
 
 
+@register(
+    "daily_report",
+    O.rounded(
+        _C1_FEATURES
+        + _DAILY_SQL
+        + """
+SELECT date, drive_count, failure_count, at_risk_count, round(failure_rate_pct, 4) AS failure_rate_pct,
+       round(at_risk_rate_pct, 2) AS at_risk_rate_pct, round(mean_temperature_celsius, 1) AS mean_temp_c FROM daily""",
+        ["failure_rate_pct", "at_risk_rate_pct", "mean_temp_c"],
+    ),
+)
+def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily view with its roundings."""
+    return reports.daily_report(reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC), SPEC)
+
+
 @register(
     "weekly_fleet_health",
     O.rounded(
@@ -472,7 +503,7 @@ ORDER BY w.risk_score DESC, p.failure_probability DESC NULLS LAST, w.serial_numb
 )
 def riskiest_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + A10 + T3: watchlist with each drive's latest predicted probability, top 20."""
-    feats = features_table(spark, sf_dir)
+    feats = features_c1(spark, sf_dir)
     return reports.riskiest_drives(
         reports.drive_risk_watchlist(feats, SPEC), fixtures.predictions_c5(feats), k=20, spec=SPEC
     )
@@ -521,7 +552,7 @@ _ROW_DOUBLES = ["failure_label", *SPEC.feature_columns()]
 )
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9 (original rule: healthy rows of the last 30 days censored), P10, P11, A8."""
-    return training.prepare_model_rows(features_table(spark, sf_dir), SPEC, censor="healthy_only")
+    return model_rows_c1(spark, sf_dir, censor="healthy_only")
 
 
 @register(
@@ -530,7 +561,7 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def model_rows_whole_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9 (whole last window censored, the default for training), P10, P11, A8."""
-    return training.prepare_model_rows(features_table(spark, sf_dir), SPEC, censor="whole_window")
+    return model_rows_c1(spark, sf_dir)
 
 
 @register(
@@ -543,16 +574,9 @@ FROM (SELECT DISTINCT serial_number, {_MD5_BUCKET.format(k='serial_number', n=10
 )
 def split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 + P12: every drive's stable bucket and the split it falls in."""
-    from pyspark.sql import functions as F
-
     drives = cleaned_c1(spark, sf_dir, zscores=False).select("serial_number").distinct()
     drives = drives.withColumn("split_bucket", training.split_bucket(SPEC).cast("int"))
-    train, validation, test = training.split_by_entity(drives)
-    return (
-        train.withColumn("split", F.lit("train"))
-        .unionByName(validation.withColumn("split", F.lit("validation")))
-        .unionByName(test.withColumn("split", F.lit("test")))
-    )
+    return drives.withColumn("split", training.split_name())
 
 
 _TRAIN_SQL = _model_rows_sql("whole_window") + ",\ntrain AS (SELECT * FROM model_rows WHERE split_bucket < 70)"
@@ -567,8 +591,7 @@ _TRAIN_SQL = _model_rows_sql("whole_window") + ",\ntrain AS (SELECT * FROM model
 )
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: rows per label in the training split."""
-    rows = training.prepare_model_rows(features_table(spark, sf_dir), SPEC)
-    return training.label_counts(training.split_by_entity(rows)[0], SPEC)
+    return training.label_counts(training.in_split(model_rows_c1(spark, sf_dir), "train"), SPEC)
 
 
 @register(
@@ -587,8 +610,7 @@ WHERE failure_label = 1.0
 )
 def downsampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: all positives and at most 20 negatives per positive, chosen by a stable hash."""
-    rows = training.prepare_model_rows(features_table(spark, sf_dir), SPEC)
-    train = training.split_by_entity(rows)[0]
+    train = training.in_split(model_rows_c1(spark, sf_dir), "train")
     return training.downsample_negatives(train, SPEC).select("serial_number", "date", "failure_label")
 
 
@@ -680,6 +702,53 @@ def predicted_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.predicted_flags(scored_c2(spark, sf_dir), RATE_THRESHOLD)
 
 
+# thresholds of the curves are the distinct probabilities; areas are by trapezoids, with the point (0, first precision)
+_EVALUATE_SQL = (
+    _SWEEP_SQL
+    + """,
+best AS (SELECT threshold, precision, recall, f1 FROM sweep ORDER BY f1 DESC, threshold LIMIT 1),
+steps AS (
+  SELECT failure_probability AS p, count(*) FILTER (WHERE failure_label = 1.0) AS pos, count(*) FILTER (WHERE failure_label <> 1.0) AS neg
+  FROM scored GROUP BY 1
+),
+curve AS (
+  SELECT CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp, p,
+         sum(pos) OVER () AS all_pos, sum(neg) OVER () AS all_neg
+  FROM steps WINDOW w AS (ORDER BY p DESC ROWS UNBOUNDED PRECEDING)
+),
+points AS (SELECT p, tp / all_pos AS tpr, fp / all_neg AS fpr, tp / (tp + fp) AS prec FROM curve),
+pairs AS (
+  SELECT tpr, fpr, prec, lag(tpr, 1, 0.0) OVER o AS tpr0, lag(fpr, 1, 0.0) OVER o AS fpr0, lag(prec, 1, prec) OVER o AS prec0
+  FROM points WINDOW o AS (ORDER BY p DESC)
+),
+areas AS (
+  SELECT sum((tpr - tpr0) * (prec + prec0) / 2) AS area_under_pr, sum((fpr - fpr0) * (tpr + tpr0) / 2) AS area_under_roc FROM pairs
+),
+per AS (
+  SELECT entity_group, max(failure_label) AS failed, bool_or(failure_probability >= (SELECT threshold FROM best)) AS hit
+  FROM scored GROUP BY entity_group
+),
+rates AS (
+  SELECT count(*) FILTER (WHERE failed = 1 AND hit) / greatest(count(*) FILTER (WHERE failed = 1), 1) AS drive_recall,
+         count(*) FILTER (WHERE failed = 0 AND hit) / greatest(count(*) FILTER (WHERE failed = 0), 1) AS drive_false_alarm_rate
+  FROM per
+)
+SELECT 'fixture' AS model_name, 'validation' AS split, round(area_under_pr, 4) AS pr_auc, round(area_under_roc, 4) AS roc_auc,
+       round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1, round(drive_recall, 4) AS drive_recall,
+       round(drive_false_alarm_rate, 4) AS drive_false_alarm_rate, threshold
+FROM best, areas, rates"""
+)
+
+
+@register("evaluate_scored", O.rounded(_EVALUATE_SQL, ["threshold"]))
+def evaluate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight metrics at the best threshold, as the pivoted report shows them."""
+    scored = scored_c2(spark, sf_dir)
+    figures = evaluation.evaluate(scored, evaluation.best_threshold_value(scored), entity="entity_group")
+    rows = [("fixture", "validation", metric, value) for metric, value in figures.items()]
+    return reports.metrics_pivot(spark.createDataFrame(rows, "model_name string, split string, metric string, value double"))
+
+
 def _metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sweep in long form (model_name, split, metric, value)."""
     from pyspark.sql import functions as F
@@ -737,23 +806,27 @@ def stream_split(spark: SparkSession, sf_dir: str):
 
 
 def stream_sides(spark: SparkSession, sf_dir: str):
-    from fleetsight.session import cut_lineage
-
     history, batch = stream_split(spark, sf_dir)
-    cleaned_history = cut_lineage(clean.clean_telemetry(history, SPEC, zscores=False))
+    cleaned_history = clean.clean_telemetry(history, SPEC, zscores=False)
     statistics = scoring.model_statistics(cleaned_history, SPEC)
-    context = scoring.entity_context(features.build_features(clean.add_group_zscores(cleaned_history, SPEC), SPEC), SPEC)
+    # the context is first_seen and the trends, none of which reads a z-score
+    context = scoring.entity_context(features.build_features(cleaned_history, SPEC), SPEC)
     return statistics, context, batch
 
 
-_STREAM_SQL = (
-    O.with_ctes(O.C1_TELEMETRY)
-    + f""",
+def _history_sql(batch_columns: str = "t.*") -> str:
+    return (
+        O.with_ctes(O.C1_TELEMETRY)
+        + f""",
 cutoff AS (SELECT max(date) - {STREAM_DAYS} AS c FROM telemetry),
 history AS (SELECT t.* FROM telemetry t, cutoff WHERE t.date <= c),
-batch_raw AS (SELECT t.* FROM telemetry t, cutoff WHERE t.date > c),"""
-    + O.clean_ctes(SPEC, zscores=False, source="history")
-    + """,
+batch_raw AS (SELECT {batch_columns} FROM telemetry t, cutoff WHERE t.date > c),"""
+        + O.clean_ctes(SPEC, zscores=False, source="history")
+    )
+
+
+_SCORES_SQL = (
+    """,
 hstats AS (SELECT model, """
     + _q([f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in SPEC.raw_columns])
     + """ FROM cleaned GROUP BY model),
@@ -789,9 +862,11 @@ SELECT z.date, z.serial_number, z.model, z.failure,
     + """
 FROM zb z LEFT JOIN ctx c ON c.serial_number = z.serial_number"""
 )
+_STREAM_SQL = _history_sql() + _SCORES_SQL
+_SCORE_DOUBLES = ["max_error_zscore", "failure_probability", *[m.zscore for m in _COUNTERS]]
 
 
-@register("score_batch_rules", O.rounded(_STREAM_SQL, ["max_error_zscore", "failure_probability", *[m.zscore for m in _COUNTERS]]))
+@register("score_batch_rules", O.rounded(_STREAM_SQL, _SCORE_DOUBLES))
 def score_batch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2 without a model: z-scores against history, rule scores, drive context and age."""
     statistics, context, batch = stream_sides(spark, sf_dir)
@@ -799,6 +874,23 @@ def score_batch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_batch(batch, statistics, context, None, SPEC)
 
 
+@register(
+    "context_trends",
+    O.rounded(
+        _history_sql()
+        + ","
+        + O.feature_ctes(SPEC, "cleaned")
+        + f"""
+SELECT serial_number, first_seen, {_q(_TRENDS)}
+FROM (SELECT *, row_number() OVER (PARTITION BY serial_number ORDER BY date DESC) AS rn FROM features) WHERE rn = 1""",
+        _TRENDS,
+    ),
+)
+def context_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each drive's first day and its trends at its latest day of the history."""
+    return stream_sides(spark, sf_dir)[1]
+
+
 # ---- C6: P22 / T6 / A14 -------------------------------------------------------------------------
 @register(
     "recent_scores",
@@ -836,6 +928,77 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.batch_summary(fixtures.stream_scores_c6(spark, sf_dir))
 
 
+@register(
+    "recent_scores_month",
+    O.rounded(
+        O.with_ctes(O.C6_STREAM)
+        + """,
+worst AS (
+  SELECT row_number() OVER (ORDER BY failure_probability DESC NULLS LAST, max_error_zscore DESC NULLS LAST, batch_id, serial_number, date, scored_at) - 1 AS position, *
+  FROM scores WHERE scored_at >= (SELECT max(scored_at) FROM scores) - INTERVAL 30 DAY
+)
+SELECT position, scored_at, batch_id, date, serial_number, model, anomalous_counter_count,
+       round(max_error_zscore, 1) AS max_error_z, round(failure_probability, 3) AS failure_probability
+FROM worst WHERE position < 50""",
+        ["max_error_z", "failure_probability"],
+    ),
+)
+def recent_scores_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 with more rows than it shows, in its order (position counts the rows as they come)."""
+    from pyspark.sql import functions as F
+
+    scores = fixtures.stream_scores_c6(spark, sf_dir)
+    as_of = scores.select(F.max("scored_at")).scalar()
+    top = reports.recent_scores(scores, as_of=as_of, window="INTERVAL 30 DAYS", k=50, spec=SPEC)
+    return top.select(F.monotonically_increasing_id().alias("position"), "*")
+
+
+# More groups than the report shows, some of them below its least size
+_C8_SQL = """
+summary AS (
+  SELECT CASE WHEN l_partkey % 97 = 0 THEN concat('R', CAST(l_partkey AS VARCHAR)) ELSE concat('P', CAST(l_partkey % 40 AS VARCHAR)) END AS model,
+         count(DISTINCT l_orderkey) AS drive_count, count(*) AS drive_days,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS failure_count,
+         count(*) FILTER (WHERE l_returnflag = 'R') / (count(*) / 365.0) * 100 AS annualized_failure_rate_pct,
+         avg(l_quantity) AS mean_capacity_tb, avg(l_linenumber) AS mean_age_at_failure_days
+  FROM lineitem GROUP BY 1
+)"""
+
+
+@register(
+    "top_groups_default",
+    O.rounded(
+        O.with_ctes(_C8_SQL)
+        + """,
+placed AS (SELECT row_number() OVER (ORDER BY annualized_failure_rate_pct DESC NULLS LAST, model) - 1 AS position, * FROM summary WHERE drive_count >= 100)
+SELECT position, model, drive_count, drive_days, failure_count, annualized_failure_rate_pct, round(annualized_failure_rate_pct, 2) AS afr_pct,
+       round(mean_capacity_tb, 1) AS capacity_tb, round(mean_age_at_failure_days) AS mean_age_at_failure_days
+FROM placed WHERE position < 25""",
+        ["annualized_failure_rate_pct", "afr_pct", "capacity_tb", "mean_age_at_failure_days"],
+    ),
+)
+def top_groups_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 + T2 at their defaults (100 entities, 25 groups), where both cut; rows in their order."""
+    from pyspark.sql import functions as F
+
+    returned = F.count_if(F.col("l_returnflag") == "R")
+    rare = F.concat(F.lit("R"), F.col("l_partkey").cast("string"))
+    common = F.concat(F.lit("P"), (F.col("l_partkey") % 40).cast("string"))
+    summary = (
+        fixtures.table(spark, sf_dir, "lineitem")
+        .groupBy(F.when(F.col("l_partkey") % 97 == 0, rare).otherwise(common).alias("model"))
+        .agg(
+            F.countDistinct("l_orderkey").alias("drive_count"),
+            F.count("*").alias("drive_days"),
+            returned.alias("failure_count"),
+            (returned / (F.count("*") / F.lit(365.0)) * 100).alias("annualized_failure_rate_pct"),
+            F.avg("l_quantity").alias("mean_capacity_tb"),
+            F.avg("l_linenumber").alias("mean_age_at_failure_days"),
+        )
+    )
+    return reports.top_models_by_afr(summary).select(F.monotonically_increasing_id().alias("position"), "*")
+
+
 # ---- Q1-Q6 / J5 / SK8 ---------------------------------------------------------------------------
 @register(
     "sanity_checks",
@@ -863,7 +1026,7 @@ SELECT
 )
 def sanity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q6, Q4b, J5, SK8 as one row of booleans (true = pass)."""
-    feats = features_table(spark, sf_dir)
+    feats = features_c1(spark, sf_dir)
     return checks.sanity_checks(
         spark,
         reports.daily_fleet_health(feats, SPEC),
@@ -880,16 +1043,12 @@ def sanity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-_TABLE_WIDTH = {
-    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11,
-    "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
-}
-
 
 @register(
     "table_inventory",
     "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, count(*) AS total_rows, {_TABLE_WIDTH[t]} AS column_count FROM {t}"
+        f"""SELECT '{t}' AS table_name, count(*) AS total_rows,
+       (SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS column_count FROM {t}"""
         for t in _DRIVER_TABLES
     ),
 )
@@ -902,25 +1061,46 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("train_and_evaluate")
 def train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit both candidates, tune and pick, evaluate once on test; metrics table."""
-    result = training.train_and_evaluate(features_table(spark, sf_dir), SPEC)
+    result = training.train_and_evaluate(features_c1(spark, sf_dir), SPEC, staging_path=shared_folder(spark, "model-rows"))
+    result.release()
     return result.metrics
 
 
-# ---- SC7 / ST1-ST6 (rows-only: arrival order and time stamps are not SQL) -----------------------
-@register("stream_scores")
+# ---- SC1 / SC2: CSV batches with their own headers ----------------------------------------------
+@register("csv_ingest", O.with_ctes(O.C1_TELEMETRY) + "\nSELECT * FROM telemetry")
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC1, SC2, SC3, U1: telemetry written as CSV batches with two column orders, read back."""
+    from pyspark.sql import functions as F
+
+    from fleetsight.sources.csv import discover_batch_files, read_csv_batches
+
+    raw = fixtures.telemetry_c1(spark, sf_dir)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    root = shared_folder(spark, "csv ingest %41")  # a space and a percent sign, as folders may have
+    for batch, failed, columns in (("a", "0", raw.columns), ("b", "1", raw.columns[::-1])):
+        part = text.filter(F.col("failure") == failed).select(*columns)
+        part.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{batch}")
+    return read_csv_batches(spark, discover_batch_files(spark, root), SPEC.schema())
+
+
+# ---- SC7 / ST1-ST6 ------------------------------------------------------------------------------
+_ARRIVED = "t.* REPLACE (CASE WHEN t.failure = 0 AND t.smart_188_raw = 0 THEN NULL ELSE t.smart_188_raw END AS smart_188_raw)"
+
+
+@register(
+    "stream_scores",
+    O.rounded("SELECT *, CAST(0 AS INTEGER) AS batch_id FROM (\n" + _history_sql(_ARRIVED) + _SCORES_SQL + "\n) AS scored_batch", _SCORE_DOUBLES),
+)
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC7, ST1-ST6: last-7-day readings written as CSV files with two different headers and a
     malformed value, drained by the file stream into an idempotent table (scored_at dropped)."""
-    import uuid
+    from pyspark.sql import functions as F
 
-    from fleetsight.session import checkpoint_dir
     from fleetsight.streaming.job import start_scoring_stream
 
     statistics, context, batch = stream_sides(spark, sf_dir)
-    root = f"{checkpoint_dir(spark, allow_local_default=True).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = shared_folder(spark, "stream")
     cols = batch.columns
-    from pyspark.sql import functions as F
-
     as_text = batch.select(*[F.col(c).cast("string").alias(c) for c in cols])
     first = as_text.withColumn("smart_188_raw", F.when(F.col("smart_188_raw") == "0", "n/a").otherwise(F.col("smart_188_raw")))
     first.filter(F.col("failure") == "0").write.option("header", True).csv(f"{root}/staging/a")

@@ -37,6 +37,21 @@ def check_contract(df: DataFrame, keys: Sequence[str]) -> None:
         raise KeyError(f"key columns not in frame: {missing}")
 
 
+def _null_key(keys: Sequence[str], path: str) -> str:
+    return f"NULL key in {list(keys)} for {path}"
+
+
+def keyed(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """SK8: ``df`` sorted by its key within each file; the write that runs it fails on a NULL key."""
+    check_contract(df, keys)
+    if not keys:
+        return df
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return df.filter(F.assert_true(present, _null_key(keys, path)).isNull()).sortWithinPartitions(*keys)
+
+
 def publish(df: DataFrame, path: str, keys: Sequence[str], mode: str = "replace") -> DataFrame:
     """SK3 / SK6 / SK7: write a published table sorted by its key within each file.
 
@@ -44,18 +59,13 @@ def publish(df: DataFrame, path: str, keys: Sequence[str], mode: str = "replace"
     the write (types) and inside the write job itself: a NULL key fails the job through
     ``assert_true`` instead of costing a second pass over the written table.
     """
-    check_contract(df, keys)
     if mode not in ("replace", "append"):
         raise ValueError(mode)
-    key_present = F.lit(True)
-    for k in keys:
-        key_present = key_present & F.col(k).isNotNull()
-    message = f"NULL key in {list(keys)} for {path}"
-    guarded = df.filter(F.assert_true(key_present, message).isNull())
-    writer = guarded.sortWithinPartitions(*keys).write.mode("overwrite" if mode == "replace" else "append")
+    writer = keyed(df, keys, path).write.mode("overwrite" if mode == "replace" else "append")
     try:
         writer.parquet(path)
     except Exception as error:
+        message = _null_key(keys, path)
         if message in str(error):
             raise ValueError(message) from None
         raise

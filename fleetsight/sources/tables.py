@@ -1,4 +1,4 @@
-"""SC5 / SC6: staged Parquet tables and optional tables that may not exist yet."""
+"""SC5 / SC6: staged Parquet tables, and tables or folders that may not exist yet."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+
 
 def read_table(spark: SparkSession, location: str) -> DataFrame:
     """A staged table: a catalog table name or a Parquet folder."""
@@ -15,6 +17,24 @@ def read_table(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location)
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether Spark's error condition says that a path or table isn't there."""
+    return error.getCondition() in ABSENT
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked through Spark's own file access (nothing is read)."""
+    from fleetsight.sources.csv import literal_path
+
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(path))
+    except AnalysisException as error:
+        if is_absent(error):
+            return False
+        raise
+    return True
+
+
 def load_optional_tables(
     spark: SparkSession, locations: Mapping[str, str]
 ) -> tuple[dict[str, DataFrame], list[str]]:
@@ -23,12 +43,9 @@ def load_optional_tables(
     missing: list[str] = []
     for name, location in locations.items():
         try:
-            df = read_table(spark, location)
-            df.schema  # resolves the path now, not at the first action
-            found[name] = df
+            found[name] = read_table(spark, location)
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error) or "TABLE_OR_VIEW_NOT_FOUND" in str(error) or "does not exist" in str(error):
-                missing.append(name)
-            else:
+            if not is_absent(error):
                 raise
+            missing.append(name)
     return found, missing
