@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from fleetsight.llm.common import staged
 from fleetsight.llm.components import components
 
-SAMPLE = 20_000  # bound of the vectors that trees are fitted on
+SAMPLE = 20_000  # vectors that trees are fitted on: about so many, never more than twice
 TREES = 10
 LEAF = 1_000
 BLOCK = 1_024
@@ -251,8 +251,10 @@ def near_duplicates(
     )
     nodes = staged(nodes, "forest-nodes")
     n = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").collect()
-    units, spill, rng = _units([r.vector for r in sample]), margin(common.dimension, cosine), np.random.default_rng(seed)
+    # about SAMPLE vectors by a hash, so that nothing is ranked in one task
+    share = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))
+    sample = sorted(bytes(r.vector) for r in nodes.filter(share).select("vector").limit(2 * SAMPLE).collect())
+    units, spill, rng = _units(sample or [bytes(nodes.first().vector)]), margin(common.dimension, cosine), np.random.default_rng(seed)
     grown = [grow(units, max(leaf * len(units) / n, 8), spill, rng) for _ in range(trees)]
     placed = staged(_routed(nodes, grown, spill), "forest-routed")
     sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()

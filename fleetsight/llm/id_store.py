@@ -48,14 +48,14 @@ _DOCS = "part long, segment long, position long, doc_id long, n_tokens long, bef
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end: bytes) -> bytes:
-    """A dictionary over the ids of a bounded sample: the documents with the smallest id hashes."""
-    rows = (
-        docs.filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-        .orderBy(F.xxhash64("doc_id"), "text")
-        .limit(SAMPLE_DOCUMENTS)
-        .select("text")
-        .collect()
-    )
+    """A dictionary over the ids of a bounded sample: the documents with the smallest id hashes.
+
+    The hashes are ranked alone, so that no task gathers texts but the few that are taken.
+    """
+    hashed = docs.filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES).withColumn("h", F.xxhash64("doc_id"))
+    least = [r.h for r in hashed.select("h").orderBy("h").limit(SAMPLE_DOCUMENTS).collect()]
+    rows = hashed.filter(F.col("h") <= max(least)).select("h", "text").limit(SAMPLE_DOCUMENTS).collect() if least else []
+    rows.sort(key=lambda r: (r.h, r.text))
     samples = [ids + end for ids in tokens.encoder(tokenizer).encode([r.text for r in rows])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
