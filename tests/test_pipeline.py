@@ -66,7 +66,7 @@ def test_staged_model_rows_equal_unstaged(spark, layout):
     feats = spark.read.parquet(layout.features)
     staged = spark.read.parquet(layout.model_rows)
     rows = training.prepare_model_rows(feats)
-    train, validation, test = training.split_by_entity(rows)
+    train, validation, test = (training.in_split(rows, name) for name in training.SPLITS)
     expected = {
         "train": training.downsample_negatives(train),
         "validation": validation,

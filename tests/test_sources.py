@@ -87,3 +87,28 @@ def test_lineage_column(spark, scratch):
     files = discover_batch_files(spark, scratch)
     out = read_csv_batches(spark, files, DEFAULT_SPEC.schema(), with_lineage=True).first()
     assert out.source_file.endswith("a.csv") and out.serial_number == "A"
+
+
+@pytest.mark.parametrize("folder", ["q 1", "q%201", "q[1]", "ü"])
+def test_paths_are_taken_literally(spark, scratch, folder):
+    _write(f"{scratch}/{folder}/a b.csv", "serial_number,date\nA,2026-01-01\n")
+    files = discover_batch_files(spark, scratch, [folder])
+    out = read_csv_batches(spark, files, DEFAULT_SPEC.schema(), with_lineage=True).collect()
+    assert [r.serial_number for r in out] == ["A"] and out[0].source_file.endswith(f"{folder}/a b.csv")
+
+
+def test_a_probe_that_fails_is_raised(spark, scratch):
+    with pytest.raises(Exception):
+        file_headers(spark, [f"{scratch}/nowhere/a.csv"])
+
+
+def test_repeated_header_names_and_empty_files(spark, scratch):
+    _write(f"{scratch}/q/a.csv", "\ufeffserial_number,date,Date,smart_5_raw,smart_5_raw\nA,2026-01-01,x,1,2\n")
+    _write(f"{scratch}/q/b.csv", "")
+    out = read_csv_batches(spark, discover_batch_files(spark, scratch), DEFAULT_SPEC.schema()).collect()
+    assert [(r.serial_number, r.smart_5_raw) for r in out] == [("A", 1)]
+
+
+def test_header_probe_reads_large_files_once_each(spark, scratch):
+    _write(f"{scratch}/q/a.csv", "serial_number\n" + "x" * 100 + "\n" + "y\n" * 200_000)
+    assert list(file_headers(spark, discover_batch_files(spark, scratch)).values()) == ["serial_number"]

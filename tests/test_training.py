@@ -16,40 +16,55 @@ def label_rows(spark, rows):
     return spark.createDataFrame(data, ", ".join(cols))
 
 
-@pytest.fixture(scope="module")
-def rows(spark):
-    last = dt.date(2026, 3, 31)
-    return label_rows(
-        spark,
-        [
-            ("OLD", "M", dt.date(2026, 1, 1), 0, None),
-            ("RECENT", "M", last, 0, None),
-            ("FAILED", "M", last, 1, last),
-        ],
-    )
+LAST = dt.date(2024, 7, 15)
+HORIZON = S.horizon_days
 
 
-def test_censoring_original_rule_keeps_failed_rows(rows):
-    kept = {r.serial_number for r in training.prepare_model_rows(rows, censor="healthy_only").collect()}
-    assert kept == {"OLD", "FAILED"}
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Ten units a week apart in age; every third one fails on the last day."""
+    made = []
+    for i in range(10):
+        failed = LAST if i % 3 == 0 else None
+        made.append((f"unit-{i}", "kind", LAST - dt.timedelta(days=7 * i), int(failed is not None and 7 * i <= HORIZON), failed))
+    return label_rows(spark, made)
+
+
+@pytest.mark.parametrize("censor", ["healthy_only", "whole_window"])
+def test_censoring_drops_what_the_rule_says(rows, censor):
+    kept = {r.serial_number for r in training.prepare_model_rows(rows, censor=censor).collect()}
+    recent = {f"unit-{i}" for i in range(10) if 7 * i < HORIZON}
+    failed = {f"unit-{i}" for i in range(0, 10, 3)}
+    everyone = {f"unit-{i}" for i in range(10)}
+    assert kept == everyone - (recent - failed if censor == "healthy_only" else recent)
+
+
+def test_censoring_with_a_given_last_date(rows):
+    later = F.lit(LAST + dt.timedelta(days=365))
+    assert training.prepare_model_rows(rows, last_date=later).count() == 10
+    with pytest.raises(ValueError):
+        training.censor_filter(rows, censor="nothing")
 
 
-def test_censoring_whole_window(rows):
-    kept = {r.serial_number for r in training.prepare_model_rows(rows, censor="whole_window").collect()}
-    assert kept == {"OLD"}
+def test_model_rows_have_no_nulls_and_a_bucket(rows):
+    for method in ("md5", "xxhash64"):
+        out = training.prepare_model_rows(rows, censor="healthy_only", bucket=method)
+        for r in out.collect():
+            assert all(r[c] is not None for c in S.feature_columns()) and r.split_bucket in range(100)
 
 
-def test_model_rows_fill_nulls_with_zero(rows):
-    row = training.prepare_model_rows(rows, censor="healthy_only").filter("serial_number = 'OLD'").first()
-    assert row.age_days == 0.0 and row.smart_5_raw == 0.0 and 0 <= row.split_bucket < 100
+def test_every_bucket_is_in_one_split(spark):
+    buckets = spark.range(100).select(F.col("id").cast("int").alias("split_bucket"))
+    named = {name: {r.split_bucket for r in training.in_split(buckets, name).collect()} for name in training.SPLITS}
+    assert {n: len(b) for n, b in named.items()} == {"train": 70, "validation": 10, "test": 20}
+    assert set.union(*named.values()) == set(range(100))
+    assert max(named["train"]) < min(named["validation"]) and max(named["validation"]) < min(named["test"])
 
 
-def test_split_bucket_edges(spark):
-    df = spark.createDataFrame([(b,) for b in (0, 69, 70, 79, 80, 99)], "split_bucket int")
-    train, validation, test = training.split_by_entity(df)
-    assert sorted(r.split_bucket for r in train.collect()) == [0, 69]
-    assert sorted(r.split_bucket for r in validation.collect()) == [70, 79]
-    assert sorted(r.split_bucket for r in test.collect()) == [80, 99]
+def test_xxhash_bucket_is_spark_xxhash(spark):
+    df = spark.createDataFrame([("unit-1",), ("unit-2",)], "serial_number string")
+    row = df.select(training.split_bucket(S, "xxhash64").alias("b"), F.expr("pmod(xxhash64(serial_number), 100)").alias("w")).collect()
+    assert all(r.b == r.w for r in row)
 
 
 def test_downsampling_needs_a_positive(spark):
@@ -72,18 +87,32 @@ def test_downsampling_ratio_and_stability(spark):
     assert sorted(kept.collect()) == sorted(again.collect())
 
 
+SCORES = [(f"u{i % 7}", float(i % 5 == 0), round((i * 37 % 101) / 100, 2)) for i in range(60)]
+
+
 def scored(spark):
-    return spark.createDataFrame(
-        [("a", 1.0, 0.9), ("b", 1.0, 0.7), ("c", 0.0, 0.3), ("d", 0.0, 0.1)],
-        "serial_number string, failure_label double, failure_probability double",
-    )
+    return spark.createDataFrame(SCORES, "serial_number string, failure_label double, failure_probability double")
+
 
+def plain_counts(threshold):
+    tp = sum(1 for _, y, p in SCORES if y == 1 and p >= threshold)
+    fp = sum(1 for _, y, p in SCORES if y == 0 and p >= threshold)
+    return tp, fp, sum(1 for _, y, _ in SCORES if y == 1) - tp
 
-def test_best_threshold_separates(spark):
-    t = evaluation.best_threshold_value(scored(spark))
-    assert 0.3 < t <= 0.7
+
+def test_sweep_equals_plain_counts(spark):
     sweep = {r.threshold: r for r in evaluation.threshold_sweep(scored(spark)).collect()}
-    assert sweep[0.5].f1 == 1.0 and len(sweep) == 19
+    assert sorted(sweep) == evaluation.THRESHOLDS
+    for t, r in sweep.items():
+        assert (r.tp, r.fp, r.fn) == plain_counts(t)
+    best = max(sweep.values(), key=lambda r: (r.f1, -r.threshold))
+    assert evaluation.best_threshold_value(scored(spark)) == best.threshold
+
+
+def test_rows_without_label_or_probability_count_nowhere(spark):
+    more = spark.createDataFrame([("x", None, 0.9), ("x", 1.0, None)], "serial_number string, failure_label double, failure_probability double")
+    row = evaluation.threshold_sweep(scored(spark).union(more), [0.5]).first()
+    assert (row.tp, row.fp, row.fn) == plain_counts(0.5)
 
 
 def test_ratios_are_zero_on_empty_denominators(spark):
@@ -94,16 +123,24 @@ def test_ratios_are_zero_on_empty_denominators(spark):
     assert rates.drive_recall == 0.0 and rates.drive_false_alarm_rate == 0.0
 
 
-def test_drive_level_rates(spark):
-    df = scored(spark).union(spark.createDataFrame([("c", 0.0, 0.8)], "serial_number string, failure_label double, failure_probability double"))
-    r = evaluation.drive_level_rates(df, 0.5).first()
-    assert r.drive_recall == 1.0 and r.drive_false_alarm_rate == 0.5
+def test_drive_level_rates_equal_plain_ones(spark):
+    by_unit = {}
+    for u, y, p in SCORES:
+        label, hit = by_unit.get(u, (0.0, False))
+        by_unit[u] = (max(label, y), hit or p >= 0.9)
+    failed = [hit for y, hit in by_unit.values() if y == 1]
+    healthy = [hit for y, hit in by_unit.values() if y == 0]
+    r = evaluation.drive_level_rates(scored(spark), 0.9).first()
+    assert (r.failed_drives, r.caught_drives) == (len(failed), sum(failed))
+    assert (r.healthy_drives, r.false_alarm_drives) == (len(healthy), sum(healthy))
 
 
 def test_evaluate_reports_all_metrics(spark):
     m = evaluation.evaluate(scored(spark), 0.5)
     assert set(m) == {"area_under_pr", "area_under_roc", "threshold", "precision", "recall", "f1", "drive_recall", "drive_false_alarm_rate"}
-    assert m["area_under_roc"] == pytest.approx(1.0)
+    positives, negatives = ([p for _, y, p in SCORES if y == want] for want in (1, 0))
+    better = sum((a > b) + 0.5 * (a == b) for a in positives for b in negatives)
+    assert m["area_under_roc"] == pytest.approx(better / len(positives) / len(negatives))
 
 
 def test_fit_score_and_importance(spark):
