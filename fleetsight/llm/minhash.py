@@ -3,7 +3,7 @@
 A document's word shingles are hashed once and dealt into bins; a bin keeps its least hash. An empty
 bin takes the value of the first filled bin in a random order of its own (the same for all
 documents). Five bins make a band, and documents that agree in a band share a bucket. In a bucket,
-only edges from its smallest member to the others are candidates, so a bucket of m documents gives
+only edges from one hub to the others are candidates, so a bucket of m documents gives
 m - 1 pairs. Links are confirmed on the full shingle sets.
 
 A star can miss a link between two members that the hub doesn't link. So when the components of the
@@ -38,7 +38,6 @@ BINS = BANDS * ROWS
 WORDS = 5
 PERCENT = 80
 BLOCK = 1024  # members of a bucket that one task compares with as many others
-SURE = 64  # sets of at least so many shingles must agree in half of their bins
 SLOTS = 1 << 22  # bits of the filter that picks the texts to confirm on
 
 _EMPTY = np.uint64(1 << 63)
@@ -203,14 +202,29 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, p
     return staged(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"), f"{name}-links")
 
 
+def least_agreement(size: np.ndarray, percent: int) -> np.ndarray:
+    """The share of equal bins below which sets of ``size`` shingles aren't similar enough.
+
+    Six standard deviations below the least similarity; a set fills about BINS(1 - exp(-size/BINS))
+    bins by itself, and the others repeat those.
+    """
+    filled = BINS * -np.expm1(-np.asarray(size, np.float64) / BINS)
+    least = percent / 100
+    return least - 6 * np.sqrt(least * (1 - least) / filled)
+
+
 def _members_in_full(percent: int):
-    """Pairs across components in two blocks of a bucket (or within one) that may be links."""
+    """Pairs across components in two blocks of a bucket (or within one) that may be links.
+
+    A pair is given in the first band that both its members share.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node").reset_index(drop=True)
-        lo, hi = frame["lo"].iloc[0], frame["hi"].iloc[0]
+        band, lo, hi = (int(frame[c].iloc[0]) for c in ("band", "lo", "hi"))
         left, right = frame[frame["block"] == lo], frame[frame["block"] == hi]
         sign = np.frombuffer(b"".join(right["signature"]), np.uint8).reshape(-1, BINS)
+        bands = np.stack([np.asarray(b) for b in right["bands"]])
         size, root, node = (right[c].to_numpy() for c in ("n_shingles", "root", "node"))
         out = []
         for r in left.itertuples():
@@ -219,10 +233,12 @@ def _members_in_full(percent: int):
             if lo == hi:
                 other &= node > r.node
             at = np.flatnonzero(other)
-            if not len(at):
-                continue
-            agree = (sign[at] == np.frombuffer(r.signature, np.uint8)).sum(axis=1)
-            at = at[(agree * 2 >= BINS) | (np.minimum(size[at], r.n_shingles) < SURE)]
+            agree = (sign[at] == np.frombuffer(r.signature, np.uint8)).mean(axis=1)
+            at = at[agree >= least_agreement(np.minimum(size[at], r.n_shingles), percent)]
+            if len(at):
+                own = np.asarray(r.bands)
+                first = (bands[at] == own).argmax(axis=1)
+                at = at[own[first] == band]
             out.append(np.stack([np.full(len(at), r.node), node[at]]))
         pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         return pd.DataFrame({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
@@ -230,10 +246,9 @@ def _members_in_full(percent: int):
     return run
 
 
-def _unsettled(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _unsettled(nodes: DataFrame, buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes in a bucket that holds several components, beyond what its star compared."""
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = placed.select("node", "root", F.explode("bands").alias("band"))
+    rows = buckets.join(roots, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
     mixed = (
         rows.groupBy("band")
         .agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -244,29 +259,46 @@ def _unsettled(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     members = rows.join(mixed, "band").withColumn("block", block)
     dealt = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", "node", "root", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
-    full = dealt.join(nodes.select("node", "n_shingles", "signature"), "node")
-    return full.groupBy("band", "lo", "hi").applyInPandas(_members_in_full(percent), "a long, b long").distinct()
+    full = dealt.join(nodes.select("node", "n_shingles", "signature", "bands"), "node")
+    return full.groupBy("band", "lo", "hi").applyInPandas(_members_in_full(percent), "a long, b long")
+
+
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(node, band, n): the buckets of n nodes, two at least; most nodes have none, and are left behind here."""
+    rows = nodes.select("node", F.explode("bands").alias("band"))
+    sizes = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    return staged(rows.join(sizes, "band"), "minhash-buckets")
+
+
+def stars(buckets: DataFrame) -> DataFrame:
+    """(node, hub, shared): candidate edges from each bucket's hub to its other members.
+
+    The hub is the member whose buckets are largest in sum: among copies of one text that is the
+    text itself, which is more similar to each of them than they are to one another.
+    """
+    weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    hubs = buckets.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
+    edges = buckets.join(hubs, "band").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("shared"))
+    return staged(edges, "minhash-stars")
 
 
 def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(confirmed links, components) of the nodes; docs: doc_id, text."""
-    buckets = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = buckets.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("most")).filter("hub <> most").select("band", "hub")
-    edges = buckets.join(hubs, "band").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("shared"))
-    stars = staged(edges, "minhash-stars")
+    buckets = shared_buckets(nodes)
+    edges = stars(buckets)
     # most documents settle with the hub that they share most bands with
-    best = stars.groupBy("node").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    best = edges.groupBy("node").agg(F.max(F.struct("shared", "hub"))["hub"].alias("a")).select("a", F.col("node").alias("b"))
     found = confirmed(docs, nodes, best, words, percent, "minhash-best")
     roots = components(found, "minhash-best")
     of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    rest = stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(of("a"), "a", "left").join(of("b"), "b", "left")
+    rest = edges.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
     found = found.unionByName(confirmed(docs, nodes, rest, words, percent, "minhash-rest"))
     roots = components(found, "minhash-stars")
-    left = staged(_unsettled(nodes, roots, percent), "minhash-unsettled")
+    left = staged(_unsettled(nodes, buckets, roots, percent), "minhash-unsettled")
     if not left.isEmpty():
-        left = left.join(stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")), ["a", "b"], "left_anti")
-        more = confirmed(docs, nodes, left, words, percent, "minhash-full")
+        starred = edges.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        more = confirmed(docs, nodes, left.join(starred, ["a", "b"], "left_anti"), words, percent, "minhash-full")
         if not more.isEmpty():
             found = found.unionByName(more)
             roots = components(found, "minhash-all")

@@ -228,7 +228,7 @@ def test_full_comparison_finds_links_that_stars_miss():
     sign = bytes(minhash.BINS)
     frame = pd.DataFrame(
         {"node": [1, 2, 3, 4], "root": [1, 2, 3, 3], "n_shingles": [100, 90, 50, 95], "signature": [sign, sign, sign, b"\1" * minhash.BINS],
-         "block": 0, "lo": 0, "hi": 0}
+         "bands": [[7, 8], [6, 8], [6, 8], [7, 8]], "band": 8, "block": 0, "lo": 0, "hi": 0}
     )
     got = {tuple(r) for r in minhash._members_in_full(80)(frame).itertuples(index=False)}
     assert got == {(1, 2)}  # 3 is too small for any other; 4 agrees in no bin
