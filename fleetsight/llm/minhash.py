@@ -8,7 +8,8 @@ m - 1 pairs. Links are confirmed on the full shingle sets.
 
 A star can miss a link between two members that the hub doesn't link. So when the components of the
 confirmed links are known, every bucket that still holds more than one component is compared in
-full, in blocks within tasks, on the stored signatures; what survives is confirmed like the rest.
+full, in blocks within tasks: by the stored signatures, then by the full sets of the members that
+are left. Only links leave those tasks.
 
 Documents with the same set are one node, so copies never multiply. A node is the first 64 bits of
 the MD5 of its sorted shingle hashes.
@@ -37,7 +38,7 @@ BANDS, ROWS = 50, 5
 BINS = BANDS * ROWS
 WORDS = 5
 PERCENT = 80
-BLOCK = 1024  # members of a bucket that one task compares with as many others
+BLOCK = 512  # members of a bucket that one task compares with as many others
 SLOTS = 1 << 22  # bits of the filter that picks the texts to confirm on
 
 _EMPTY = np.uint64(1 << 63)
@@ -213,41 +214,69 @@ def least_agreement(size: np.ndarray, percent: int) -> np.ndarray:
     return least - 6 * np.sqrt(least * (1 - least) / filled)
 
 
-def _members_in_full(percent: int):
-    """Pairs across components in two blocks of a bucket (or within one) that may be links.
+def _possible(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, places) of pairs across components in two blocks of a bucket (or within one) that may be links.
 
     A pair is given in the first band that both its members share.
     """
+    band, lo, hi = (int(frame[c].iloc[0]) for c in ("band", "lo", "hi"))
+    left, right = np.flatnonzero(frame["block"] == lo), np.flatnonzero(frame["block"] == hi)
+    signs = np.frombuffer(b"".join(frame["signature"]), np.uint8).reshape(-1, BINS)
+    bands = np.stack([np.asarray(b) for b in frame["bands"]])
+    size, root, node = (frame[c].to_numpy() for c in ("n_shingles", "root", "node"))
+    for i in left.tolist():
+        other = root[right] != root[i]
+        other &= 100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i])
+        if lo == hi:
+            other &= node[right] > node[i]
+        at = right[other]
+        agree = (signs[at] == signs[i]).mean(axis=1)
+        at = at[agree >= least_agreement(np.minimum(size[at], size[i]), percent)]
+        if len(at):
+            first = (bands[at] == bands[i]).argmax(axis=1)
+            at = at[bands[i][first] == band]
+        if len(at):
+            yield i, at
+
+
+def _to_compare(percent: int):
+    """The members of two blocks that are in any possible pair; one row each, however many pairs."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node").reset_index(drop=True)
-        band, lo, hi = (int(frame[c].iloc[0]) for c in ("band", "lo", "hi"))
-        left, right = frame[frame["block"] == lo], frame[frame["block"] == hi]
-        sign = np.frombuffer(b"".join(right["signature"]), np.uint8).reshape(-1, BINS)
-        bands = np.stack([np.asarray(b) for b in right["bands"]])
-        size, root, node = (right[c].to_numpy() for c in ("n_shingles", "root", "node"))
-        out = []
-        for r in left.itertuples():
-            other = root != r.root
-            other &= 100 * np.minimum(size, r.n_shingles) >= percent * np.maximum(size, r.n_shingles)
-            if lo == hi:
-                other &= node > r.node
-            at = np.flatnonzero(other)
-            agree = (sign[at] == np.frombuffer(r.signature, np.uint8)).mean(axis=1)
-            at = at[agree >= least_agreement(np.minimum(size[at], r.n_shingles), percent)]
-            if len(at):
-                own = np.asarray(r.bands)
-                first = (bands[at] == own).argmax(axis=1)
-                at = at[own[first] == band]
-            out.append(np.stack([np.full(len(at), r.node), node[at]]))
-        pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
+        used = np.zeros(len(frame), bool)
+        for i, at in _possible(frame, percent):
+            used[i] = True
+            used[at] = True
+        return frame.loc[used, ["band", "lo", "hi", "block", "node"]]
 
     return run
 
 
-def _unsettled(nodes: DataFrame, buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in a bucket that holds several components, beyond what its star compared."""
+def _compared_in_full(percent: int):
+    """The links among the possible pairs of two blocks, by the full sets; no other pair leaves the task."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+        node = frame["node"].to_numpy()
+        found = []
+        for i, at in _possible(frame, percent):
+            sizes = np.array([len(sets[j]) for j in at])
+            all_of = np.concatenate([sets[j] for j in at])
+            place = np.minimum(np.searchsorted(sets[i], all_of), len(sets[i]) - 1)
+            common = np.add.reduceat((sets[i][place] == all_of).astype(np.int64), np.cumsum(sizes) - sizes)
+            good = at[100 * common >= percent * (sizes + len(sets[i]) - common)]
+            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in good]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def unsettled_links(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links across components in a bucket, which its star may have missed.
+
+    First the signatures alone tell which members of a bucket's blocks could have any; only those
+    get their full sets, and their blocks are compared in tasks.
+    """
     rows = buckets.join(roots, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
     mixed = (
         rows.groupBy("band")
@@ -259,8 +288,16 @@ def _unsettled(nodes: DataFrame, buckets: DataFrame, roots: DataFrame, percent:
     members = rows.join(mixed, "band").withColumn("block", block)
     dealt = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", "node", "root", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
-    full = dealt.join(nodes.select("node", "n_shingles", "signature", "bands"), "node")
-    return full.groupBy("band", "lo", "hi").applyInPandas(_members_in_full(percent), "a long, b long")
+    traits = nodes.select("node", "n_shingles", "signature", "bands")
+    schema = "band long, lo int, hi int, block int, node long"
+    chosen = staged(dealt.join(traits, "node").groupBy("band", "lo", "hi").applyInPandas(_to_compare(percent), schema), "minhash-unsettled")
+    if chosen.isEmpty():
+        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    wanted = nodes.select("node", "doc_id", "n_shingles", "signature", "bands").join(chosen.select("node").distinct(), "node")
+    traits = staged(wanted.drop("doc_id").join(sets_of(docs, wanted.select("doc_id", "node"), words), "node"), "minhash-full-sets")
+    traits = traits.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    compared = chosen.join(traits, "node").groupBy("band", "lo", "hi").applyInPandas(_compared_in_full(percent), "a long, b long")
+    return staged(compared.distinct(), "minhash-full-links")
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
@@ -295,13 +332,10 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> tuple[
     rest = rest.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
     found = found.unionByName(confirmed(docs, nodes, rest, words, percent, "minhash-rest"))
     roots = components(found, "minhash-stars")
-    left = staged(_unsettled(nodes, buckets, roots, percent), "minhash-unsettled")
-    if not left.isEmpty():
-        starred = edges.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-        more = confirmed(docs, nodes, left.join(starred, ["a", "b"], "left_anti"), words, percent, "minhash-full")
-        if not more.isEmpty():
-            found = found.unionByName(more)
-            roots = components(found, "minhash-all")
+    more = unsettled_links(docs, nodes, buckets, roots, words, percent)
+    if not more.isEmpty():
+        found = found.unionByName(more)
+        roots = components(found, "minhash-all")
     return found, roots
 
 

@@ -226,12 +226,15 @@ def test_full_comparison_finds_links_that_stars_miss():
     import pandas as pd
 
     sign = bytes(minhash.BINS)
+    sets = [np.arange(n, dtype=np.uint64).tobytes() for n in (100, 90, 50, 95)]
     frame = pd.DataFrame(
         {"node": [1, 2, 3, 4], "root": [1, 2, 3, 3], "n_shingles": [100, 90, 50, 95], "signature": [sign, sign, sign, b"\1" * minhash.BINS],
-         "bands": [[7, 8], [6, 8], [6, 8], [7, 8]], "band": 8, "block": 0, "lo": 0, "hi": 0}
+         "bands": [[7, 8], [6, 8], [6, 8], [7, 8]], "shingles": sets, "band": 8, "block": 0, "lo": 0, "hi": 0}
     )
-    got = {tuple(r) for r in minhash._members_in_full(80)(frame).itertuples(index=False)}
-    assert got == {(1, 2)}  # 3 is too small for any other; 4 agrees in no bin
+    # 3 is too small for any other; 4 agrees in no bin, and with 1 it would be another band's pair
+    assert sorted(minhash._to_compare(80)(frame)["node"]) == [1, 2]
+    assert [tuple(r) for r in minhash._compared_in_full(80)(frame).itertuples(index=False)] == [(1, 2)]
+    assert len(minhash._compared_in_full(95)(frame)) == 0
 
 
 def test_chains_join_one_component(spark):
