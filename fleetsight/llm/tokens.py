@@ -28,6 +28,8 @@ def encoder(path: str) -> "Encoder":
 
 
 class Encoder:
+    """Ids of texts. A chunk is kept as itself (what follows a space) or behind a newline (what opens a line)."""
+
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         import os
 
@@ -37,9 +39,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_entries = cache_entries
-        self.spaced: dict[str, bytes | None] = {}  # chunk -> ids of " " + chunk; None: not to be cut here
-        self.plain: dict[str, bytes | None] = {}
-        self.newline = self._encode(["\n"])[0]
+        self.cache: dict[str, bytes | None] = {}  # None: text around this chunk can't be cut
+        self.again: set[str] = set()  # chunks that came more than once
+        self.stops = {c: self._encode([c])[0] for c in ".,"}
+        self.newline = np.frombuffer(self._encode(["\n"])[0], dtype="<u4")[0]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids whose text begins with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
@@ -48,53 +51,70 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, cache: dict, chunks: set[str], separator: str) -> None:
-        """Encode chunks in runs; the separator's ids show where each begins."""
-        cache.update(dict.fromkeys(chunks))
-        sound = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        for at in range(0, len(sound), 2_000):
-            run = sound[at : at + 2_000]
-            ids = np.frombuffer(self._encode([separator + separator.join(run)])[0], dtype="<u4")
-            if separator == " ":
-                starts = np.flatnonzero(self.opens[ids])
-                ends = np.append(starts[1:], len(ids))
-            else:
-                marks = np.flatnonzero(ids == np.frombuffer(self.newline, dtype="<u4")[0])
-                starts, ends = marks + 1, np.append(marks[1:], len(ids))
-            raw = ids.tobytes()
-            cache.update(zip(run, (raw[4 * s : 4 * e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
+    def _learn(self, new: set[str]) -> None:
+        """Encode chunks in runs; the ids that open a chunk show where each begins.
+
+        A full stop or comma behind a letter is a piece by itself, so such a chunk is that of the
+        word and one id more.
+        """
+        cache = self.cache
+        stopped, heads, tails = [], set(), set()
+        for c in new:
+            body = c[1:] if c[0:1] == "\n" else c
+            if not body or body[0].isspace() or body[-1].isspace():
+                cache[c] = None
+                continue
+            if body[-1] in ".," and body[-2:-1].isalpha():
+                stopped.append(c)
+                c = c[:-1]
+                if c in cache:
+                    continue
+            (heads if c[0] == "\n" else tails).add(c)
+        for chunks, marks in ((list(heads), lambda ids: ids == self.newline), (list(tails), lambda ids: self.opens[ids])):
+            for at in range(0, len(chunks), 2_000):
+                run = chunks[at : at + 2_000]
+                text = "".join(run) if run[0][0] == "\n" else " " + " ".join(run)
+                ids = np.frombuffer(self._encode([text])[0], dtype="<u4")
+                edges = (4 * np.append(np.flatnonzero(marks(ids)), len(ids))).tolist()
+                raw = ids.tobytes()
+                cache.update(zip(run, map(raw.__getitem__, map(slice, edges, edges[1:])), strict=True))
+        for c in stopped:
+            cache[c] = cache[c[:-1]] + self.stops[c[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.spaced) + len(self.plain) > self.cache_entries:
-            self.spaced.clear()
-            self.plain.clear()
-        cut, whole, heads, tails = [], [], set(), set()
+        cut: list[list[str] | None] = []
         for text in texts:
             if any(s in text for s in self.specials):
                 cut.append(None)
                 continue
-            lines = [line.split(" ") for line in text.split("\n")] if text else []
-            cut.append(lines)
-            for line in lines:
-                heads.add(line[0])
-                tails.update(line[1:])
-        if new := {c for c in heads if c not in self.plain}:
-            self._learn(self.plain, new, "\n")
-        if new := {c for c in tails if c not in self.spaced}:
-            self._learn(self.spaced, new, " ")
+            chunks: list[str] = []
+            for line in text.split("\n") if text else ():
+                words = line.split(" ")
+                words[0] = "\n" + words[0]
+                chunks += words
+            cut.append(chunks)
+        seen = set().union(*filter(None, cut))
+        new = seen - self.cache.keys()
+        self.again |= seen - new
+        if new:
+            if len(self.cache) + len(new) > self.cache_entries:
+                self.cache = {c: self.cache[c] for c in self.again}
+                if len(self.cache) > self.cache_entries // 2:
+                    self.cache.clear()
+                self.again = set()
+                new = seen - self.cache.keys()
+            self._learn(new)
+        look_up = self.cache.__getitem__
         out: list[bytes] = []
-        plain, spaced = self.plain, self.spaced
-        for i, lines in enumerate(cut):
-            ids = None
-            if lines is not None:
-                try:
-                    ids = self.newline.join([plain[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in lines])
-                except TypeError:  # a chunk that isn't to be cut
-                    ids = None
-            if ids is None:
+        whole = []
+        for i, chunks in enumerate(cut):
+            try:
+                # a newline is one id, and the first line has none
+                out.append(b"".join(map(look_up, chunks))[4:])
+            except TypeError:  # special tokens, or white space that can't be cut at
                 whole.append(i)
-            out.append(ids)
+                out.append(b"")
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True) if whole else []:
             out[i] = ids
         return out
