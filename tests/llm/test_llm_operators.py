@@ -37,8 +37,9 @@ def test_word_hashes_follow_words():
     words = [brute.lower_words(t) for t in TEXTS]
     assert counts.tolist() == [len(w) for w in words]
     flat = [w for ws in words for w in ws]
-    assert len(dict(zip(flat, hashes.tolist()))) == len(set(hashes.tolist())) == len(set(flat))
-    assert all(a == b for a, b in zip([dict(zip(flat, hashes.tolist()))[w] for w in flat], hashes.tolist()))
+    of = dict(zip(flat, hashes.tolist()))
+    assert len(of) == len(set(hashes.tolist())) == len(set(flat))
+    assert [of[w] for w in flat] == hashes.tolist()
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -137,7 +138,7 @@ def test_differencing_gives_near_equal_windows():
             held[w] += size
         assert sorted(held.values()) == sorted(s for s in sums.tolist() if s)
         if n >= 10 * k:
-            assert sums.max() - sums.min() <= 8
+            assert sums.max() - sums.min() <= 0.01 * sums.mean()
     assert packing.difference([], 4)[1].tolist() == [0, 0, 0, 0]
 
 
