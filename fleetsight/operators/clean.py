@@ -60,14 +60,16 @@ def add_group_zscores(
     statistics: DataFrame | None = None,
     unknown_group: str = "zero",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    group_bound: int | None = None,
     statistics_rows: int | None = None,
 ) -> DataFrame:
     """Z-score of each reading within its group, plus a reported flag.
 
     ``statistics`` defaults to the frame's own (A1), which stay in the same query: one scan and
-    one deduplication, and no job runs to build it. How they are joined is left to AQE: it knows
-    the statistics' size when they are made, broadcasts them below its threshold, and otherwise
-    joins by shuffle with hot groups split. The streaming scorer passes historic statistics that
+    one deduplication, and no job runs to build it. They are broadcast where the caller knows a
+    bound on the groups that is small (``group_bound``). Without one the join is left to AQE: it
+    knows the statistics' size when they are made, broadcasts them below its threshold, and
+    otherwise joins by shuffle with hot groups split. The streaming scorer passes historic statistics that
     were materialised beforehand; ``statistics_rows`` is then their row count.
     ``unknown_group="null"`` leaves z NULL for a group without statistics instead of 0.0.
     """
@@ -79,12 +81,9 @@ def add_group_zscores(
         *[F.col(c + STDDEV_SUFFIX) for c in spec.raw_columns],
         F.lit(True).alias("_has_stats"),
     )
-    if own:
-        joined = df.join(stats, on=spec.group, how="left")
-    else:
-        joined = join_side_table(
-            df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows, side_rows=statistics_rows
-        )
+    joined = join_side_table(
+        df, stats, on=spec.group, how="left", max_broadcast_rows=max_broadcast_rows, side_rows=group_bound if own else statistics_rows
+    )
     zs = []
     for m in spec.metrics:
         z = zscore(F.col(m.raw), F.col(m.raw + MEAN_SUFFIX), F.col(m.raw + STDDEV_SUFFIX))

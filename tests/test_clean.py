@@ -72,8 +72,8 @@ def test_unknown_group_zero_or_null(spark):
 
 def test_statistics_broadcast_only_under_the_bound(spark):
     df = telemetry_df(spark, [telemetry_row("S", day(0), model=f"M{i}") for i in range(3)])
-    small = clean.add_group_zscores(df)._jdf.queryExecution().optimizedPlan().toString()
-    big = clean.add_group_zscores(df, max_broadcast_rows=1)._jdf.queryExecution().optimizedPlan().toString()
+    small = clean.add_group_zscores(df, group_bound=3)._jdf.queryExecution().optimizedPlan().toString()
+    big = clean.add_group_zscores(df, group_bound=3, max_broadcast_rows=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in small.lower()
     assert "broadcast" not in big.lower()
-    assert clean.add_group_zscores(df, max_broadcast_rows=1).count() == 3
+    assert clean.add_group_zscores(df, group_bound=3, max_broadcast_rows=1).count() == 3
