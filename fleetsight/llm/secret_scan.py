@@ -34,9 +34,14 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 KINDS = ("assign", "access", "hex", "novel")
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-# Sensitive context for candidates: one of these within REACH characters before the string.
+# Sensitive context for candidates: one of these within REACH characters before the string, in the
+# name joined to it, or in the string itself.
 _CONTEXT = re.compile(r"passw|passphrase|pwd|secret|token|api.?key|private.?key|credential|bearer|authorization|auth", re.IGNORECASE | re.ASCII)
+LEAST = 16
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
+# Where a run is cut: '=' but for the padding at its end. What is made of words and stands before a value is a name.
+_VALUE = re.compile(r"[^=]+(?:=+$)?")
+_NAME = re.compile(r"[_/+-]*(?:(?:[A-Z]+|[A-Z]?[a-z]+)[0-9]{0,2}(?:[_-]+|$))+")
 REACH = 48
 AROUND = 512
 MIN_NOVELTY = 0.62  # marginal compressed bytes for each character
@@ -59,6 +64,12 @@ your_password_here your_api_key_here changeme change_me replace_me xxxxxxxxxxxxx
 """.strip()
 
 
+def _values(run: re.Match) -> list[tuple[int, int]]:
+    """The parts of a run between '=' that are long enough."""
+    parts = [m.span() for m in _VALUE.finditer(run[0])]
+    return [(run.start() + a, run.start() + b) for a, b in parts if b - a >= LEAST and (b == len(run[0]) or not _NAME.fullmatch(run[0], a, b))]
+
+
 class Scanner:
     """The scan of one text; one for each task."""
 
@@ -87,14 +98,15 @@ class Scanner:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         held = sorted((s, e) for s, _, e in found)
         contexts = [m.end() for m in _CONTEXT.finditer(text)]
-        for near in _CANDIDATE.finditer(text) if contexts else ():
-            before = bisect.bisect_right(contexts, near.start())
-            if not before or near.start() - contexts[before - 1] > REACH:
-                continue
-            if any(s < near.end() and near.start() < e for s, e in held):
-                continue  # a base span has it
-            if self.novelty(text, near.start(), near.end()) >= self.min_novelty:
-                found.append((near.start(), 3, near.end()))
+        for run in _CANDIDATE.finditer(text) if contexts else ():
+            for start, end in _values(run):
+                before = bisect.bisect_right(contexts, end)
+                if not before or contexts[before - 1] < min(run.start(), start - REACH):
+                    continue
+                if any(s < end and start < e for s, e in held):
+                    continue  # a base span has it
+                if self.novelty(text, start, end) >= self.min_novelty:
+                    found.append((start, 3, end))
         return sorted(found)
 
 

@@ -175,6 +175,16 @@ def test_incompressible_strings_near_sensitive_words_are_found():
     assert all(k != 3 for _, k, _ in scan.spans(repeated))
 
 
+@pytest.mark.parametrize("name", ["AWS_SECRET_ACCESS_KEY", "PRIVATE_KEY", "DB_PWD", "CLIENT_CREDENTIAL", "SECRET_KEY"])
+@pytest.mark.parametrize("line", ["{}={}\n", "export {}={}\n", "env {}={} ./run\n", "{}={}==\n"])
+def test_values_joined_to_a_sensitive_name_are_found(name, line):
+    key = "wJalrXUtnFEMI/K7MDENGbPxRfiCYzQ3pLk9"
+    text = "PORT=8080\n" + line.format(name, key)
+    spans = secret_scan.Scanner().spans(text)
+    assert key not in secret_scan.redacted(text, spans) and f"{name}=[SECRET]" in secret_scan.redacted(text, spans)
+    assert secret_scan.Scanner().spans("DB_PWD=default_connection_string_2020_settings\n") == []
+
+
 def test_redaction_masks_values_and_keeps_the_rest(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = secret_scan.redact(docs)
