@@ -4,7 +4,9 @@ The patterns give the base spans. Beyond them, every long enough string near a s
 a candidate. Its novelty is what zstandard needs for it on top of its surroundings: the compressed
 size of surroundings plus candidate less that of the surroundings alone, both primed with a
 dictionary of code and identifiers, and with the candidate's own neighbourhood in the text as the
-prefix. Words, identifiers, paths and repeated values compress away; keys don't.
+prefix. Words, identifiers and paths compress away; keys don't. A string that only its own copies
+help to compress is a secret that stands repeatedly: it is measured once more with the copies left
+out, and it and all its copies in the text are spans of the kind ``novel_repeated``.
 
 Defined cases: null text counts as empty and has no spans; null ids and repeated rows are kept;
 an empty table gives no rows; other columns are ignored by ``scan`` and kept by ``redact``.
@@ -31,7 +33,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so this equals [0-9a-f]+ with short runs dropped
 ASSIGN_CHARS, ACCESS_CHARS = 12, 18
-KINDS = ("assign", "access", "hex", "novel")
+KINDS = ("assign", "access", "hex", "novel", "novel_repeated")
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Sensitive context for candidates: one of these within REACH characters before the string, in the
@@ -77,8 +79,12 @@ class Scanner:
         self.identifiers = identifiers.encode()
         self.min_novelty = min_novelty
 
-    def novelty(self, text: str, start: int, end: int) -> float:
-        """Marginal compressed bytes of text[start:end] for each of its bytes."""
+    def novelty(self, text: str, start: int, end: int, copies: bool = True) -> float:
+        """Marginal compressed bytes of text[start:end] for each of its bytes; ``copies``: its copies count as surroundings."""
+        if not copies:  # blanked in a window that holds those at the edges whole
+            string, reach = text[start:end], AROUND + end - start
+            before, after = (x.replace(string, " " * len(string)) for x in (text[max(0, start - reach) : start], text[end : end + reach]))
+            text, start, end = before + string + after, len(before), len(before) + len(string)
         around = (text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]).encode()
         primed = zstandard.ZstdCompressionDict(self.identifiers + b"\n" + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         press = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
@@ -98,17 +104,31 @@ class Scanner:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         held = sorted((s, e) for s, _, e in found)
         contexts = [m.end() for m in _CONTEXT.finditer(text)]
+        secrets, others = set(), []
         for run in _CANDIDATE.finditer(text) if contexts else ():
             for start, end in _values(run):
-                before = bisect.bisect_right(contexts, end)
-                if not before or contexts[before - 1] < min(run.start(), start - REACH):
-                    continue
                 if any(s < end and start < e for s, e in held):
                     continue  # a base span has it
-                if self.novelty(text, start, end) >= self.min_novelty:
+                before = bisect.bisect_right(contexts, end)
+                if not before or contexts[before - 1] < min(run.start(), start - REACH):
+                    others.append((start, end))
+                elif self.novelty(text, start, end) >= self.min_novelty:
                     found.append((start, 3, end))
+                    secrets.add(text[start:end])
+                else:
+                    others.append((start, end))
+                    if text[start:end] not in secrets and self._repeats(text, start, end):
+                        secrets.add(text[start:end])
+        found += [(s, 4, e) for s, e in others if text[s:e] in secrets]
         return sorted(found)
 
+    def _repeats(self, text: str, start: int, end: int) -> bool:
+        """Only its copies make this string compress."""
+        reach = AROUND + end - start
+        if text.count(text[start:end], max(0, start - reach), end + reach) < 2:
+            return False
+        return self.novelty(text, start, end, copies=False) >= self.min_novelty
+
 
 def _listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
@@ -118,7 +138,7 @@ _SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, n_novel long,
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_novelty: float = MIN_NOVELTY) -> DataFrame:
-    """For each document the counts by kind and the spans, as kind:start:end joined by commas.
+    """For each document the counts by kind and the spans, as kind:start:end joined by commas; n_novel has both novel kinds.
 
     A row is worked on by itself in the task that read it; nothing is shuffled.
     """
@@ -128,7 +148,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_no
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [scanner.spans(t or "") for t in part.column("text").to_pylist()]
-                counts = [pa.array([sum(k == kind for _, k, _ in spans) for spans in found], pa.int64()) for kind in range(4)]
+                counts = [pa.array([sum(min(k, 3) == kind for _, k, _ in spans) for spans in found], pa.int64()) for kind in range(4)]
                 base = pa.array([_listed([x for x in spans if x[1] < 3]) for spans in found], pa.string())
                 every = pa.array([_listed(spans) for spans in found], pa.string())
                 yield pa.RecordBatch.from_arrays(

@@ -185,6 +185,18 @@ def test_values_joined_to_a_sensitive_name_are_found(name, line):
     assert secret_scan.Scanner().spans("DB_PWD=default_connection_string_2020_settings\n") == []
 
 
+def test_copies_of_a_secret_do_not_hide_it():
+    scan = secret_scan.Scanner()
+    key = "Zk9qLx2vTn8RwY4hBp7sDf3mGc6j"
+    line = f"retry: Authorization: Bearer {key} sent\n"
+    for text in (line * 2, line * 30, f"bearer {key}\n{'y ' * 250}bearer {key}\n", f"{key} {key} auth {key}", f"DB_PWD={key}\nPRIVATE_KEY={key}\n"):
+        spans = scan.spans(text)
+        assert [text[s:e] for s, _, e in spans] == [key] * text.count(key)
+        assert key not in secret_scan.redacted(text, spans)
+    name = "auth default_connection_string_2020_settings "
+    assert scan.spans(name * 3) == []
+
+
 def test_redaction_masks_values_and_keeps_the_rest(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = secret_scan.redact(docs)
