@@ -1,7 +1,8 @@
 """Find secrets: fixed patterns, and strings that no dictionary helps to compress.
 
-The patterns give the base spans. Beyond them, every long enough string near a sensitive word is
-a candidate. Its novelty is what zstandard needs for it on top of its surroundings: the compressed
+The patterns give the base spans. Beyond them, every run of LEAST or more characters without space
+and quotes near a sensitive word is a candidate, less the name before its '=' or ':' and punctuation
+at its ends; if it compresses as a whole, its parts between delimiters are. Its novelty is what zstandard needs for it on top of its surroundings: the compressed
 size of surroundings plus candidate less that of the surroundings alone, both primed with a
 dictionary of code and identifiers, and with the candidate's own neighbourhood in the text as the
 prefix. Words, identifiers and paths compress away; keys don't. A string that only its own copies
@@ -40,10 +41,14 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # name joined to it, or in the string itself.
 _CONTEXT = re.compile(r"passw|passphrase|pwd|secret|token|api.?key|private.?key|credential|bearer|authorization|auth", re.IGNORECASE | re.ASCII)
 LEAST = 16
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
-# Where a run is cut: '=' but for the padding at its end. What is made of words and stands before a value is a name.
-_VALUE = re.compile(r"[^=]+(?:=+$)?")
-_NAME = re.compile(r"[_/+-]*(?:(?:[A-Z]+|[A-Z]?[a-z]+)[0-9]{0,2}(?:[_-]+|$))+")
+# Any unbroken run without quotes; scripts that put no space between words end it.
+_CANDIDATE = re.compile(r"[^\s\"'`\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ud7ff\uf900-\uffef\U00020000-\U0003ffff]{16,}")
+_OPENING, _CLOSING = "([{<=:,;", ".,;:)]}>"  # taken off a run's ends: punctuation of the text around it
+# A run is cut where a name stands before '=' or ':' and a value behind: at its start, or after a delimiter inside.
+# Names are made of words or hold a sensitive one; other '=' belong to the value, as its padding does.
+_JOINED = re.compile(r"(^|[&;,?|({\[])([\w.+/-]+)(?:=+|:)(?!=|$)")
+_NAME = re.compile(r"(?=.*[A-Za-z]{3})[._/+-]*(?:(?:[A-Z]+|[A-Z]?[a-z]+)[0-9]{0,2}(?:[._/-]+|$))+")
+_PIECE = re.compile(r"[^:,;&?|/()\[\]{}<>@]{16,}")
 REACH = 48
 AROUND = 512
 MIN_NOVELTY = 0.62  # marginal compressed bytes for each character
@@ -65,17 +70,50 @@ ABCDEFGHIJKLMNOPQRSTUVWXYZ 2020-01-01T00:00:00Z lorem ipsum dolor sit amet examp
 your_password_here your_api_key_here changeme change_me replace_me xxxxxxxxxxxxxxxx ****************
 """.strip()
 
+# The word dictionary: what long words, paths, addresses and times of the languages at hand are made of.
+WORDS = """
+inter national alization ization isation ational ability ibility ibilities responsib representat character
+istics characteristic communicat administrat organis organiz transform construct constitution environment
+government development understand acknowledg straight forward comprehens experiment extraordinar
+psycholog physiolog technolog encephalo electro graph micro macro hyper multi under counter trans super
+circum establish ment arian ism dis anti pre dominant approximate simultaneous unfortunate ously fulness
+lessness ically ality iveness ations institution recommend authentic authorization certificat configur
+implement initializ synchron serializ identif classif specif notif verif qualif modif ication
+documentation infrastructure distribut process ing performance management application information
+well- known self- based long- term state-of-the-art day- to- and/or high- level third- party user- defined
+verantwort lichkeit lichkeiten geschwindigkeit begrenzung schaft schaften gesellschaft wirtschaft
+wissenschaft entwicklung verwaltung versicherung verordnung regierung beziehung unternehm arbeit geber
+bundes landes staats haupt grund ungs keits heits ischen lichen barkeit gericht besonder verschieden
+constitutionnellement administration gouvernement développement responsabilité responsabilidad particulièrement
+immédiat exceptionnel internacional administración constitucional desarrollo especialmente aproximadamente
+ellement issement amiento aciones idades mente ción sión ität ieren ierung
+/usr/share/ /usr/lib/ /var/log/ /opt/ /home/ python3 dist-packages/ site-packages/ node_modules/ numpy/core src/main/java/
+org.apache. com.google. java.util. javax. spark.sql. shuffle.partitions hadoop. SparkSession Manager Builder Factory
+Provider Service Controller Repository Exception Handler Context getUser Authentication() .html .json .yaml .py .java
+https://www.example.com/docs/ reference/ index.html https://github.com/ blob/main/ .org/wiki/ api/v1/ ?id= &page=
+@company-mail. @gmail.com user.name first.last mailto: 2024- 2025- 2026- -01 -12 T00:00: T12:30: .000Z +00:00
+"""
+DICTIONARY = WORDS + WORDS.upper() + IDENTIFIERS.upper() + "\n" + IDENTIFIERS
+
 
 def _values(run: re.Match) -> list[tuple[int, int]]:
-    """The parts of a run between '=' that are long enough."""
-    parts = [m.span() for m in _VALUE.finditer(run[0])]
-    return [(run.start() + a, run.start() + b) for a, b in parts if b - a >= LEAST and (b == len(run[0]) or not _NAME.fullmatch(run[0], a, b))]
+    """The parts of a run behind its names that are long enough; a run that has none is one part, less the name before it."""
+    string = run[0].rstrip(_CLOSING)
+    string = string[len(string) - len(string.lstrip(_OPENING)) :]
+    begin = run.start() + run[0].index(string)
+    cuts = [(m.start(), m.end()) for m in _JOINED.finditer(string) if _NAME.fullmatch(m[2]) or _CONTEXT.search(m[2])]
+    lead = cuts[0][1] if cuts and cuts[0][0] == 0 else 0
+    ends = [*(a for a, _ in cuts if a), len(string)]
+    parts = list(zip([lead, *(b for a, b in cuts if a)], ends, strict=True))
+    if any(b - a >= LEAST for a, b in parts):
+        return [(begin + a, begin + b) for a, b in parts if b - a >= LEAST]
+    return [(begin + lead, begin + len(string))] if len(string) - lead >= LEAST else []
 
 
 class Scanner:
     """The scan of one text; one for each task."""
 
-    def __init__(self, identifiers: str = IDENTIFIERS, min_novelty: float = MIN_NOVELTY):
+    def __init__(self, identifiers: str = DICTIONARY, min_novelty: float = MIN_NOVELTY):
         self.identifiers = identifiers.encode()
         self.min_novelty = min_novelty
 
@@ -107,18 +145,26 @@ class Scanner:
         secrets, others = set(), []
         for run in _CANDIDATE.finditer(text) if contexts else ():
             for start, end in _values(run):
-                if any(s < end and start < e for s, e in held):
-                    continue  # a base span has it
-                before = bisect.bisect_right(contexts, end)
-                if not before or contexts[before - 1] < min(run.start(), start - REACH):
-                    others.append((start, end))
-                elif self.novelty(text, start, end) >= self.min_novelty:
-                    found.append((start, 3, end))
-                    secrets.add(text[start:end])
-                else:
-                    others.append((start, end))
-                    if text[start:end] not in secrets and self._repeats(text, start, end):
-                        secrets.add(text[start:end])
+                parts = [(start, end)]
+                for s, e in parts:
+                    if any(x < e and s < y for x, y in held):
+                        continue  # a base span has it
+                    before = bisect.bisect_right(contexts, e)
+                    if not before or contexts[before - 1] < min(run.start(), s - REACH):
+                        others.append((s, e))
+                    elif self.novelty(text, s, e) >= self.min_novelty:
+                        found.append((s, 3, e))
+                        secrets.add(text[s:e])
+                        continue
+                    else:
+                        others.append((s, e))
+                        if text[s:e] in secrets:
+                            continue
+                        if self._repeats(text, s, e):
+                            secrets.add(text[s:e])
+                            continue
+                    if len(parts) == 1:  # what compresses as a whole can hold a part that doesn't
+                        parts += [x for m in _PIECE.finditer(text, s, e) if (x := m.span()) != (s, e)]
         found += [(s, 4, e) for s, e in others if text[s:e] in secrets]
         return sorted(found)
 

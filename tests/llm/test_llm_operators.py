@@ -197,6 +197,19 @@ def test_copies_of_a_secret_do_not_hide_it():
     assert scan.spans(name * 3) == []
 
 
+@pytest.mark.parametrize(
+    "key",
+    ["qZkXwPvLmTrYbNcDfGhJ", "qzkxwpvlmtrybncdfghjvbxw", "QZKXWPVLMTRYBNCDFGHJVBXW", "Xk9!mQ2#vL7@pR4$wT", "Xk9:mQ2=vL7,pR4;wT", "zq.Xw~9-vK*7^pL&2%rT", "Zk9ßLx2vTn8ñwY4h"],
+)
+def test_any_incompressible_run_is_found(key):
+    for text in (f"Authorization: Bearer {key} and more", f"passphrase: {key}\n", f"DB_PWD={key}\n", f"credential:{key}, next", f"(the pwd {key})."):
+        spans = secret_scan.Scanner().spans(text)
+        assert [text[s:e] for s, k, e in spans if k == 3] == [key]
+    words = "the constitutionnellement responsibilities, Geschwindigkeitsbegrenzung and /usr/share/python3/dist-packages/numpy/core of org.apache.spark.sql.SparkSession"
+    assert secret_scan.Scanner().spans(f"auth: {words}") == []
+    assert secret_scan.Scanner().spans("token: ひらがなとカタカナの文章がここにありますね") == []
+
+
 def test_redaction_masks_values_and_keeps_the_rest(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = secret_scan.redact(docs)
