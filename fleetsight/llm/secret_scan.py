@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -141,14 +142,16 @@ class Scanner:
             found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_CHARS]
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         held = sorted((s, e) for s, _, e in found)
+        covers = list(itertools.accumulate((e for _, e in held), max))
         contexts = [m.end() for m in _CONTEXT.finditer(text)]
         secrets, others = set(), []
         for run in _CANDIDATE.finditer(text) if contexts else ():
             for start, end in _values(run):
                 parts = [(start, end)]
                 for s, e in parts:
-                    if any(x < e and s < y for x, y in held):
-                        continue  # a base span has it
+                    at = bisect.bisect_right(held, (s, len(text)))
+                    if at and covers[at - 1] >= e:
+                        continue  # a base span covers it
                     before = bisect.bisect_right(contexts, e)
                     if not before or contexts[before - 1] < min(run.start(), s - REACH):
                         others.append((s, e))

@@ -210,6 +210,17 @@ def test_any_incompressible_run_is_found(key):
     assert secret_scan.Scanner().spans("token: ひらがなとカタカナの文章がここにありますね") == []
 
 
+def test_a_base_span_inside_a_key_does_not_hide_the_rest():
+    key = "Zk9qLx2vTn8R0123456789abcdef01wY4hBp7sDf3m"
+    for text in (f"Authorization: Bearer {key} and more", f"DB_PWD={key}\n", f"password: {key[:20]}!{key[20:]}#wY4hBp\n"):
+        spans = secret_scan.Scanner().spans(text)
+        assert {k for _, k, _ in spans} >= {3} and any(k < 3 for _, k, _ in spans)
+        left = secret_scan.redacted(text, spans)
+        assert not any(key[i : i + 6] in left for i in range(len(key) - 5)) and "wY4hBp" not in left
+    covered = "token: 0123456789abcdef0123456789abcdef"
+    assert all(k != 3 for _, k, _ in secret_scan.Scanner().spans(covered))
+
+
 def test_redaction_masks_values_and_keeps_the_rest(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = secret_scan.redact(docs)
