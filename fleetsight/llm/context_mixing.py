@@ -1,16 +1,19 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 Texts are coded bit by bit as UTF-8 bytes and one end byte. For each order k from 1 to 5, the last
-k bytes and the bits of the current byte so far are hashed to a slot, whose counts of ones and
-zeros in the training texts predict the next bit. A mixer adds the predictions as logits with
+k bytes and the bits of the current byte so far pick an entry, whose counts of ones and zeros in the
+training texts predict the next bit. Entries are exact: no two contexts share one, and a context that
+never occurred has none, whatever the input's size. A mixer adds the predictions as logits with
 weights picked by a gate: the longest order that has seen its context, and whether it was sure. An
 adaptive probability map refines the result by gate and logit. Weights and map are learned online,
 block after block, on training texts whose bytes are not in the counts; tasks learn side by side
 and their weights are averaged by the bits seen.
 
 Counting is one pass: a task sorts its texts' byte 6-grams and gives each with its count, so what
-is shuffled grows with the input. The slots are a table of a fixed size (ORDERS times 2**SLOT_BITS
-16-bit entries), so its broadcast has a proven bound. Scoring is frozen: equal texts have equal scores.
+is shuffled grows with the input. Orders 1 and 2 have 2**24 entries at most and are broadcast. The
+6-grams of the higher orders stay dealt to parts by their last three context bytes, as many parts as
+the distinct 6-grams ask for; blocks of texts send each part their distinct 6-grams and get entries
+(to learn) or costs (to score) back. Scoring is frozen: equal texts have equal scores.
 
 ``score`` is log10 of the model's probability of the text; bits_per_byte follows from it. The base
 is a unigram model of words over all training texts. Word counts are looked up for the most
@@ -24,18 +27,21 @@ training texts every bit has probability 1/2; other columns are ignored.
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetsight.llm.common import mix64, slices, staged, text_buffer, word_hashes
 
 ORDERS = 5
-SLOT_BITS = 22
-CHUNK_BITS = 8  # slots are dealt to tasks in 2**CHUNK_BITS chunks by context
+LOW = 2  # orders up to this one are tables by context, broadcast
+PARTS, GRAMS_A_PART = 64, 1 << 18  # least number of parts; distinct 6-grams to a part
+SLOT_BITS = 22  # of a table of hashed slots in memory
+CHUNK_BITS = 8
 TOP_WORDS = 65_536  # bound of the words whose counts are broadcast
 MIXER_SHARE = 16  # one training text in so many teaches the mixer instead of the counts
 BLOCK = 1 << 21  # bytes that are sorted at a time
@@ -102,7 +108,7 @@ def entries(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclasses.dataclass
 class Model:
-    table: list[np.ndarray]  # by order: 2**SLOT_BITS entries
+    table: list[np.ndarray]  # by order: entries by context and bits for the orders up to LOW, or hashed slots for all
     weights: np.ndarray  # GATES x ORDERS
     refined: np.ndarray  # GATES x BUCKETS: probabilities at logits -8 to 8
 
@@ -121,23 +127,72 @@ class Inputs:
 
 
 def inputs(table: list[np.ndarray], grams: np.ndarray) -> Inputs:
-    """What the predictors say for sorted distinct 6-grams, bit by bit."""
-    logits = np.empty((len(grams), 8, ORDERS), np.float32)
-    gate = np.zeros((len(grams), 8), np.int64)
-    bits = None
+    """What the predictors of a table of hashed slots say for sorted distinct 6-grams, bit by bit."""
+    found = np.empty((len(grams), 8, ORDERS), np.uint16)
     for order in range(1, ORDERS + 1):
-        short = _prefix(grams, order)
-        first = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
-        chunk, at, bits = slots(short[first], order)
-        found = table[order - 1][(chunk[:, None] << _IN_CHUNK) | at].astype(np.int32)
-        copies = np.diff(np.append(first, len(short)))
-        logit = ((found >> 4) - 2048).astype(np.float32) / 256
-        seen = found & 15
-        logits[:, :, order - 1] = np.repeat(np.where(seen > 0, logit, 0), copies, axis=0)
-        state = np.where(seen > 0, 2 * order + (np.abs(logit) > 2), 0)
-        gate = np.maximum(gate, np.repeat(state, copies, axis=0))
-        bits = np.repeat(bits, copies, axis=0)
-    return Inputs(logits, gate, bits if bits is not None else np.zeros((0, 8), np.int64))
+        short, copies = distinct(_prefix(grams, order))
+        chunk, at, _ = slots(short, order)
+        found[:, :, order - 1] = np.repeat(table[order - 1][(chunk[:, None] << _IN_CHUNK) | at], copies, axis=0)
+    return given(found, grams)
+
+
+def given(found: np.ndarray, grams: np.ndarray) -> Inputs:
+    """What the entries (grams, 8, ORDERS) say for 6-grams, bit by bit."""
+    seen = (found & 15) > 0
+    logits = np.where(seen, ((found >> 4).astype(np.float32) - 2048) / 256, np.float32(0))
+    state = np.where(seen, 2 * np.arange(1, ORDERS + 1, dtype=np.int8) + (np.abs(logits) > 2), 0)
+    byte = (grams >> np.uint64(8 * ORDERS)).astype(np.int64)
+    return Inputs(logits, state.max(axis=2).astype(np.int64), (byte[:, None] >> np.arange(7, -1, -1)) & 1)
+
+
+def nodes(grams: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """For grams of an order: their context and bits so far by bit (n, 8), and bits (n, 8)."""
+    byte = (grams >> np.uint64(8 * order)).astype(np.int64)
+    context = (grams & np.uint64((1 << (8 * order)) - 1)).astype(np.int64)
+    bits = np.arange(7, -1, -1)
+    node = (1 << np.arange(8)) | (byte[:, None] >> (bits + 1))
+    return (context[:, None] << 8) | node, (byte[:, None] >> bits) & 1
+
+
+def node_entries(grams: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted nodes of counted grams of an order, and their entries."""
+    at, bits = nodes(grams, order)
+    by = np.argsort(at, axis=None, kind="stable")
+    at, ones, weight = at.ravel()[by], bits.ravel()[by], np.repeat(counts, 8)[by].astype(np.float64)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+    if not len(first):
+        return at, np.zeros(0, np.uint16)
+    hits, tries = np.add.reduceat(weight * ones, first), np.add.reduceat(weight, first)
+    return at[first], entries(tries - hits, hits)
+
+
+EMPTY = entries(np.zeros(1), np.zeros(1))[0]
+
+
+def part_tables(grams: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Nodes and entries of the orders above LOW from a part's counted 6-grams."""
+    grams, counts = _merge([(grams, counts)])
+    out = []
+    for order in range(LOW + 1, ORDERS + 1):
+        out.append(node_entries(*_merge([(_prefix(grams, order), counts)]), order))
+    return out
+
+
+def high_entries(tables: list[tuple[np.ndarray, np.ndarray]], grams: np.ndarray) -> np.ndarray:
+    """Entries (grams, 8, ORDERS - LOW) of sorted distinct 6-grams from their part's tables."""
+    found = np.full((len(grams), 8, ORDERS - LOW), EMPTY, np.uint16)
+    for k, (keys, values) in enumerate(tables):
+        if len(keys):
+            short, copies = distinct(_prefix(grams, LOW + 1 + k))
+            want = nodes(short, LOW + 1 + k)[0]
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            found[:, :, k] = np.repeat(np.where(keys[at] == want, values[at], EMPTY), copies, axis=0)
+    return found
+
+
+def low_entries(low: list[np.ndarray], grams: np.ndarray) -> np.ndarray:
+    """Entries (grams, 8, LOW) from the tables of the low orders."""
+    return np.stack([low[k][nodes(_prefix(grams, k + 1), k + 1)[0]] for k in range(LOW)], axis=2)
 
 
 def _mixed(model: Model, given: Inputs) -> np.ndarray:
@@ -169,6 +224,17 @@ def costs(model: Model, grams: np.ndarray) -> np.ndarray:
     return out
 
 
+def found_costs(model: Model, tables: list[tuple[np.ndarray, np.ndarray]], grams: np.ndarray) -> np.ndarray:
+    """log10 probability of the byte of each sorted distinct 6-gram of a part."""
+    out = np.empty(len(grams))
+    for at in range(0, len(grams), 65_536):
+        some = grams[at : at + 65_536]
+        inputs_ = given(np.concatenate([low_entries(model.table, some), high_entries(tables, some)], axis=2), some)
+        p = probabilities(model, inputs_)
+        out[at : at + 65_536] = np.log10(np.where(inputs_.bits == 1, p, 1 - p)).sum(axis=1)
+    return out
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and their counts."""
     keys = np.sort(keys)
@@ -212,16 +278,16 @@ def text_scores(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return np.add.reduceat(each, firsts) if len(firsts) else np.zeros(0)
 
 
-def learn_block(model: Model, hits: np.ndarray, tries: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:
+def learn_block(model: Model, hits: np.ndarray, tries: np.ndarray, grams: np.ndarray, counts: np.ndarray, found: np.ndarray | None = None) -> None:
     """One online step: weights move against the gradient of the block's cost, the map's counts grow."""
-    given = inputs(model.table, grams)
-    logit = _mixed(model, given)
+    seen = inputs(model.table, grams) if found is None else given(found, grams)
+    logit = _mixed(model, seen)
     weight = np.repeat(counts.astype(np.float64), 8)
-    gate, bits = given.gate.ravel(), given.bits.ravel()
+    gate, bits = seen.gate.ravel(), seen.bits.ravel()
     error = (bits - 1 / (1 + np.exp(-logit.ravel()))) * weight
     total = np.bincount(gate, weight, GATES)
     for o in range(ORDERS):
-        slope = np.bincount(gate, error * given.logits[:, :, o].ravel(), GATES)
+        slope = np.bincount(gate, error * seen.logits[:, :, o].ravel(), GATES)
         model.weights[:, o] += RATE * slope / np.maximum(total, 1)
     low, part = _map_at(logit.ravel())
     for at, share in ((low, 1 - part), (low + 1, part)):
@@ -291,71 +357,186 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def slot_table(counts: DataFrame) -> list[np.ndarray]:
-    """The table of entries from the counts of 6-grams, built by chunks in the tasks."""
-    full = counts.filter(F.col("kind") == _KIND_GRAM).select(F.lit(ORDERS).alias("order"), "key", "n")
-    shorter = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.shiftright("key", 8 * (ORDERS - k)).alias("key")) for k in range(1, ORDERS)]))
-    short = full.select(shorter.alias("g"), "n").groupBy("g.order", "g.key").agg(F.sum("n").alias("n"))
-    grams = full.unionByName(short)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order, key = (batch.column(c).to_numpy() for c in ("order", "key"))
-            chunk = np.zeros(len(order), np.int64)
-            for k in range(1, ORDERS + 1):
-                at = order == k
-                if at.any():
-                    chunk[at] = slots(key[at].astype(np.uint64), k)[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], ["order", "key", "n", "chunk"])
+def low_tables(counts: DataFrame) -> list[np.ndarray]:
+    """The entries of the orders up to LOW, by context and bits so far; built in tasks by the last byte."""
+    grams = counts.filter(F.col("kind") == _KIND_GRAM).groupBy(F.shiftright("key", 8 * (ORDERS - LOW)).alias("key")).agg(F.sum("n").alias("n"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            order, key, n, chunk = (batch.column(c).to_numpy() for c in ("order", "key", "n", "chunk"))
-            group = order.astype(np.int64) << CHUNK_BITS | chunk
-            by = np.argsort(group, kind="stable")
-            edges = np.flatnonzero(np.concatenate([[True], group[by][1:] != group[by][:-1], [True]]))
-            for a, b in zip(edges, edges[1:], strict=False):
-                at = by[a:b]
-                k, c = int(order[at[0]]), int(chunk[at[0]])
-                _, places, bits = slots(key[at].astype(np.uint64), k)
-                seen = held.setdefault((k, c), np.zeros((2, 1 << _IN_CHUNK)))
-                weight = np.repeat(n[at], 8).astype(np.float64)
-                np.add.at(seen, (bits.ravel(), places.ravel()), weight)
-        for (k, c), seen in held.items():
-            raw = entries(seen[0], seen[1]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([c], pa.int64()), pa.array([raw], pa.binary())], ["order", "chunk", "entries"])
-
-    numbered = grams.select(F.col("order").cast("int").alias("order"), "key", "n").mapInArrow(number, "order int, key long, n long, chunk long")
-    chunks = numbered.repartition("order", "chunk").mapInArrow(build, "order int, chunk long, entries binary")
-    empty = int(entries(np.zeros(1), np.zeros(1))[0])
-    table = [np.full(1 << SLOT_BITS, empty, np.uint16) for _ in range(ORDERS)]
-    for r in chunks.toLocalIterator():  # ORDERS * 2**CHUNK_BITS rows at most, of a fixed size
-        table[r.order - 1][r.chunk << _IN_CHUNK : (r.chunk + 1) << _IN_CHUNK] = np.frombuffer(bytes(r.entries), np.uint16)
+        held = [(b.column("key").to_numpy().astype(np.uint64), b.column("n").to_numpy()) for b in batches]
+        if held:
+            keys, counts = _merge(held)
+            for order in range(1, LOW + 1):
+                at, values = node_entries(*_merge([(keys >> np.uint64(8 * (LOW - order)), counts)]), order)
+                yield pa.RecordBatch.from_arrays([pa.array([order], pa.int32()), pa.array([at.astype("<i8").tobytes()]), pa.array([values.tobytes()])], ["order", "places", "entries"])
+
+    last = F.pmod(F.shiftright("key", 8 * (LOW - 1)), F.lit(256))
+    table = [np.full(1 << (8 * k + 8), EMPTY, np.uint16) for k in range(1, LOW + 1)]
+    for r in grams.repartition(last).mapInArrow(build, "order int, places binary, entries binary").toLocalIterator():  # 2**24 entries at most
+        table[r.order - 1][np.frombuffer(bytes(r.places), "<i8")] = np.frombuffer(bytes(r.entries), np.uint16)
     return table
 
 
-def train_mixer(texts: DataFrame, table: list[np.ndarray]) -> Model:
-    """Weights and map from the training texts kept for the mixer; one row for each task comes back."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(table)
+_ROWS = "slice long, part int, payload binary"
+_TEXTS = -1  # in place of a part: the slice's texts; in place of a slice: a part's counts
+
+
+def _parts_of(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each 6-gram: by its last three context bytes, so all that the high orders ask for is in one part."""
+    context = (grams >> np.uint64(8 * (ORDERS - LOW - 1))) & np.uint64((1 << (8 * (LOW + 1))) - 1)
+    return (mix64((context + np.uint64(1)) * _C) % np.uint64(parts)).astype(np.int32)
+
+
+def _planes(keys: np.ndarray) -> bytes:
+    """6-grams byte place by byte place: sorted ones compress well so."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_GRAM].T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _GRAM, 8), np.uint8)
+    out[:, :_GRAM] = np.frombuffer(raw, np.uint8).reshape(_GRAM, -1).T
+    return out.view("<u8").ravel()
+
+
+def _rows(slices_: list[int], parts: list[int], payloads: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(slices_, pa.int64()), pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], ["slice", "part", "payload"])
+
+
+def _by_part(grams: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that occurs, and the places of its 6-grams in order."""
+    part = _parts_of(grams, parts)
+    by = np.argsort(part, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], part[by][1:] != part[by][:-1], [True]])) if len(by) else []
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield int(part[by[a]]), by[a:b]
+
+
+def _block_grams(buffer: np.ndarray, places: np.ndarray) -> np.ndarray:
+    pieces = [distinct(gram_keys(buffer, places[at : at + BLOCK]))[0] for at in range(0, len(places), BLOCK)]
+    return pieces[0] if len(pieces) == 1 else np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]))
+
+
+def counted(counts: DataFrame, parts: int) -> DataFrame:
+    """The counts of 6-grams in rows by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = blank(shared.value), 0
-        hits, tries = np.zeros(GATES * BUCKETS), np.zeros(GATES * BUCKETS)
+        held, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, n = _merge(held)
+            for part, at in _by_part(keys, parts):
+                yield _rows([_TEXTS], [part], [_planes(keys[at]) + n[at].astype("<i8").tobytes()])
+
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().astype(np.uint64), batch.column("n").to_numpy()))
+            size += len(batch)
+            if size > 2_000_000:
+                yield from out()
+                held, size = [], 0
+        if held:
+            yield from out()
+
+    return counts.filter(F.col("kind") == _KIND_GRAM).select("key", "n").mapInArrow(run, _ROWS)
+
+
+def blocks(texts: DataFrame, parts: int) -> DataFrame:
+    """Slices of the texts: a row with the texts, and a row for each part with the slice's distinct 6-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", BLOCK):
                 buffer, places, _ = padded(*text_buffer(part.column("text")))
-                for at in range(0, len(places), MIXER_BLOCK):
-                    grams, counts = distinct(gram_keys(buffer, places[at : at + MIXER_BLOCK]))
-                    learn_block(model, hits, tries, grams, counts)
-                    seen += int(counts.sum())
+                grams = _block_grams(buffer, places)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as writer:
+                    writer.write_batch(part)
+                yield _rows([at], [_TEXTS], [sink.getvalue().to_pybytes()])
+                for number, chosen in _by_part(grams, parts):
+                    yield _rows([at], [number], [_planes(grams[chosen])])
+                at += 1
+
+    return texts.mapInArrow(run, _ROWS)
+
+
+def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
+    """For each row of 6-grams what ``answer(tables, grams)`` gives for them, in their order, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, counts, tables, waiting, size = None, [], None, [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            every = np.unique(np.concatenate([g for _, g in waiting]))
+            values = answer(tables, every)
+            for number, grams in waiting:
+                yield _rows([number], [part], [values[np.searchsorted(every, grams)].tobytes()])
+
+        for batch in batches:
+            for number, of, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), batch.column("payload"), strict=True):
+                if of != part:
+                    if waiting:
+                        yield from out()
+                    part, counts, tables, waiting, size = of, [], None, [], 0
+                raw = raw.as_py()
+                if number == _TEXTS:
+                    n = len(raw) // (_GRAM + 8)
+                    counts.append((_from_planes(raw[: _GRAM * n]), np.frombuffer(raw[_GRAM * n :], "<i8")))
+                    continue
+                if tables is None:
+                    tables = part_tables(*_merge(counts)) if counts else []
+                    counts = []
+                waiting.append((number, _from_planes(raw)))
+                size += len(waiting[-1][1])
+                if size > 1_000_000:
+                    yield from out()
+                    waiting, size = [], 0
+        if waiting:
+            yield from out()
+
+    return asked.unionByName(known).repartition("part").sortWithinPartitions("part", "slice").mapInArrow(run, _ROWS)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], parts: int, kind: type, shape: tuple) -> Iterator[tuple]:
+    """Of each slice, whose rows come one after the other: texts, their buffer, places, firsts, distinct 6-grams and the answers for them."""
+    for batch in batches:
+        for number, of, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), batch.column("payload"), strict=True):
+            raw = raw.as_py()
+            if of == _TEXTS:
+                texts = pa.ipc.open_stream(raw).read_all().combine_chunks().to_batches()[0]
+                buffer, places, firsts = padded(*text_buffer(texts.column("text")))
+                grams = _block_grams(buffer, places)
+                chosen = dict(_by_part(grams, parts))
+                values = np.empty((len(grams), *shape), kind)
+            else:
+                values[chosen.pop(of)] = np.frombuffer(raw, kind).reshape(-1, *shape)
+            if not chosen:
+                yield texts, buffer, places, firsts, grams, values
+
+
+def _with_texts(rows: DataFrame, answers: DataFrame) -> DataFrame:
+    return rows.filter(F.col("part") == _TEXTS).unionByName(answers).repartition("slice").sortWithinPartitions("slice", "part")
+
+
+def train_mixer(rows: DataFrame, known: DataFrame, low: list[np.ndarray], parts: int) -> Model:
+    """Weights and map from the blocks of the training texts kept for the mixer; one row for each task comes back."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(low)
+    answers = answered(rows.filter(F.col("part") != _TEXTS), known, high_entries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, seen = blank(shared.value), 0
+        hits, tries = np.zeros(GATES * BUCKETS), np.zeros(GATES * BUCKETS)
+        for _, buffer, places, _, every, values in _gathered(batches, parts, np.uint16, (8, ORDERS - LOW)):
+            for at in range(0, len(places), MIXER_BLOCK):
+                grams, counts = distinct(gram_keys(buffer, places[at : at + MIXER_BLOCK]))
+                found = np.concatenate([low_entries(model.table, grams), values[np.searchsorted(every, grams)]], axis=2)
+                learn_block(model, hits, tries, grams, counts, found)
+                seen += int(counts.sum())
         if seen:
             values = np.concatenate([model.weights.ravel() * seen, hits, tries, [seen]])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int64()), pa.array(values)], ["place", "value"])
 
-    sums = texts.select("text").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    model = blank(table)
+    sums = _with_texts(rows, answers).mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    model = blank(low)
     n = GATES * BUCKETS
     total = np.zeros(GATES * ORDERS + 2 * n + 1)
     for r in sums.collect():  # one row for each parameter
@@ -367,41 +548,47 @@ def train_mixer(texts: DataFrame, table: list[np.ndarray]) -> Model:
     return model
 
 
-def _scored(docs: DataFrame, model: Model, top: tuple[np.ndarray, np.ndarray], base: tuple[float, float]) -> DataFrame:
+def _scored(docs: DataFrame, known: DataFrame, parts: int, model: Model, top: tuple[np.ndarray, np.ndarray], base: tuple[float, float]) -> DataFrame:
     """A row for each document: its score, the base score of its known frequent words and end, and its other words."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, top))
+    context = docs.sparkSession.sparkContext
+    shared, frequent = context.broadcast(model), context.broadcast(top)
     end_value, total = base
+    rows = staged(blocks(docs.select("doc_id", "held_out", "text"), parts), "lm-blocks")
+    answers = answered(rows.filter(F.col("part") != _TEXTS), known, lambda tables, grams: found_costs(shared.value, tables, grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (top_keys, top_values) = shared.value
-        for batch in batches:
-            for part in slices(batch, "text", BLOCK):
-                raw, offsets = text_buffer(part.column("text"))
-                score = text_scores(model, raw, offsets)
-                words, counts = _words(raw, offsets)
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                at = np.searchsorted(top_keys, words)
-                at[at == len(top_keys)] = 0
-                known = top_keys[at] == words if len(top_keys) else np.zeros(len(words), bool)
-                sums = np.concatenate([[0.0], np.cumsum(np.where(known, top_values[at], 0.0) if len(top_keys) else np.zeros(len(words)))])
-                found = np.concatenate([[0], np.cumsum(known)])
-                rest_edges = edges - found[edges]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("held_out"),
-                        pa.array(counts + 1),
-                        pa.array(found[edges[1:]] - found[edges[:-1]] + int(end_value[1])),
-                        pa.array(sums[edges[1:]] - sums[edges[:-1]] + end_value[0]),
-                        pa.array(score),
-                        pa.array(np.diff(offsets)),
-                        pa.ListArray.from_arrays(pa.array(rest_edges.astype(np.int32)), pa.array(words[~known])),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "rest"],
-                )
+        top_keys, top_values = frequent.value
+        for part, buffer, places, firsts, every, values in _gathered(batches, parts, np.float64, ()):
+            raw, offsets = text_buffer(part.column("text"))
+            each = np.empty(len(places))
+            for at in range(0, len(places), BLOCK):
+                grams, code = _by_key(gram_keys(buffer, places[at : at + BLOCK]))
+                each[at : at + BLOCK] = values[np.searchsorted(every, grams)][code]
+            score = np.add.reduceat(each, firsts)
+            words, counts = _words(raw, offsets)
+            edges = np.concatenate([[0], np.cumsum(counts)])
+            at = np.searchsorted(top_keys, words)
+            at[at == len(top_keys)] = 0
+            known = top_keys[at] == words if len(top_keys) else np.zeros(len(words), bool)
+            sums = np.concatenate([[0.0], np.cumsum(np.where(known, top_values[at], 0.0) if len(top_keys) else np.zeros(len(words)))])
+            found = np.concatenate([[0], np.cumsum(known)])
+            rest_edges = edges - found[edges]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("held_out"),
+                    pa.array(counts + 1),
+                    pa.array(found[edges[1:]] - found[edges[:-1]] + int(end_value[1])),
+                    pa.array(sums[edges[1:]] - sums[edges[:-1]] + end_value[0]),
+                    pa.array(score),
+                    pa.array(np.diff(offsets)),
+                    pa.ListArray.from_arrays(pa.array(rest_edges.astype(np.int32)), pa.array(words[~known])),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "rest"],
+            )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, rest array<long>"
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+    return _with_texts(rows, answers).mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -417,7 +604,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     mixer = F.pmod(F.xxhash64("doc_id", F.lit("mixer")), F.lit(MIXER_SHARE)) == 0
     training = source.filter(~F.col("held_out")).withColumn("mixer", mixer)
     counts = staged(corpus_counts(training), "lm-counts")
-    model = train_mixer(training.filter("mixer"), slot_table(counts))
+    parts = max(PARTS, -(-counts.filter(F.col("kind") == _KIND_GRAM).count() // GRAMS_A_PART))
+    known = staged(counted(counts, parts), "lm-grams")
+    learning = staged(blocks(training.filter("mixer").select("doc_id", "held_out", "text"), parts), "lm-mixer")
+    model = train_mixer(learning, known, low_tables(counts), parts)
 
     words = counts.filter(F.col("kind") == _KIND_WORD).select("key", "n")
     ends = training.count()
@@ -432,7 +622,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     keys = np.array(sorted(r.key for r in frequent), np.int64)
     by_key = {r.key: r.n for r in frequent}
     top = (keys, np.array([value(by_key[k]) for k in keys.tolist()], np.float64))
-    rows = _scored(source, model, top, ((float(value(ends)), bool(ends)), total))
+    rows = _scored(source, known, parts, model, top, ((float(value(ends)), bool(ends)), total))
     rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
 
     rest = rows.select("row", F.explode("rest").alias("key"))

@@ -100,6 +100,22 @@ def test_key_codes_agree_with_the_general_way():
             assert (np.diff(short.astype(np.int64)) >= 0).all()
 
 
+def test_entries_are_exact_however_many_contexts_there_are():
+    rng = np.random.default_rng(3)
+    grams, counts = context_mixing.distinct(rng.integers(0, 1 << 48, 400_000).astype(np.uint64))
+    known = grams[::2]
+    for number, at in context_mixing._by_part(known, 64):
+        tables = context_mixing.part_tables(known[at], counts[::2][at])
+        others = grams[1::2][context_mixing._parts_of(grams[1::2], 64) == number]
+        contexts = known[at] & np.uint64((1 << 40) - 1)
+        strange = others[~np.isin(others & np.uint64((1 << 40) - 1), contexts)]
+        assert len(strange) and (context_mixing.high_entries(tables, strange)[:, :, -1] & 15 == 0).all()
+        found = context_mixing.high_entries(tables, known[at])[:, :, -1]
+        assert (found & 15 > 0).all()
+        logit, bits = (found[:, 7] >> 4).astype(int) - 2048, context_mixing.nodes(known[at], 5)[1][:, 7]
+        assert (np.sign(logit) == 2 * bits - 1).mean() > 0.99
+
+
 def test_held_out_texts_cost_less_than_eight_bits(spark):
     rows = context_mixing.score(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), common.crc_remainder(F.col("doc_id"), 5) == 1)
     held = rows.filter("held_out").agg(F.avg("bits_per_byte")).first()[0]
