@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -386,19 +387,18 @@ def _parts_of(grams: np.ndarray, parts: int) -> np.ndarray:
     return (mix64((context + np.uint64(1)) * _C) % np.uint64(parts)).astype(np.int32)
 
 
-def _planes(keys: np.ndarray) -> bytes:
-    """6-grams byte place by byte place: sorted ones compress well so."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_GRAM].T.tobytes()
+def _pack(values: np.ndarray) -> bytes:
+    """The values compressed byte place by byte place: sorted or alike, they compress well so."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes())
 
 
-def _from_planes(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // _GRAM, 8), np.uint8)
-    out[:, :_GRAM] = np.frombuffer(raw, np.uint8).reshape(_GRAM, -1).T
-    return out.view("<u8").ravel()
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _rows(slices_: list[int], parts: list[int], payloads: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(slices_, pa.int64()), pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], ["slice", "part", "payload"])
+def _row(number: int, part: int, payload: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([part], pa.int32()), pa.array([payload], pa.binary())], ["slice", "part", "payload"])
 
 
 def _by_part(grams: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -424,7 +424,7 @@ def counted(counts: DataFrame, parts: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             keys, n = _merge(held)
             for part, at in _by_part(keys, parts):
-                yield _rows([_TEXTS], [part], [_planes(keys[at]) + n[at].astype("<i8").tobytes()])
+                yield _row(_TEXTS, part, _pack(np.concatenate([keys[at].astype(np.uint64), n[at].astype(np.uint64)])))
 
         for batch in batches:
             held.append((batch.column("key").to_numpy().astype(np.uint64), batch.column("n").to_numpy()))
@@ -444,15 +444,15 @@ def blocks(texts: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text", BLOCK):
+            for part in slices(batch, "text", 2 * BLOCK):
                 buffer, places, _ = padded(*text_buffer(part.column("text")))
                 grams = _block_grams(buffer, places)
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as writer:
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                     writer.write_batch(part)
-                yield _rows([at], [_TEXTS], [sink.getvalue().to_pybytes()])
+                yield _row(at, _TEXTS, sink.getvalue().to_pybytes())
                 for number, chosen in _by_part(grams, parts):
-                    yield _rows([at], [number], [_planes(grams[chosen])])
+                    yield _row(at, number, _pack(grams[chosen]))
                 at += 1
 
     return texts.mapInArrow(run, _ROWS)
@@ -468,7 +468,7 @@ def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
             every = np.unique(np.concatenate([g for _, g in waiting]))
             values = answer(tables, every)
             for number, grams in waiting:
-                yield _rows([number], [part], [values[np.searchsorted(every, grams)].tobytes()])
+                yield _row(number, part, _pack(values[np.searchsorted(every, grams)]))
 
         for batch in batches:
             for number, of, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), batch.column("payload"), strict=True):
@@ -478,13 +478,13 @@ def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
                     part, counts, tables, waiting, size = of, [], None, [], 0
                 raw = raw.as_py()
                 if number == _TEXTS:
-                    n = len(raw) // (_GRAM + 8)
-                    counts.append((_from_planes(raw[: _GRAM * n]), np.frombuffer(raw[_GRAM * n :], "<i8")))
+                    keys, n = _unpack(raw, np.uint64).reshape(2, -1)
+                    counts.append((keys, n.astype(np.int64)))
                     continue
                 if tables is None:
                     tables = part_tables(*_merge(counts)) if counts else []
                     counts = []
-                waiting.append((number, _from_planes(raw)))
+                waiting.append((number, _unpack(raw, np.uint64)))
                 size += len(waiting[-1][1])
                 if size > 1_000_000:
                     yield from out()
@@ -507,7 +507,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], parts: int, kind: type, shape:
                 chosen = dict(_by_part(grams, parts))
                 values = np.empty((len(grams), *shape), kind)
             else:
-                values[chosen.pop(of)] = np.frombuffer(raw, kind).reshape(-1, *shape)
+                values[chosen.pop(of)] = _unpack(raw, kind).reshape(-1, *shape)
             if not chosen:
                 yield texts, buffer, places, firsts, grams, values
 
@@ -554,11 +554,11 @@ def _scored(docs: DataFrame, known: DataFrame, parts: int, model: Model, top: tu
     shared, frequent = context.broadcast(model), context.broadcast(top)
     end_value, total = base
     rows = staged(blocks(docs.select("doc_id", "held_out", "text"), parts), "lm-blocks")
-    answers = answered(rows.filter(F.col("part") != _TEXTS), known, lambda tables, grams: found_costs(shared.value, tables, grams))
+    answers = answered(rows.filter(F.col("part") != _TEXTS), known, lambda tables, grams: found_costs(shared.value, tables, grams).astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top_keys, top_values = frequent.value
-        for part, buffer, places, firsts, every, values in _gathered(batches, parts, np.float64, ()):
+        for part, buffer, places, firsts, every, values in _gathered(batches, parts, np.float32, ()):
             raw, offsets = text_buffer(part.column("text"))
             each = np.empty(len(places))
             for at in range(0, len(places), BLOCK):
@@ -605,7 +605,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     training = source.filter(~F.col("held_out")).withColumn("mixer", mixer)
     counts = staged(corpus_counts(training), "lm-counts")
     parts = max(PARTS, -(-counts.filter(F.col("kind") == _KIND_GRAM).count() // GRAMS_A_PART))
-    known = staged(counted(counts, parts), "lm-grams")
+    known = counted(counts, parts)
     learning = staged(blocks(training.filter("mixer").select("doc_id", "held_out", "text"), parts), "lm-mixer")
     model = train_mixer(learning, known, low_tables(counts), parts)
 
