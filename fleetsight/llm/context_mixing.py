@@ -40,7 +40,7 @@ from fleetsight.llm.common import mix64, slices, staged, text_buffer, word_hashe
 
 ORDERS = 5
 LOW = 2  # orders up to this one are tables by context, broadcast
-PARTS, GRAMS_A_PART = 64, 1 << 18  # least number of parts; distinct 6-grams to a part
+PARTS, GRAMS_A_PART = 64, 1 << 17  # least number of parts; distinct 6-grams to a part
 SLOT_BITS = 22  # of a table of hashed slots in memory
 CHUNK_BITS = 8
 TOP_WORDS = 65_536  # bound of the words whose counts are broadcast
@@ -429,7 +429,7 @@ def counted(counts: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             held.append((batch.column("key").to_numpy().astype(np.uint64), batch.column("n").to_numpy()))
             size += len(batch)
-            if size > 2_000_000:
+            if size > 1_000_000:
                 yield from out()
                 held, size = [], 0
         if held:
@@ -444,7 +444,7 @@ def blocks(texts: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text", 2 * BLOCK):
+            for part in slices(batch, "text", BLOCK):
                 buffer, places, _ = padded(*text_buffer(part.column("text")))
                 grams = _block_grams(buffer, places)
                 sink = pa.BufferOutputStream()
@@ -486,7 +486,7 @@ def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
                     counts = []
                 waiting.append((number, _unpack(raw, np.uint64)))
                 size += len(waiting[-1][1])
-                if size > 1_000_000:
+                if size > 250_000:
                     yield from out()
                     waiting, size = [], 0
         if waiting:
