@@ -101,16 +101,17 @@ def _powers(n: int) -> np.ndarray:
     return out
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased (A-Z) words of all texts, and how many words each has.
 
-    ``raw`` and ``offsets`` are as from ``text_buffer``. Words never cross texts.
+    ``raw`` and ``offsets`` are as from ``text_buffer``. Words never cross texts. ``apart`` marks
+    the 256 byte values that stand between words, ASCII white space by default.
     """
     n_texts = len(offsets) - 1
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(n_texts, np.int64)
     low = _LOWER[raw]
-    inside = ~_SPACE[raw]
+    inside = ~apart[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = offsets[(offsets > 0) & (offsets < len(raw))]

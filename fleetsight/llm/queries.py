@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.llm import (
+    alignment,
     context_mixing,
     conv_classifier,
     forest,
     host_rules,
     id_store,
+    language_codes,
+    lexical_search,
     minhash,
     mixture,
     packing,
@@ -87,6 +90,22 @@ def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.read_ids(spark, path)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
+def op13_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    codes = language_codes.train(docs, ~held_out)
+    rows = docs.select("doc_id", held_out.alias("held_out"), F.col("text").alias("text"))
+    return language_codes.predict(rows, codes).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_context_mixing,
@@ -99,6 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_scores,
         op9_host_rules,
         op10_id_store,
+        op11_lexical_search,
+        op12_token_alignment,
+        op13_language_codes,
     )
     return {f.__name__: f for f in made}
 
@@ -177,6 +199,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
 
 
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+_OP11_SQL = f"""
+WITH worded AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+held AS (SELECT r, doc_id, len(w) AS n FROM worded WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM held),
+postings AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM worded) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term, docs
+),
+asked AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark),
+wanted AS (SELECT i, item_id, term, count(*) AS q FROM (SELECT i, item_id, unnest(w) AS term FROM asked) GROUP BY ALL),
+scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN held USING (r), corpus GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for what it can express: the others need hashes, models, tokenizers or compression."""
     return {
@@ -184,4 +230,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_minhash": _OP6_SQL,
         "op7_warc_archive": _OP7_SQL,
         "op9_host_rules": _OP9_SQL,
+        "op11_lexical_search": _OP11_SQL,
     }

@@ -122,3 +122,55 @@ def rules(text) -> tuple[int, int, int, int, int]:
             covered |= {i, i + 1, i + 2}
     lines = [x for x in text.split("\n") if words(x)]
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def terms(text) -> list[bytes]:
+    return re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+def ranked(docs, items, k=10) -> list[tuple]:
+    """(item_id, rank, doc_id, score) of (doc_id, text) and (item_id, text) rows, every document scored for every item."""
+    held = [(d, collections.Counter(ts), len(ts)) for d, t in docs if (ts := terms(t))]
+    n_all, length = len(held), sum(n for _, _, n in held)
+    df = collections.Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for d, c, n in held:
+            m = 100 - 75 + 75 * n * n_all // length
+            score = sum(math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in terms(text) if c[t])
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        out += [(item, i + 1, None if no else d, -s) for i, (s, no, d) in enumerate(sorted(found)[:k])]
+    return out
+
+
+def aligned(texts, tokenizer, pieces) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each text, token by token."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    found, counts = [], collections.Counter()
+    for text in texts:
+        want = (" " + (text or "")).encode()
+        e = tokenizer.encode(" " + (text or ""), add_special_tokens=False)
+        a = [(i, bytes(byte_of[c] for c in t)) for i, t in zip(e.ids, e.tokens)]
+        b = [(i, bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("\u2581", " ").encode()) for i in pieces.encode(text or "") for p in [pieces.id_to_piece(i)]]
+        if not text or b"".join(x for _, x in a) != want or b"".join(x for _, x in b) != want:
+            found.append(None)
+            continue
+        ends = [list(np.cumsum([len(x) for _, x in side])) for side in (a, b)]
+        groups, links, i, j = [], [], 0, 0
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            x, y = ends[0].index(cut, i) + 1, ends[1].index(cut, j) + 1
+            groups.append(",".join(str(t) for t, _ in a[i:x]) + "|" + ",".join(str(t) for t, _ in b[j:y]))
+            links.append((a[x - 1][0], b[y - 1][0]))
+            i, j = x, y
+        counts.update(links)
+        found.append((len(a), len(b), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    most = collections.Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return [
+        (0, 0, 0, 0, 0, 0, "") if f is None else (*f[:3], len(f[3]), sum(counts[x] == most[x[1]] for x in f[3]), sum(counts[x] for x in f[3]), f[4])
+        for f in found
+    ]

@@ -26,6 +26,14 @@ def documents() -> list[tuple]:
     return rows
 
 
+def benchmark() -> list[tuple]:
+    """(item_id, text): nulls, no terms, repeated terms and rows, terms of no document."""
+    return [
+        (0, "Word5 of the text"), (1, "tie one two THREE"), (2, None), (3, ""), (4, "?! -- "), (5, "nowhere4711"), (6, "the the the dup dup w5 line"),
+        (None, "very long text"), (1, "tie one two THREE"), (7, "ça ß É"), (8, "line w17 of a very long text and a b c d e f g " * 3),
+    ]
+
+
 def pages() -> list[tuple]:
     body = "<p>" + "x" * 200 + "</p>"
     return [
@@ -50,13 +58,15 @@ def embeddings() -> list[tuple]:
     return rows
 
 
-def _write(spark, folder, doc_rows, page_rows, vector_rows, label_rows):
+def _write(spark, folder, doc_rows, page_rows, vector_rows, label_rows, item_rows):
     extra = ", ".join(f"{c} string" for c in CLASHING)
     pad = tuple("x" for _ in CLASHING)
-    docs = [(d, t, "en", s, None if t is None else len(t), *pad) for d, t, s in doc_rows]
+    langs = ("en", "de", None, "fr")
+    docs = [(d, t, langs[i % 4], s, None if t is None else len(t), *pad) for i, (d, t, s) in enumerate(doc_rows)]
     spark.createDataFrame(docs, f"doc_id long, text string, lang string, source string, n_chars long, {extra}").coalesce(2).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(*r, *pad) for r in page_rows], f"page_id long, url string, html string, {extra}").coalesce(2).write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame([(i, v, 0, *pad) for i, v in vector_rows], f"vec_id long, embedding array<float>, label int, {extra}").coalesce(2).write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(*r, *pad) for r in item_rows], f"item_id long, text string, {extra}").coalesce(1).write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(label_rows, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
     return folder
 
@@ -65,9 +75,9 @@ def _write(spark, folder, doc_rows, page_rows, vector_rows, label_rows):
 def odd(spark):
     """A folder of tables with every odd case."""
     labels = [(0, 1, 0), (1, 1, 0), (12, 0, 0), (13, 0, 0), (None, 1, 0), (5, None, 0), (9, 1, 0), (999, 0, 0), (7, 1, 0), (15, 0, 0)]
-    return _write(spark, tempfile.mkdtemp(prefix="fleetsight-odd-"), documents(), pages(), embeddings(), labels)
+    return _write(spark, tempfile.mkdtemp(prefix="fleetsight-odd-"), documents(), pages(), embeddings(), labels, benchmark())
 
 
 @pytest.fixture(scope="session")
 def empty(spark):
-    return _write(spark, tempfile.mkdtemp(prefix="fleetsight-empty-"), [], [], [], [])
+    return _write(spark, tempfile.mkdtemp(prefix="fleetsight-empty-"), [], [], [], [], [])

@@ -209,3 +209,43 @@ def test_op10(spark, folder, tokenizer):
         assert before is None or r.doc_id is None or before <= r.doc_id
         assert before is None or r.doc_id is not None
         at, before = at + r.n_tokens, r.doc_id
+
+
+def test_op11(spark, folder):
+    docs = [(r.doc_id, r.text) for r in rows_of(spark, folder)]
+    items = [(r.item_id, r.text) for r in rows_of(spark, folder, "benchmark")]
+    got = Q["op11_lexical_search"](spark, folder).collect()
+    assert by(got, "item_id", "rank", "doc_id", "score") == collections.Counter(brute.ranked(docs, items))
+
+
+def test_op12(spark, folder):
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = rows_of(spark, folder)
+    got = Q["op12_token_alignment"](spark, folder).collect()
+    want = [(d.doc_id, *a) for d, a in zip(docs, brute.aligned([d.text for d in docs], plain, pieces))]
+    assert by(got, "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256") == collections.Counter(want)
+
+
+def test_op13_rows(spark, folder):
+    docs = rows_of(spark, folder)
+    got = Q["op13_language_codes"](spark, folder).collect()
+    assert by(got, "doc_id", "held_out") == collections.Counter((r.doc_id, brute.crc(r.doc_id) % 4 == 2) for r in docs)
+    learned = {r.lang for r in docs if r.lang is not None and brute.crc(r.doc_id) % 4 != 2}
+    without = collections.Counter(r.doc_id for r in docs if not any(c.isalpha() for c in r.text or ""))
+    assert collections.Counter(r.doc_id for r in got if r.lang_pred == "und") == without
+    assert all(r.lang_pred in learned | {"und"} and 0 <= r.score <= 1 for r in got)
+    assert all(r.score == 0 and not r.ambiguous for r in got if r.lang_pred == "und")
+
+
+def test_op13_held_out(spark):
+    got = {r.doc_id: r for r in Q["op13_language_codes"](spark, "/root/testdata/sf0.01").collect()}
+    docs = rows_of(spark, "/root/testdata/sf0.01")
+    held = [r for r in docs if got[r.doc_id].held_out]
+    right = sum(got[r.doc_id].lang_pred == r.lang for r in held)
+    assert len(held) > 200 and right / len(held) >= 0.99
