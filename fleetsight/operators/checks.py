@@ -83,18 +83,36 @@ def sanity_checks(
     predictions: DataFrame | None = None,
     spec: TelemetrySpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """All checks in one row; true means pass."""
-    cols = [
-        daily_dates_unique(daily, spec).alias("daily_dates_unique"),
-        failure_totals_agree(daily, summary).alias("failure_totals_agree"),
-        signal_complete(signal).alias("smart_signal_complete"),
-        watchlist_one_row_per_entity(watchlist, spec).alias("watchlist_one_row_per_drive"),
-        watchlist_has_no_failed(watchlist, features, spec).alias("watchlist_has_no_failed_drive"),
-        features_unique(features, spec).alias("features_unique_per_drive_day"),
-        keys_not_null(daily, [spec.date]).alias("daily_keys_not_null"),
-        keys_not_null(watchlist, [spec.entity]).alias("watchlist_keys_not_null"),
-        F.lit(all(types_publishable(t) for t in (daily, summary, signal, watchlist))).alias("types_publishable"),
-    ]
+    """All checks in one row; true means pass. Each table is read once, by one aggregate for all its checks."""
+    failed = features.filter(F.col(spec.event) == 1).select(F.col(spec.entity).alias("_failed")).distinct()
+    watched = watchlist.join(failed, F.col(spec.entity) == F.col("_failed"), "left")
+    days = F.col(spec.date)
+    drives = F.col(spec.entity)
+    figures = {
+        "daily": daily.agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct(days).alias("keys"), F.count_if(days.isNull()).alias("nulls"), F.sum("failure_count").alias("failures")
+        ),
+        "summary": summary.agg(F.sum("failure_count").alias("failures")),
+        "signal": signal.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("attribute_id").alias("keys")),
+        "watch": watched.agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct(drives).alias("keys"), F.count_if(drives.isNull()).alias("nulls"), F.count("_failed").alias("failed")
+        ),
+        "repeated": features.groupBy(*spec.key).count().agg(F.count_if(F.col("count") > 1).alias("n")),
+    }
     if predictions is not None:
-        cols.append(probabilities_valid(predictions).alias("probabilities_valid"))
-    return spark.range(1).select(*cols)
+        figures["scored"] = predictions.agg(F.min("failure_probability").alias("least"), F.max("failure_probability").alias("most"))
+    row = spark.range(1).select(*[df.select(F.struct(*df.columns)).scalar().alias(name) for name, df in figures.items()])
+    cols = {
+        "daily_dates_unique": F.col("daily.n") == F.col("daily.keys"),
+        "failure_totals_agree": F.col("daily.failures") == F.col("summary.failures"),
+        "smart_signal_complete": F.col("signal.n") == 2 * F.col("signal.keys"),
+        "watchlist_one_row_per_drive": F.col("watch.n") == F.col("watch.keys"),
+        "watchlist_has_no_failed_drive": F.col("watch.failed") == 0,
+        "features_unique_per_drive_day": F.col("repeated.n") == 0,
+        "daily_keys_not_null": F.col("daily.nulls") == 0,
+        "watchlist_keys_not_null": F.col("watch.nulls") == 0,
+        "types_publishable": F.lit(all(types_publishable(t) for t in (daily, summary, signal, watchlist))),
+    }
+    if predictions is not None:
+        cols["probabilities_valid"] = (F.col("scored.least") >= 0) & (F.col("scored.most") <= 1)
+    return row.select(*[c.alias(name) for name, c in cols.items()])

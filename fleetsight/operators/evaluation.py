@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetsight.functions.columns import safe_ratio
+from fleetsight.operators.reports import value_slice
 from fleetsight.spec import THRESHOLD_COUNT, THRESHOLD_STEP
 
 LABEL = "failure_label"
@@ -105,29 +106,76 @@ def drive_level_rates(
     return totals.withColumns({name: safe_ratio(F.col(part), F.col(whole)) for name, (part, whole) in shares.items()})
 
 
-def area_under_curves(scored: DataFrame, label: str = LABEL, score: str = PROBABILITY, num_bins: int = 0) -> dict[str, float]:
-    """Areas under PR and ROC. ``num_bins=0`` is exact (a distributed sort of the scores)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+def curve_areas(scored: DataFrame, label: str = LABEL, probability: str = PROBABILITY, slices: int = 16_384) -> DataFrame:
+    """M7: (area_under_pr, area_under_roc) as one lazy row, exact, by trapezoids over the distinct scores.
+
+    A distributed prefix sum: rows are counted by distinct score (ties are one point), scores fall
+    into ordered slices by a fixed function of the score, the slices' totals (``2 * slices + 2`` rows
+    at most) give each slice what lies above it, and running counts inside a slice give each point.
+    A point's predecessor is the point less its own rows, so no neighbour is looked up.
+    Without positives both areas are 0; without negatives the ROC area is 1. NULLs count nowhere.
+    """
+    known = scored.filter(F.col(label).isNotNull() & F.col(probability).isNotNull())
+    positive = F.col(label) > 0.5
+    points = known.groupBy(F.col(probability).cast("double").alias("p")).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    points = points.withColumn("slice", value_slice(F.col("p"), slices))
+    above = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    none = F.lit(0).cast("long")
+    totals = points.groupBy("slice").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    offsets = totals.select(
+        "slice",
+        *[F.coalesce(F.sum(c).over(above), none).alias(f"{c}_above") for c in ("pos", "neg")],
+        *[F.sum(c).over(whole).alias(f"{c}_all") for c in ("pos", "neg")],
+    )
+    within = Window.partitionBy("slice").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = points.select("slice", "pos", "neg", *[F.sum(c).over(within).alias(f"{c}_run") for c in ("pos", "neg")])
+    placed = running.join(F.broadcast(offsets), "slice")  # a row for each slice at most
+    tp, fp = F.col("pos_run") + F.col("pos_above"), F.col("neg_run") + F.col("neg_above")
+    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
+    precision = tp / (tp + fp)
+    before = F.when(tp0 + fp0 > 0, F.try_divide(tp0, tp0 + fp0)).otherwise(precision)  # the curve opens at its first point's precision
+    pr = F.sum(F.col("pos") * (precision + before) / 2) / F.max("pos_all")
+    roc = F.try_divide(F.sum(F.col("neg") * (tp + tp0) / 2), F.max("pos_all") * F.max("neg_all"))
+    some, both = F.max("pos_all") > 0, F.max("neg_all") > 0
+    return placed.agg(
+        F.when(some, pr).otherwise(0.0).alias("area_under_pr"),
+        F.when(some & both, roc).when(some, 1.0).otherwise(0.0).alias("area_under_roc"),
+    )
 
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=num_bins)
-    return {
-        "area_under_pr": ev.setMetricName("areaUnderPR").evaluate(scored),
-        "area_under_roc": ev.setMetricName("areaUnderROC").evaluate(scored),
-    }
+
+def area_under_curves(scored: DataFrame, label: str = LABEL, score: str = PROBABILITY) -> dict[str, float]:
+    """Areas under PR and ROC as numbers (one job)."""
+    return curve_areas(scored, label, score).first().asDict()
+
+
+def evaluation_row(
+    scored: DataFrame, threshold: float | None = None, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
+) -> DataFrame:
+    """M7: AUPR, AUROC, threshold, precision, recall, F1, entity recall and false-alarm rate in one lazy row.
+
+    Without a ``threshold`` the one with the best F1 is taken (A17), in the same query.
+    """
+    names = {"label": label, "probability": probability}
+    at = best_threshold(scored, **names) if threshold is None else threshold_sweep(scored, [threshold], **names)
+    prf = at.select(F.struct("threshold", "precision", "recall", "f1").alias("x"))
+    limit = at.select("threshold").scalar() if threshold is None else F.lit(float(threshold))
+    rates = drive_level_rates(scored, limit, entity, label, probability).select(F.struct("drive_recall", "drive_false_alarm_rate").alias("x"))
+    areas = curve_areas(scored, label, probability).select(F.struct("area_under_pr", "area_under_roc").alias("x"))
+    parts = scored.sparkSession.range(1).select(areas.scalar().alias("a"), prf.scalar().alias("t"), rates.scalar().alias("d"))
+    return parts.select("a.*", "t.*", "d.*")
+
+
+def metrics_long(row: DataFrame, model_name: str, split: str) -> DataFrame:
+    """The figures of :func:`evaluation_row` as (model_name, split, metric, value) rows."""
+    entries = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in row.columns])
+    return row.select(F.lit(model_name).alias("model_name"), F.lit(split).alias("split"), F.explode(entries).alias("e")).select(
+        "model_name", "split", "e.metric", "e.value"
+    )
 
 
 def evaluate(
-    scored: DataFrame, threshold: float, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
+    scored: DataFrame, threshold: float | None = None, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
 ) -> dict[str, float]:
-    """M7: AUPR, AUROC, threshold, precision, recall, F1, entity recall and false-alarm rate."""
-    prf = threshold_sweep(scored, [threshold], label=label, probability=probability).first()
-    rates = drive_level_rates(scored, threshold, entity, label, probability).first()
-    return {
-        **area_under_curves(scored, label, probability),
-        "threshold": float(threshold),
-        "precision": float(prf["precision"]),
-        "recall": float(prf["recall"]),
-        "f1": float(prf["f1"]),
-        "drive_recall": float(rates["drive_recall"]),
-        "drive_false_alarm_rate": float(rates["drive_false_alarm_rate"]),
-    }
+    """M7: the figures of :func:`evaluation_row` as numbers (one job)."""
+    return {name: float(v) for name, v in evaluation_row(scored, threshold, entity, label, probability).first().asDict().items()}

@@ -53,8 +53,8 @@ def cleaned_c1(spark: SparkSession, sf_dir: str, zscores: bool = True) -> DataFr
     return clean.clean_telemetry(fixtures.telemetry_c1(spark, sf_dir), SPEC, zscores=zscores)
 
 
-def features_c1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.build_features(cleaned_c1(spark, sf_dir), SPEC)
+def features_c1(spark: SparkSession, sf_dir: str, zscores: bool = True) -> DataFrame:
+    return features.build_features(cleaned_c1(spark, sf_dir, zscores), SPEC)
 
 
 def last_date_c1(spark: SparkSession, sf_dir: str):
@@ -302,7 +302,7 @@ _DAILY_DOUBLES = ["mean_age_days", "mean_temperature_celsius", "failure_rate_pct
 @register("daily_fleet_health", O.rounded(_C1_FEATURES + _DAILY_SQL + "\nSELECT * FROM daily", _DAILY_DOUBLES))
 def daily_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: daily drives, failures, at-risk rows, mean age and temperature, rates."""
-    return reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC)
+    return reports.daily_fleet_health(features_c1(spark, sf_dir, zscores=False), SPEC)
 
 
 @register(
@@ -318,7 +318,7 @@ SELECT date, drive_count, failure_count, at_risk_count, round(failure_rate_pct,
 )
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily view with its roundings."""
-    return reports.daily_report(reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC), SPEC)
+    return reports.daily_report(reports.daily_fleet_health(features_c1(spark, sf_dir, zscores=False), SPEC), SPEC)
 
 
 @register(
@@ -337,7 +337,7 @@ FROM daily GROUP BY 1""",
 )
 def weekly_fleet_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly rollup with weeks starting on Sunday."""
-    return reports.weekly_fleet_health(reports.daily_fleet_health(features_c1(spark, sf_dir), SPEC), SPEC)
+    return reports.weekly_fleet_health(reports.daily_fleet_health(features_c1(spark, sf_dir, zscores=False), SPEC), SPEC)
 
 
 # ---- A3 + P21 + T2 ------------------------------------------------------------------------------
@@ -369,7 +369,7 @@ ORDER BY annualized_failure_rate_pct DESC NULLS LAST, model LIMIT 25""",
 )
 def top_models_by_afr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 + P21 + T2: the 25 models with the highest annualised failure rate."""
-    summary = reports.model_failure_summary(features_c1(spark, sf_dir), SPEC)
+    summary = reports.model_failure_summary(features_c1(spark, sf_dir, zscores=False), SPEC)
     return reports.top_models_by_afr(summary, min_drives=TOP_MODELS_MIN_DRIVES, k=25, spec=SPEC)
 
 
@@ -521,7 +521,7 @@ ORDER BY max(failure_probability) DESC NULLS LAST, serial_number, model LIMIT 20
 )
 def top_predicted_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 + T4: drives with the highest predicted probability, top 20."""
-    return reports.top_predicted_drives(fixtures.predictions_c5(features_c1(spark, sf_dir)), k=20, spec=SPEC)
+    return reports.top_predicted_drives(fixtures.predictions_c5(features_c1(spark, sf_dir, zscores=False)), k=20, spec=SPEC)
 
 
 # ---- P9-P12 / A5 / A8 / M2 ----------------------------------------------------------------------
@@ -611,7 +611,31 @@ WHERE failure_label = 1.0
 def downsampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: all positives and at most 20 negatives per positive, chosen by a stable hash."""
     train = training.in_split(model_rows_c1(spark, sf_dir), "train")
-    return training.downsample_negatives(train, SPEC).select("serial_number", "date", "failure_label")
+    kept = training.downsample_negatives(train, SPEC, fraction=training.kept_share(train, SPEC))
+    return kept.select("serial_number", "date", "failure_label")
+
+
+@register(
+    "downsampled_rows_exact",
+    O.rounded(
+        _C1_FEATURES
+        + _TRAIN_SQL
+        + """,
+placed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY failure_label
+    ORDER BY CAST(concat('0x', substr(md5(concat('s', serial_number, CAST(date AS VARCHAR))), 1, 8)) AS BIGINT), serial_number, date
+  ) AS place FROM train
+)
+SELECT serial_number, date, failure_label FROM placed
+WHERE failure_label = 1.0 OR place <= 20 * (SELECT count(*) FROM train WHERE failure_label = 1.0)""",
+        ["failure_label"],
+    ),
+)
+def downsampled_rows_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: all positives and exactly 20 negatives per positive, those with the smallest hashes."""
+    train = training.in_split(model_rows_c1(spark, sf_dir), "train")
+    return training.downsample_negatives(train, SPEC, method="exact").select("serial_number", "date", "failure_label")
 
 
 # ---- C2: A6 / A17 / A7 / P13 / A13 --------------------------------------------------------------
@@ -744,9 +768,8 @@ FROM best, areas, rates"""
 def evaluate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight metrics at the best threshold, as the pivoted report shows them."""
     scored = scored_c2(spark, sf_dir)
-    figures = evaluation.evaluate(scored, evaluation.best_threshold_value(scored), entity="entity_group")
-    rows = [("fixture", "validation", metric, value) for metric, value in figures.items()]
-    return reports.metrics_pivot(spark.createDataFrame(rows, "model_name string, split string, metric string, value double"))
+    row = evaluation.evaluation_row(scored, entity="entity_group")
+    return reports.metrics_pivot(evaluation.metrics_long(row, "fixture", "validation"))
 
 
 def _metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1026,7 +1049,10 @@ SELECT
 )
 def sanity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q6, Q4b, J5, SK8 as one row of booleans (true = pass)."""
-    feats = features_c1(spark, sf_dir)
+    # as in a deployment, the checks read a feature table that is there, and don't build it for each check
+    path = shared_folder(spark, "checked-features")
+    features_c1(spark, sf_dir).write.parquet(path)
+    feats = spark.read.parquet(path)
     return checks.sanity_checks(
         spark,
         reports.daily_fleet_health(feats, SPEC),
@@ -1110,3 +1136,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/scores").drop("scored_at")
+
+
+# the queries of the mergeable states and of the keyed streams register themselves here
+from fleetsight.plans import registry_states  # noqa: E402, F401

@@ -97,11 +97,12 @@ def make_batch_handler(
     that gets the rows read and rejected of each batch, so that nothing is dropped unseen.
     """
     sides = _Sides(statistics, context, reload_sides, refresh_every)
+    own = _own_session(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         sides.next_batch()
         paths = sorted(r.path for r in batch.select("path").distinct().collect())
-        telemetry = read_csv_batches(spark, paths, spec.schema())
+        telemetry = read_csv_batches(own, paths, spec.schema())
         if telemetry is None:
             return
         read, kept = Observation(), Observation()
@@ -123,6 +124,19 @@ def make_batch_handler(
     return handle
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings for the rows that are counted as they pass.
+
+    A session that has counted rows this way holds what can't be sent to tasks, and a classifier
+    that is fitted in it holds the session: its scores could then not be computed any more.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def _overwrite_batch(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
