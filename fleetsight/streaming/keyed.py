@@ -152,11 +152,14 @@ class TrendState(StatefulProcessor):
         if not arrived:
             return
         held |= arrived
-        first_seen = min([min(arrived), *([first_seen] if first_seen is not None else [])])
+        born, first_seen = first_seen, min([min(arrived), *([first_seen] if first_seen is not None else [])])
         days = sorted(held)
         reach = max(self.lengths)
         place = {d: i for i, d in enumerate(days)}
-        changed = sorted({j for d in arrived for j in range(place[d], min(place[d] + reach + 1, len(days)))})
+        if born is None or first_seen == born:
+            changed = sorted({j for d in arrived for j in range(place[d], min(place[d] + reach + 1, len(days)))})
+        else:  # an earlier first date makes every row's age another
+            changed = range(len(days))
         for j in changed:
             day = days[j]
             trends = []

@@ -161,3 +161,63 @@ def test_fit_score_and_importance(spark):
         assert all(0 <= p <= 1 for p in probs)
         imp = training.feature_importance(spark, model, S)
         assert imp.count() == len(S.feature_columns()) == 37
+
+
+@pytest.mark.parametrize("shape", ["ties", "random", "perfect", "reversed", "one_score", "no_positive", "no_negative"])
+def test_areas_equal_the_library_evaluator(spark, shape):
+    import random
+
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = random.Random(5)
+    made = {
+        "ties": lambda i: (float(i % 3 == 0), (i % 7) / 7), "random": lambda i: (float(rng.random() < 0.2), rng.random()),
+        "perfect": lambda i: (float(i < 50), 1 - i / 400), "reversed": lambda i: (float(i < 50), i / 400),
+        "one_score": lambda i: (float(i % 2), 0.5), "no_positive": lambda i: (0.0, i / 400), "no_negative": lambda i: (1.0, i / 400),
+    }
+    df = spark.createDataFrame([made[shape](i) for i in range(400)], "failure_label double, failure_probability double")
+    got = evaluation.curve_areas(df, slices=16).first()
+    for column, metric in (("area_under_pr", "areaUnderPR"), ("area_under_roc", "areaUnderROC")):
+        ev = BinaryClassificationEvaluator(labelCol="failure_label", rawPredictionCol="failure_probability", numBins=0, metricName=metric)
+        assert got[column] == pytest.approx(ev.evaluate(df), abs=1e-12)
+
+
+def test_areas_of_no_rows(spark):
+    empty = spark.createDataFrame([], "failure_label double, failure_probability double")
+    assert tuple(evaluation.curve_areas(empty).first()) == (0.0, 0.0)
+
+
+@pytest.mark.parametrize("negatives", [0, 7, 60, 500])
+def test_exactly_ratio_negatives_under_any_partitioning(spark, negatives):
+    rows = [(f"S{i}", dt.date(2026, 1, 1) + dt.timedelta(days=i % 30), float(i >= negatives)) for i in range(negatives + 3)]
+    df = spark.createDataFrame(rows, "serial_number string, date date, failure_label double")
+    kept = [
+        {(r.serial_number, r.date) for r in training.downsample_negatives(part, S, ratio=20, method="exact").collect()}
+        for part in (df, df.repartition(7), df.orderBy(F.desc("serial_number")).coalesce(1))
+    ]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 3 + min(60, negatives)
+
+
+def test_no_positive_keeps_no_negative(spark):
+    df = spark.createDataFrame([("S", dt.date(2026, 1, 1), 0.0)], "serial_number string, date date, failure_label double")
+    assert training.downsample_negatives(df, S, method="exact").count() == 0
+    with pytest.raises(Exception, match="never 1"):
+        training.downsample_negatives(df, S, fraction=training.kept_share(df, S)).collect()
+
+
+def test_a_session_that_counted_a_stream_can_still_score(spark, scratch):
+    """Counting rows of a micro-batch must not leave the session unfit to score with a freshly fitted model."""
+    from fleetsight.streaming.job import make_batch_handler
+    from fleetsight.streaming import scoring
+    from helpers import telemetry_df, telemetry_row
+
+    with open(f"{scratch}/a.csv", "w") as fh:
+        fh.write("serial_number,date,model,capacity_bytes,failure,smart_5_raw\nA,2025-05-05,MODEL_A,9,0,4\n")
+    history = telemetry_df(spark, [telemetry_row("A", dt.date(2025, 5, 1))])
+    context = scoring.entity_context(history.select("*", F.col("date").alias("first_seen"), *[F.lit(0.0).alias(c) for c in S.trend_columns]))
+    handle = make_batch_handler(spark, f"{scratch}/out", scoring.model_statistics(history), context, counts_path=f"{scratch}/counts")
+    handle(spark.createDataFrame([(f"file:{scratch}/a.csv",)], "path string"), 0)
+    assert spark.read.parquet(f"{scratch}/counts").first().rows_read == 1
+    train = spark.range(60).select(F.when(F.col("id") % 3 == 0, 1.0).otherwise(0.0).alias("failure_label"), *[F.rand(2).alias(c) for c in S.feature_columns()])
+    model = training.candidate_pipelines(S, lr_max_iter=3)["logistic_regression"].fit(train)
+    assert training.score(model, train).count() == 60 and len(training.score(model, train).collect()) == 60
