@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fleetsight.operators import clean, features, reports, training
 from fleetsight.sinks.publish import publish, publish_all, write_partitioned
 from fleetsight.sources.csv import discover_batch_files, read_csv_batches
-from fleetsight.sources.tables import load_optional_tables
+from fleetsight.sources.tables import footer_extent, load_optional_tables
 from fleetsight.spec import DEFAULT_SPEC, TelemetrySpec
 from fleetsight.streaming import scoring
 from fleetsight.streaming.job import load_model_if_present, start_scoring_stream
@@ -139,6 +139,8 @@ def serving_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEF
 def training_stage(spark: SparkSession, layout: Layout, spec: TelemetrySpec = DEFAULT_SPEC, **kw) -> str:
     """M2-M10, SK3, SK4: fit, choose, evaluate; save the model and the three model tables."""
     kw.setdefault("staging_path", layout.model_rows)
+    if "last_date" not in kw:
+        kw["last_date"] = F.lit(footer_extent(spark, layout.features, spec.date).first()["last"])
     result = training.train_and_evaluate(spark.read.parquet(layout.features), spec, **kw)
     result.model.write().overwrite().save(layout.model)
     publish(result.metrics, layout.metrics, ["model_name", "split", "metric"])

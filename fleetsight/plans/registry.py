@@ -1079,8 +1079,11 @@ _DRIVER_TABLES = (
     ),
 )
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and columns of every input table."""
-    return reports.table_inventory(spark, {t: fixtures.table(spark, sf_dir, t) for t in _DRIVER_TABLES})
+    """Rows and columns of every input table; the rows come from the files' footers."""
+    from fleetsight.sources.tables import footer_session
+
+    own = footer_session(spark)
+    return reports.table_inventory(own, {t: fixtures.table(own, sf_dir, t) for t in _DRIVER_TABLES})
 
 
 # ---- M2-M10 (rows-only: model fits are not SQL) -------------------------------------------------

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.operators import clean, features, incremental, reports
+from fleetsight.plans import fixtures
 from fleetsight.plans import oracle as O
 from fleetsight.plans import registry as R
+from fleetsight.sinks.publish import publish, publish_all
+from fleetsight.sources.tables import footer_extent
 from fleetsight.streaming import keyed, scoring
 
 SPEC = R.SPEC
@@ -169,3 +172,92 @@ def stream_scores_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/scores").drop("batch_id")
+
+
+# ---- A8 -----------------------------------------------------------------------------------------------
+@R.register(
+    "staged_extent",
+    R._C1_CLEAN_NOZ + "\nSELECT count(*) AS total_rows, min(date) AS first, max(date) AS last FROM cleaned",
+)
+def staged_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, first and last day of a staged table from its files' footers."""
+    path = R.shared_folder(spark, "staged")
+    R.cleaned_c1(spark, sf_dir, zscores=False).write.parquet(path)
+    return footer_extent(spark, path, SPEC.date)
+
+
+# ---- T1, T5, T7: reports in the order in which they are shown ---------------------------------------------
+def _placed(df: DataFrame) -> DataFrame:
+    """Rows with their position as they come."""
+    return df.coalesce(1).select(F.monotonically_increasing_id().alias("position"), "*")
+
+
+@R.register(
+    "daily_report_in_order",
+    O.rounded(
+        R._C1_FEATURES
+        + R._DAILY_SQL
+        + """
+SELECT row_number() OVER (ORDER BY date) - 1 AS position, date, drive_count, failure_count, at_risk_count,
+       failure_rate_pct, at_risk_rate_pct, mean_age_days, mean_temperature_celsius FROM daily""",
+        R._DAILY_DOUBLES,
+    ),
+)
+def daily_report_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report by date."""
+    daily = reports.daily_fleet_health(R.features_c1(spark, sf_dir, zscores=False), SPEC)
+    return _placed(reports.ordered(daily, "daily_fleet_health", SPEC))
+
+
+@R.register(
+    "signal_gap_in_order",
+    "SELECT row_number() OVER (ORDER BY gap DESC NULLS LAST, attribute_id) - 1 AS position, * FROM (\n" + R.oracle_sql()["signal_gap"] + "\n) AS shown",
+)
+def signal_gap_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics by how far their cohorts are apart."""
+    return _placed(reports.ordered(R.queries()["signal_gap"](spark, sf_dir), "signal_gap", SPEC))
+
+
+@R.register(
+    "top_features",
+    """
+WITH importance AS (
+  SELECT concat('p', CAST(l_partkey % 60 AS VARCHAR)) AS feature, CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / count(*) AS importance
+  FROM lineitem GROUP BY 1
+)
+SELECT row_number() OVER (ORDER BY importance DESC, feature) - 1 AS position, feature, round(importance, 4) AS importance
+FROM importance QUALIFY position < 15""",
+)
+def top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the 15 features of the greatest importance, of 60."""
+    returned = F.count_if(F.col("l_returnflag") == "R").cast("double") / F.count(F.lit(1))
+    feature = F.concat(F.lit("p"), (F.col("l_partkey") % 60).cast("string")).alias("feature")
+    importance = fixtures.table(spark, sf_dir, "lineitem").groupBy(feature).agg(returned.alias("importance"))
+    return _placed(reports.top_features(importance))
+
+
+# ---- SK3, SK6-SK9 -----------------------------------------------------------------------------------------
+@R.register(
+    "published_tables",
+    R._C1_FEATURES
+    + R._DAILY_SQL
+    + R._SUMMARY_SQL
+    + """
+SELECT 'daily_fleet_health' AS table_name, count(*) AS total_rows, CAST(sum(failure_count) AS BIGINT) AS failures FROM daily
+UNION ALL SELECT 'model_failure_summary', count(*), CAST(sum(failure_count) AS BIGINT) FROM summary
+UNION ALL SELECT 'appended', count(*), CAST(sum(failure_count) AS BIGINT) FROM daily""",
+)
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SK3, SK6-SK9: two reports published by key, published again in their place, and one appended in two parts."""
+    root = R.shared_folder(spark, "published")
+    feats = R.features_c1(spark, sf_dir, zscores=False)
+    daily, summary = reports.daily_fleet_health(feats, SPEC), reports.model_failure_summary(feats, SPEC)
+    tables = {"daily_fleet_health": (daily, [SPEC.date]), "model_failure_summary": (summary, [SPEC.group])}
+    publish_all(tables, root)
+    found = publish_all(tables, root)
+    even = F.dayofmonth(SPEC.date) % 2 == 0
+    for part in (found["daily_fleet_health"].filter(even), found["daily_fleet_health"].filter(~even)):
+        found["appended"] = publish(part, f"{root}/appended", [SPEC.date], mode="append")
+    figures = [F.count(F.lit(1)).alias("total_rows"), F.sum("failure_count").alias("failures")]
+    rows = [df.agg(*figures).select(F.lit(name).alias("table_name"), "total_rows", "failures") for name, df in found.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -50,6 +50,17 @@ def checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> st
     return sc.getCheckpointDir() or configured
 
 
+def session_like(spark: SparkSession, **conf: str) -> SparkSession:
+    """Another session with the caller's settings and those of ``conf``; the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in conf.items():
+        own.conf.set(key, value)
+    return own
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession, allow_local_default=True)

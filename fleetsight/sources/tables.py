@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetsight.session import session_like
 
 ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
@@ -17,6 +20,25 @@ def read_table(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location)
 
 
+# fixed values: Spark's file formats with a first-generation reader, Parquet left out
+_FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session in which ``count``, ``min`` and ``max`` over whole Parquet tables come from the files' footers.
+
+    Only Spark's second reader does that. Such an aggregate reads no data pages: its cost grows with
+    the files, not with the rows. Strings, timestamps and nested columns have no pushed ``min`` or ``max`` and are scanned.
+    """
+    return session_like(spark, **_FOOTER_CONF)
+
+
+def footer_extent(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(total_rows, first, last) of a staged table, from its footers."""
+    table = footer_session(spark).read.parquet(path)
+    return table.agg(F.count(F.lit(1)).alias("total_rows"), F.min(column).alias("first"), F.max(column).alias("last"))
+
+
 def is_absent(error: AnalysisException) -> bool:
     """Whether Spark's error condition says that a path or table isn't there."""
     return error.getCondition() in ABSENT

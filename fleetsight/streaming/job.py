@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.operators.clean import drop_invalid_rows, normalize_group_names
+from fleetsight.session import session_like
 from fleetsight.sinks.publish import keyed
 from fleetsight.sources.csv import read_csv_batches
 from fleetsight.sources.tables import folder_exists
@@ -97,7 +98,9 @@ def make_batch_handler(
     that gets the rows read and rejected of each batch, so that nothing is dropped unseen.
     """
     sides = _Sides(statistics, context, reload_sides, refresh_every)
-    own = _own_session(spark)
+    # A session whose frames have been observed can't be sent to tasks, and a classifier fitted in it holds
+    # it: its scores could not be computed any more. So rows are counted in a session of the handler's own.
+    own = session_like(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         sides.next_batch()
@@ -124,19 +127,6 @@ def make_batch_handler(
     return handle
 
 
-def _own_session(spark: SparkSession) -> SparkSession:
-    """A session with the caller's settings for the rows that are counted as they pass.
-
-    A session that has counted rows this way holds what can't be sent to tasks, and a classifier
-    that is fitted in it holds the session: its scores could then not be computed any more.
-    """
-    own = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            own.conf.set(key, value)
-    return own
-
-
 def _overwrite_batch(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 

@@ -112,3 +112,17 @@ def test_repeated_header_names_and_empty_files(spark, scratch):
 def test_header_probe_reads_large_files_once_each(spark, scratch):
     _write(f"{scratch}/q/a.csv", "serial_number\n" + "x" * 100 + "\n" + "y\n" * 200_000)
     assert list(file_headers(spark, discover_batch_files(spark, scratch)).values()) == ["serial_number"]
+
+
+def test_footers_answer_counts_and_extents(spark, scratch):
+    from fleetsight.sources.tables import footer_extent, footer_session
+
+    spark.range(1000).selectExpr("id", "date_add(date'2025-01-01', int(id % 90)) as date").repartition(3).write.parquet(f"{scratch}/t")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    found = footer_extent(spark, f"{scratch}/t", "date")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(date), MAX(date)]" in plan, plan
+    row = found.first()
+    assert (row.total_rows, str(row["first"]), str(row["last"])) == (1000, "2025-01-01", "2025-03-31")
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    assert footer_session(spark).read.parquet(f"{scratch}/t").count() == 1000
