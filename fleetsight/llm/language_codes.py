@@ -129,9 +129,13 @@ def _sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col
     rows = docs.filter(learn).select(F.xxhash64(F.col(id_col).cast("string"), text, lang).alias("h"), lang.alias("lang"), text.alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
     # a language with fewer rows leaves its share to no other: the bound is all that matters
-    share = rows.select(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.countDistinct("lang"))))).scalar()
-    order = Window.partitionBy("lang").orderBy("h")
-    ranked = rows.select("h", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).filter(F.col("rank") <= share)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = counts.select(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.count(F.lit(1)))))).scalar()
+    # rows that may be among a language's first by hash: about twice its share, so no task ranks a whole language
+    likely = F.pmod("h", F.lit(1 << 20)) < F.ceil(F.lit(2 << 20) * (share + 50) / F.col("n"))
+    few = rows.select("h", "lang").join(counts, "lang").filter(likely)
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h")
+    ranked = few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= share)
     chosen = ranked.orderBy("rank", "h").limit(limit).select("h").distinct()
     return rows.join(F.broadcast(chosen), "h")  # limit rows at most
 
