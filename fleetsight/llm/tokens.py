@@ -8,9 +8,16 @@ bounded cache. Texts with any other white space are encoded whole.
 
 from __future__ import annotations
 
+from struct import pack
+
 import numpy as np
 
+from fleetsight.llm.common import _BYTE_KEYS, _powers, mix64
+
 CACHE_ENTRIES = 500_000
+# a byte-level vocabulary writes visible bytes as themselves and the others from character 256 on
+_HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b >= 174)]
+_ALPHABET = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -28,7 +35,12 @@ def encoder(path: str) -> "Encoder":
 
 
 class Encoder:
-    """Ids of texts. A chunk is kept as itself (what follows a space) or behind a newline (what opens a line)."""
+    """Ids of texts. A chunk is a space or newline with what follows it up to the next one.
+
+    Chunks are told apart by 64-bit hashes of their bytes, so that a run of texts is cut, looked up
+    and put together by whole arrays; two of the at most ``cache_entries`` chunks that are held share
+    a hash with a chance of about 1 in 10^8. Only new chunks become strings.
+    """
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         import os
@@ -39,82 +51,130 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_entries = cache_entries
-        self.cache: dict[str, bytes | None] = {}  # None: text around this chunk can't be cut
-        self.again: set[str] = set()  # chunks that came more than once
         self.stops = {c: self._encode([c])[0] for c in ".,"}
-        self.newline = np.frombuffer(self._encode(["\n"])[0], dtype="<u4")[0]
+        self.line = self._encode(["\n"])[0]
+        self.newline = np.frombuffer(self.line, dtype="<u4")[0]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids whose text begins with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self._hold({}, np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, new: set[str]) -> None:
+    def _spelled(self, text: str) -> str:
+        """Text as the byte-level vocabulary writes it: a character for each byte."""
+        return text.encode().decode("latin-1").translate(_ALPHABET)
+
+    # ---- cache: chunk hash -> slot, and the slots' ids behind one another ------------------------
+    def _hold(self, slots: dict[int, int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.slots, self.ids, self.sizes = slots, ids, sizes  # a size of -1: text around this chunk can't be cut
+        held = np.maximum(sizes, 0)
+        self.starts = np.cumsum(held) - held
+        self.again = np.zeros(len(sizes), dtype=bool)  # slots that were found again
+
+    def _evict(self) -> None:
+        """Keep chunks that came more than once, or none if those are too many."""
+        keep = np.flatnonzero(self.again)
+        if len(keep) > self.cache_entries // 2:
+            keep = keep[:0]
+        place = np.full(len(self.sizes), -1)
+        place[keep] = np.arange(len(keep))
+        slots = {h: int(place[i]) for h, i in self.slots.items() if place[i] >= 0}
+        self._hold(slots, self.ids[_spans(self.starts[keep], np.maximum(self.sizes[keep], 0))], self.sizes[keep])
+
+    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+        ids = self._chunk_ids(chunks)
+        found = [ids[c] for c in chunks]
+        sizes = np.array([-1 if x is None else len(x) // 4 for x in found], np.int64)
+        first = len(self.sizes)
+        self.slots.update(zip(hashes, range(first, first + len(chunks)), strict=True))
+        held = np.maximum(sizes, 0)
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(held) - held)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(x for x in found if x), dtype="<u4"))
+        self.sizes = np.append(self.sizes, sizes)
+        self.again = np.append(self.again, np.zeros(len(chunks), dtype=bool))
+
+    def _chunk_ids(self, chunks: list[str]) -> dict[str, bytes | None]:
         """Encode chunks in runs; the ids that open a chunk show where each begins.
 
         A full stop or comma behind a letter is a piece by itself, so such a chunk is that of the
-        word and one id more.
+        word and one id more. A word of letters alone is one piece, which goes to the model without the pattern.
         """
-        cache = self.cache
+        found: dict[str, bytes | None] = {}
         stopped, heads, tails = [], set(), set()
-        for c in new:
-            body = c[1:] if c[0:1] == "\n" else c
+        pieces, spelled = self.tokenizer.model.tokenize, self._spelled
+        for c in chunks:
+            body = c[1:]
             if not body or body[0].isspace() or body[-1].isspace():
-                cache[c] = None
+                found[c] = None
                 continue
             if body[-1] in ".," and body[-2:-1].isalpha():
                 stopped.append(c)
-                c = c[:-1]
-                if c in cache:
-                    continue
-            (heads if c[0] == "\n" else tails).add(c)
-        for chunks, marks in ((list(heads), lambda ids: ids == self.newline), (list(tails), lambda ids: self.opens[ids])):
-            for at in range(0, len(chunks), 2_000):
-                run = chunks[at : at + 2_000]
-                text = "".join(run) if run[0][0] == "\n" else " " + " ".join(run)
-                ids = np.frombuffer(self._encode([text])[0], dtype="<u4")
+                c, body = c[:-1], body[:-1]
+            if c in found:
+                continue
+            if body.isalpha():  # one piece of the pattern
+                word = body if body.isascii() else spelled(body)
+                ids = [t.id for t in pieces("\u0120" + word if c[0] == " " else word)]
+                found[c] = pack(f"<{len(ids)}I", *ids) if c[0] == " " else self.line + pack(f"<{len(ids)}I", *ids)
+            else:
+                (heads if c[0] == "\n" else tails).add(c)
+        for kind, marks in ((list(heads), lambda ids: ids == self.newline), (list(tails), lambda ids: self.opens[ids])):
+            for at in range(0, len(kind), 20_000):
+                run = kind[at : at + 20_000]
+                ids = np.frombuffer(self._encode(["".join(run)])[0], dtype="<u4")
                 edges = (4 * np.append(np.flatnonzero(marks(ids)), len(ids))).tolist()
                 raw = ids.tobytes()
-                cache.update(zip(run, map(raw.__getitem__, map(slice, edges, edges[1:])), strict=True))
+                found.update(zip(run, map(raw.__getitem__, map(slice, edges, edges[1:])), strict=True))
         for c in stopped:
-            cache[c] = cache[c[:-1]] + self.stops[c[-1]]
+            found[c] = found[c[:-1]] + self.stops[c[-1]]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if any(s in text for s in self.specials):
-                cut.append(None)
-                continue
-            chunks: list[str] = []
-            for line in text.split("\n") if text else ():
-                words = line.split(" ")
-                words[0] = "\n" + words[0]
-                chunks += words
-            cut.append(chunks)
-        seen = set().union(*filter(None, cut))
-        new = seen - self.cache.keys()
-        self.again |= seen - new
-        if new:
-            if len(self.cache) + len(new) > self.cache_entries:
-                self.cache = {c: self.cache[c] for c in self.again}
-                if len(self.cache) > self.cache_entries // 2:
-                    self.cache.clear()
-                self.again = set()
-                new = seen - self.cache.keys()
-            self._learn(new)
-        look_up = self.cache.__getitem__
-        out: list[bytes] = []
-        whole = []
-        for i, chunks in enumerate(cut):
-            try:
-                # a newline is one id, and the first line has none
-                out.append(b"".join(map(look_up, chunks))[4:])
-            except TypeError:  # special tokens, or white space that can't be cut at
-                whole.append(i)
-                out.append(b"")
+        if not texts:
+            return []
+        # every text is a run of lines, and every line opens with a newline
+        stream = ("\n" + "\n".join(texts)).encode()
+        raw = np.frombuffer(stream, dtype=np.uint8)
+        starts = np.flatnonzero((raw == 32) | (raw == 10))
+        sizes = np.diff(starts, append=len(raw))
+        within = np.arange(len(raw)) - np.repeat(starts, sizes)
+        hashes = mix64(np.add.reduceat(_BYTE_KEYS[raw] * _powers(int(sizes.max()))[within], starts))
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        slots = np.array([self.slots.get(h, -1) for h in keys], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new) and len(self.sizes) + len(new) > self.cache_entries:
+            self.again[slots[slots >= 0]] = True
+            self._evict()
+            slots = np.array([self.slots.get(h, -1) for h in keys], np.int64)
+            new = np.flatnonzero(slots < 0)
+        self.again[slots[slots >= 0]] = True
+        if len(new):
+            at = starts[first[new]].tolist()
+            ends = (starts[first[new]] + sizes[first[new]]).tolist()
+            slots[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self._learn([keys[i] for i in new.tolist()], [stream[s:e].decode() for s, e in zip(at, ends, strict=True)])
+        slot = slots[inverse]
+        lengths = np.array([len(t.encode()) for t in texts])
+        opening = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)  # each text's first chunk
+        n = self.sizes[slot]
+        uncut = np.logical_or.reduceat(n < 0, opening)
+        n = np.maximum(n, 0)
+        flat = self.ids[_spans(self.starts[slot], n)].astype("<u4").tobytes()
+        edges = (4 * np.append((np.cumsum(n) - n)[opening], n.sum())).tolist()
+        # a newline is one id, and a text's first line has none
+        out = [b"" if odd else flat[s + 4 : e] for s, e, odd in zip(edges[:-1], edges[1:], uncut.tolist(), strict=True)]
+        whole = [i for i, odd in enumerate(uncut.tolist()) if odd or any(x in texts[i] for x in self.specials)]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True) if whole else []:
             out[i] = ids
         return out
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of all spans, behind one another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)

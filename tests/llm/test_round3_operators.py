@@ -191,3 +191,23 @@ def test_training_is_bounded(spark):
     sample = language_codes._sample(docs, docs.doc_id >= 0, "doc_id", "text", "lang", 50)
     counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
     assert counts == {"en": 25, "de": 25}
+
+
+# ---- token ids ----------------------------------------------------------------------------------------
+@pytest.mark.parametrize("cache_entries", [3, 40, 100_000])
+def test_cut_and_cached_ids_equal_plain_ones(cache_entries):
+    from tokenizers import Tokenizer
+
+    from fleetsight.llm import tokens
+
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    own = tokens.Encoder(tokens.default_tokenizer(), cache_entries)
+    rng = np.random.default_rng(4)
+    words = ["word", "Words,", "été.", "ÉTÉ", "ß,", "x2", "it's", "日本語", "a.b", "...", "$$$", "ʰ", "ª.", "١٢", "é", "ǅ", "end."]
+    texts = [*ODD_TEXTS, "", "a.\n.b", "\n\n", "q <|endoftext|> r"]
+    texts += [" ".join(rng.choice(words, 30)).replace(" word", "\nword") for _ in range(40)]
+    for at in range(0, len(texts), 7):
+        run = texts[at : at + 7]
+        want = [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in run]
+        assert own.encode(run) == want
+    assert own.encode([]) == []
