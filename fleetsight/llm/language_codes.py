@@ -133,7 +133,9 @@ def _sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col
     share = counts.select(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.count(F.lit(1)))))).scalar()
     # rows that may be among a language's first by hash: about twice its share, so no task ranks a whole language
     likely = F.pmod("h", F.lit(1 << 20)) < F.ceil(F.lit(2 << 20) * (share + 50) / F.col("n"))
-    few = rows.select("h", "lang").join(counts, "lang").filter(likely)
+    # a sample of so many rows has no more languages: the most frequent ones, a row each
+    known = counts.orderBy(F.desc("n"), "lang").limit(limit)
+    few = rows.select("h", "lang").join(F.broadcast(known), "lang").filter(likely)
     order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h")
     ranked = few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= share)
     chosen = ranked.orderBy("rank", "h").limit(limit).select("h").distinct()
