@@ -85,11 +85,12 @@ def predicted_flags(scored: DataFrame, threshold: float, probability: str = PROB
 
 
 def drive_level_rates(
-    scored: DataFrame, threshold: float, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
+    scored: DataFrame, threshold: float | Column, entity: str = "serial_number", label: str = LABEL, probability: str = PROBABILITY
 ) -> DataFrame:
     """How many failed entities were flagged at least once, and how many healthy ones (one row)."""
-    was_flagged = F.coalesce(F.bool_or(flagged(threshold, probability)), F.lit(False))
-    outcomes = scored.groupBy(entity).agg(F.max(label).alias("failed"), was_flagged.alias("flagged"))
+    # an entity is flagged if its greatest probability is; so the threshold, which may be a subquery, stays out of the aggregates
+    outcomes = scored.groupBy(entity).agg(F.max(label).alias("failed"), F.max(probability).alias("top"))
+    outcomes = outcomes.select("failed", F.coalesce(flagged(threshold, "top"), F.lit(False)).alias("flagged"))
 
     def entities(*conditions: Column) -> Column:
         return F.count_if(reduce(Column.__and__, conditions)).cast("double")
