@@ -7,16 +7,18 @@ only edges from one hub to the others are candidates, so a bucket of m documents
 m - 1 pairs. Links are confirmed on the full shingle sets.
 
 A star can miss a link between two members that the hub doesn't link. So when the components of the
-confirmed links are known, every bucket that still holds more than one component is compared in
-full, in blocks within tasks: by the stored signatures, then by the full sets of the members that
-are left. Only links leave those tasks.
+confirmed links are known, the members of every bucket that still holds more than one component are
+compared across components, in blocks within tasks: by the stored signatures (a pair whose equal bins
+are six standard deviations below the least similarity is passed over, a chance of about 1 in 10^9 for
+a link), then by the full sets of the members that are left. Only links leave those tasks.
 
 Documents with the same set are one node, so copies never multiply. A node is the first 64 bits of
 the MD5 of its sorted shingle hashes.
 
 Defined cases: null or wordless texts have no shingles and link with nothing; rows with a null id
-link with nothing and keep a null component; rows that repeat an id are judged by their own texts;
-an empty table gives no rows; other columns are ignored by ``near_duplicates``, kept by ``deduplicate``.
+link with nothing and keep a null component (``deduplicate`` judges them too); rows that repeat an id
+are judged by their own texts; an empty table gives no rows; other columns are ignored by
+``near_duplicates``, kept by ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -271,6 +273,31 @@ def _compared_in_full(percent: int):
     return run
 
 
+def dealt_to_blocks(rows: DataFrame) -> DataFrame:
+    """band, node, root, block, lo, hi: a row for each pair (lo, hi) of blocks that a member of a bucket is in.
+
+    Only buckets with several components are dealt; rows: node, band, root. Links inside a component
+    change nothing, so in a bucket of more than BLOCK members those of its largest component have
+    blocks of their own, which meet the blocks of all other members but not one another. A large
+    component with up to BLOCK others costs a row a member and few more, however large it is.
+    """
+    parts = rows.groupBy("band", "root").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "root")).alias("main"))
+    whole = F.col("n") <= BLOCK
+    mixed = mixed.filter("n > 2 and parts > 1").select(
+        "band",
+        F.col("main.root").alias("main"),
+        F.when(whole, 0).otherwise(F.ceil(F.col("main.n") / BLOCK)).cast("int").alias("main_blocks"),
+        F.when(whole, 1).otherwise(F.ceil((F.col("n") - F.col("main.n")) / BLOCK)).cast("int").alias("blocks"),
+    )
+    members = rows.join(mixed, "band").withColumn("in_main", (F.col("root") == F.col("main")) & (F.col("main_blocks") > 0))
+    drawn = F.pmod(F.xxhash64("node", "band"), F.when(F.col("in_main"), F.col("main_blocks")).otherwise(F.col("blocks"))).cast("int")
+    members = members.withColumn("block", drawn + F.when(F.col("in_main"), F.col("blocks")).otherwise(0))
+    met = F.col("blocks") + F.when(F.col("in_main"), 0).otherwise(F.col("main_blocks"))
+    dealt = members.withColumn("with", F.explode(F.sequence(F.lit(0), met - 1)))
+    return dealt.select("band", "node", "root", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
+
+
 def unsettled_links(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots: DataFrame, words: int, percent: int) -> DataFrame:
     """Links across components in a bucket, which its star may have missed.
 
@@ -278,16 +305,7 @@ def unsettled_links(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots
     get their full sets, and their blocks are compared in tasks.
     """
     rows = buckets.join(roots, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
-    mixed = (
-        rows.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .filter("n > 2 and lo <> hi")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int")
-    members = rows.join(mixed, "band").withColumn("block", block)
-    dealt = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", "node", "root", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
+    dealt = dealt_to_blocks(rows)
     traits = nodes.select("node", "n_shingles", "signature", "bands")
     schema = "band long, lo int, hi int, block int, node long"
     chosen = staged(dealt.join(traits, "node").groupBy("band", "lo", "hi").applyInPandas(_to_compare(percent), schema), "minhash-unsettled")
@@ -362,13 +380,21 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group, that with the smallest id, all columns kept.
 
-    An id names one document here: of rows that repeat it one stays, if any of them does. Rows
-    without an id all stay.
+    Rows without an id are judged like the others and come last in their group. Rows that share an id
+    but not their text are documents of their own; of rows that share both, one stays. Rows without
+    words all stay.
     """
-    key = f"_{uuid.uuid4().hex}"
-    found = near_duplicates(docs, id_col, text_col, words, percent).filter("doc_id is not null").groupBy("doc_id")
-    ids = found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).select(F.col("doc_id").alias(key), "kept", "n")
-    gone = staged(ids.filter("not kept or n > 1"), "minhash-gone")  # what stays alone needs no join partner
-    single = docs.join(gone.select(key), F.col(id_col) == F.col(key), "left_anti")
-    repeated = docs.join(gone.filter("kept").select(key), F.col(id_col) == F.col(key), "left_semi")
-    return single.unionByName(repeated.dropDuplicates([id_col]))
+    key, of = f"_{uuid.uuid4().hex}", F.col
+    number, text = of(id_col).cast("long"), of(text_col).cast("string")
+    keyed = docs.withColumn(key, F.xxhash64(number.isNull(), number, text))
+    found = near_duplicates(keyed, key, text_col, words, percent).filter("node is not null")
+    rows = found.groupBy(of("doc_id").alias(key)).agg(F.min("component_id").alias("component"), F.count("*").alias("n"))
+    several = rows.groupBy("component").agg(F.sum("n").alias("rows")).filter("rows > 1").select("component")
+    shared = staged(rows.join(several, "component"), "minhash-shared")
+    numbers = keyed.select(key, F.struct(number.isNull().alias("none"), number.alias("id"), of(key).alias("row")).alias("place"))
+    first = shared.join(numbers, key).groupBy("component").agg(F.min("place")["row"].alias("first"))
+    stays = of(key) == of("first")
+    special = staged(shared.join(first, "component").filter(~stays | (of("n") > 1)).select(key, stays.alias("stays")), "minhash-gone")
+    single = keyed.join(special.select(key), key, "left_anti")  # most rows: what stays alone needs no join partner
+    repeated = keyed.join(special.filter("stays").select(key), key, "left_semi").dropDuplicates([key])
+    return single.unionByName(repeated).drop(key)

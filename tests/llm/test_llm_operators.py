@@ -300,6 +300,48 @@ def test_full_comparison_finds_links_that_stars_miss():
     assert len(minhash._compared_in_full(95)(frame)) == 0
 
 
+def test_blocks_of_a_large_component_never_meet(spark, monkeypatch):
+    """Rows grow with a component, not with its square, and every pair across components shares a pair of blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    per_member = {}
+    for large in (40, 160):
+        rows = [(n, 1, 0) for n in range(large)] + [(1000 + n, 1, 1000 + n) for n in range(7)]
+        rows += [(n, 2, n) for n in range(5)] + [(n, 3, 0) for n in range(large)]  # a small bucket, one of one component
+        dealt = minhash.dealt_to_blocks(spark.createDataFrame(rows, "node long, band long, root long")).collect()
+        per_member[large] = len([r for r in dealt if r.band == 1 and r.root == 0]) / large
+        assert {(r.lo, r.hi) for r in dealt if r.band == 2} == {(0, 0)} and not [r for r in dealt if r.band == 3]
+        groups = {}
+        for r in dealt:
+            groups.setdefault((r.band, r.lo, r.hi), {}).setdefault(r.node, []).append(r.block)
+        for n in range(large):
+            for other in range(1000, 1007):
+                assert sum(b == 1 and n in g and other in g for (b, *_), g in groups.items()) == 1
+        assert all(len(set(g)) == len(g) for g in groups.values())
+    assert per_member == {40: 1, 160: 1}
+
+
+def test_deduplicate_judges_texts_not_ids(spark):
+    def text(seed, n=60):
+        rng = random.Random(seed)
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    a, b, c, d = text(1), text(2), text(3), text(4)
+    rows = [
+        (5, a, "x"), (5, b, "x"),  # one id, two texts: both stay
+        (9, a + " more", "x"), (None, a, "x"),  # near copies of 5's first text, one without id
+        (None, c, "x"), (None, c, "y"), (None, c + " tail", "x"),  # copies without ids: one stays
+        (7, d, "x"), (7, d, "x"), (3, d + " end", "x"),  # the smallest id stays, once
+        (1, None, "x"), (1, None, "x"), (None, " ", "x"),  # no words: all stay
+    ]
+    got = minhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, component string")).collect()
+    found = sorted(((r.doc_id or 0, r.text or "") for r in got if (r.text or "").strip()))
+    assert [f for f in found if f[0]] == sorted([(5, a), (5, b), (3, d + " end")])
+    assert len([f for f in found if not f[0]]) == 1 and [f for f in found if not f[0]][0][1] in (c, c + " tail")
+    assert len(got) - len(found) == 3
+    repeated = spark.createDataFrame([(7, d, "x"), (7, d, "x"), (8, d, "x")], "doc_id long, text string, component string")
+    assert [(r.doc_id, r.text) for r in minhash.deduplicate(repeated).collect()] == [(7, d)]
+
+
 def test_chains_join_one_component(spark):
     """Each text is similar to the next one only; the smallest id isn't at an end."""
     base = [f"w{i}" for i in range(200)]
