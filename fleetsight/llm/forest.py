@@ -9,11 +9,13 @@ is put where few sampled vectors are near it, and a node whose vectors are all c
 not split, so a large group of near copies isn't doubled at each level. A leaf with many vectors is
 compared in blocks, so no task holds it whole. Pairs are never written out: a pair is counted in
 the first leaf that both its vectors have, and each block gives counts by vector and the edges of a
-spanning forest. Equal vectors are one node with a weight, so copies don't multiply.
+spanning forest. Equal vectors are one node with a weight, so copies don't multiply. Vectors are
+compared with those of their own length: each length that the sample holds has trees of its own,
+and all vectors of a rarer length share one leaf.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components link with
-nothing, nor do those whose length isn't the most common one; rows with a null id are counted but
-never name a component; rows that repeat an id are vectors of their own; an empty table gives no
+nothing; vectors of different lengths don't link with each other; rows with a null id are counted
+but never name a component; rows that repeat an id are vectors of their own; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -138,34 +140,56 @@ def _units(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _routed(nodes: DataFrame, trees: list[Tree], spill: float) -> DataFrame:
-    """A row for each vector: node, weight, vector (unit, as bytes), leaves (numbered over all trees, sorted)."""
-    shared = nodes.sparkSession.sparkContext.broadcast(trees)
+def _routed(nodes: DataFrame, forests: dict[int, list[Tree]], cosine: float) -> DataFrame:
+    """A row for each vector: node, weight, vector (unit, as bytes), leaves (sorted).
+
+    Leaves are numbered over all trees of a length, from length * 2^32 on; a length without trees
+    has one leaf.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(forests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            units = _units(batch.column("vector").to_pylist())
-            found, base = [], 0
-            for tree in shared.value:
-                row, leaf = route(tree, units, spill)
-                found.append(np.stack([row, leaf + base]))
-                base += tree.leaves
-            row, leaf = np.concatenate(found, axis=1)
-            order = np.lexsort((leaf, row))
-            edges = np.searchsorted(row[order], np.arange(len(units) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node"),
-                    batch.column("weight"),
-                    pa.array([u.tobytes() for u in units], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(leaf[order].astype(np.int64))),
-                ],
-                ["node", "weight", "vector", "leaves"],
-            )
-
-    return nodes.select("node", "weight", "vector").mapInArrow(run, "node long, weight long, vector binary, leaves array<long>")
+            lengths = batch.column("dimension").to_numpy()
+            for length in np.unique(lengths).tolist():
+                part = batch.filter(pa.array(lengths == length))
+                units = _units(part.column("vector").to_pylist())
+                trees, first = shared.value.get(length, []), length << 32
+                found = [] if trees else [np.stack([np.arange(len(units)), np.full(len(units), first)])]
+                for tree in trees:
+                    row, leaf = route(tree, units, margin(length, cosine))
+                    found.append(np.stack([row, leaf + first]))
+                    first += tree.leaves
+                row, leaf = np.concatenate(found, axis=1)
+                order = np.lexsort((leaf, row))
+                edges = np.searchsorted(row[order], np.arange(len(units) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("node"),
+                        part.column("weight"),
+                        pa.array([u.tobytes() for u in units], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(edges), pa.array(leaf[order].astype(np.int64))),
+                    ],
+                    ["node", "weight", "vector", "leaves"],
+                )
+
+    source = nodes.select("node", "weight", "vector", "dimension")
+    return source.mapInArrow(run, "node long, weight long, vector binary, leaves array<long>")
+
+
+def grown_forests(nodes: DataFrame, cosine: float, trees: int, leaf: int, seed: int) -> dict[int, list[Tree]]:
+    """Trees for each length of vectors in one sample of about SAMPLE of all nodes."""
+    rate = min(1.0, SAMPLE / max(1, nodes.count()))
+    # by a hash, so that nothing is ranked in one task
+    share = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 30)) < int(rate * (1 << 30))
+    by_length: dict[int, list[bytes]] = {}
+    for r in nodes.filter(share).select("dimension", "vector").limit(2 * SAMPLE).collect():
+        by_length.setdefault(r.dimension, []).append(bytes(r.vector))
+    forests = {}
+    for length, vectors in by_length.items():
+        units, rng = _units(sorted(vectors)), np.random.default_rng(seed)
+        forests[length] = [grow(units, max(leaf * rate, 8), margin(length, cosine), rng) for _ in range(trees)]
+    return forests
 
 
 def _owned(leaves: np.ndarray, i: np.ndarray, j: np.ndarray, leaf: int) -> np.ndarray:
@@ -239,24 +263,12 @@ def near_duplicates(
 ) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id (smallest vec_id reachable), kept."""
     rows = staged(_rows(df, vector_col, id_col), "forest-rows")
-    common = rows.filter("dimension is not null").groupBy("dimension").count().orderBy(F.desc("count"), "dimension").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    fit = F.when(F.col("dimension") == common.dimension, F.col("node"))
-    members = rows.select("vec_id", fit.alias("node"))
-    nodes = (
-        rows.filter(F.col("dimension") == common.dimension)
-        .groupBy("node")
-        .agg(F.count("*").alias("weight"), F.min("vec_id").alias("vec_id"), F.first("vector").alias("vector"))
-    )
+    members = rows.select("vec_id", "node")
+    nodes = rows.filter("node is not null").groupBy("node").agg(
+        F.count("*").alias("weight"), F.min("vec_id").alias("vec_id"), F.first("vector").alias("vector"), F.first("dimension").alias("dimension")
+    )
     nodes = staged(nodes, "forest-nodes")
-    n = nodes.count()
-    # about SAMPLE vectors by a hash, so that nothing is ranked in one task
-    share = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))
-    sample = sorted(bytes(r.vector) for r in nodes.filter(share).select("vector").limit(2 * SAMPLE).collect())
-    units, spill, rng = _units(sample or [bytes(nodes.first().vector)]), margin(common.dimension, cosine), np.random.default_rng(seed)
-    grown = [grow(units, max(leaf * len(units) / n, 8), spill, rng) for _ in range(trees)]
-    placed = staged(_routed(nodes, grown, spill), "forest-routed")
+    placed = staged(_routed(nodes, grown_forests(nodes, cosine, trees, leaf, seed), cosine), "forest-routed")
     sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
     blocks = sizes.filter("count > 1").select("leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     spread = placed.withColumn("leaf", F.explode("leaves")).join(blocks, "leaf")

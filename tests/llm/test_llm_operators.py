@@ -272,6 +272,24 @@ def test_recall_on_random_close_pairs(spark):
     assert links > 1000 and found / links >= 0.99
 
 
+def test_vectors_of_every_length_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = [rng.normal(size=n) for n in [16] * 400 + [24] * 300 + [3] * 2 + [1] * 2]
+    vectors += [v + rng.normal(scale=0.02, size=len(v)) for v in vectors[:350]] + vectors[400:650] + vectors[700:702]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    links = []
+    for n in {len(v) for v in vectors}:
+        at = np.array([i for i, v in enumerate(vectors) if len(v) == n])
+        units = np.stack([vectors[i] / np.linalg.norm(vectors[i]) for i in at])
+        i, j = np.nonzero(np.triu(units @ units.T >= 0.95, 1))
+        links += list(zip(at[i].tolist(), at[j].tolist(), strict=True))
+    degree, component = collections.Counter(x for pair in links for x in pair), brute.components(list(range(len(vectors))), links)
+    for sample in (20_000, 60):  # with the small one, the rare lengths have no trees
+        monkeypatch.setattr(forest, "SAMPLE", sample)
+        got = forest.near_duplicates(frame, leaf=100).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (degree[i], component[i]) for i in range(len(vectors))}
+
+
 # ---- 6 MinHash ----------------------------------------------------------------------------------
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(4)
