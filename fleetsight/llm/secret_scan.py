@@ -39,8 +39,13 @@ KINDS = ("assign", "access", "hex", "novel", "novel_repeated")
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Sensitive context for candidates: one of these within REACH characters before the string, in the
-# name joined to it, or in the string itself.
-_CONTEXT = re.compile(r"passw|passphrase|pwd|secret|token|api.?key|private.?key|credential|bearer|authorization|auth", re.IGNORECASE | re.ASCII)
+# name joined to it, or in the string itself. 'auth' counts as a word or with what names join to it, so authors and
+# authorities are none; nor are secretaries and tokenizers.
+_CONTEXT = re.compile(
+    r"passw|passphrase|pwd|secret(?!ar[iy])|token(?!i[sz])|api.?key|private.?key|credential|bearer|authori[sz]ation|authenticat"
+    r"|(?<![a-z])(?:o|basic|http|proxy|user|x)?auth(?:key|code|header|data|info|user|pass)?(?![a-z])",
+    re.IGNORECASE | re.ASCII,
+)
 LEAST = 16
 # Any unbroken run without quotes; scripts that put no space between words end it.
 _CANDIDATE = re.compile(r"[^\s\"'`\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ud7ff\uf900-\uffef\U00020000-\U0003ffff]{16,}")

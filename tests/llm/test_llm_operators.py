@@ -226,6 +226,21 @@ def test_any_incompressible_run_is_found(key):
     assert secret_scan.Scanner().spans("token: ひらがなとカタカナの文章がここにありますね") == []
 
 
+def test_only_whole_sensitive_words_are_context():
+    scan, key = secret_scan.Scanner(), "qZkXwPvLmTrYbNcDfGhJ"
+    for clean in (
+        "The author Friedrich-Wilhelm Donaudampfschifffahrtsgesellschaft",
+        "Authors: Przybyszewski-Wolszczan and others",
+        "the local authorities of Llanfairpwllgwyngyllgogerych met",
+        "the secretary Donaudampfschifffahrtskapitaen",
+        "a tokenizer for floccinaucinihilipilification",
+    ):
+        assert scan.spans(clean) == []
+    for word in ("auth", "OAUTH", "basicauth", "auth_code", "proxy-auth", "my_auth", "authKey", "authentication", "authorisation", "tokens", "secrets", "auth2"):
+        text = f"{word}: {key} and more"
+        assert [text[a:b] for a, k, b in scan.spans(text) if k == 3] == [key], word
+
+
 def test_a_base_span_inside_a_key_does_not_hide_the_rest():
     key = "Zk9qLx2vTn8R0123456789abcdef01wY4hBp7sDf3m"
     for text in (f"Authorization: Bearer {key} and more", f"DB_PWD={key}\n", f"password: {key[:20]}!{key[20:]}#wY4hBp\n"):
