@@ -143,6 +143,40 @@ def test_mixed_documents_are_parts_of_their_documents(spark, odd):
     assert out and all(any(r.text in t for t in texts[r.doc_id]) and r.n_chars == len(r.text) for r in out)
 
 
+def test_shards_draw_their_slots_and_get_no_others(spark):
+    sizes = spark.createDataFrame([("a", 40_000), ("b", 9_001), ("c", 100), (None, 300_000)], "source string, source_size long")
+    targets = mixture.source_targets(sizes)
+    counts = mixture.shard_counts(targets, block=16, shard_words=20_000)
+    drawn = collections.Counter({(r.source, r.shard): r.n for r in counts.collect()})
+    slots = mixture.slots(counts, block=16).collect()
+    assert collections.Counter((r.source, r.shard) for r in slots) == drawn
+    due = {r.source: round(r.target) for r in targets.collect()}
+    got = collections.Counter()
+    for r in slots:
+        got[r.source] += r.words
+    assert max(r.shard for r in slots) == 17  # 349,101 words make 18 shards
+    # the last block of a source is shorter than its slot
+    assert all(due[s] <= got[s] <= due[s] + 16 * 3 for s in due)
+    n = sum(c for (s, _), c in drawn.items() if s is None)
+    spread = sum((drawn[None, shard] - n / 18) ** 2 / (n / 18) for shard in range(18))
+    assert 4 < spread < 45  # chi-square with 17 degrees of freedom: neither equal shares nor a skewed draw
+
+
+def test_the_mix_is_written_by_shard(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(40)), "ab"[i % 2]) for i in range(200)], "doc_id long, text string, source string")
+    options = {"block": 8, "shard_words": 1000}
+    mixed = mixture.mix(docs, **options)
+    place = {(r.doc_id, r.at, r["from"], r["pass"]): (r.shard, r.seat) for r in mixed.filter("words > 0").collect()}
+    assert len({shard for shard, _ in place.values()}) == 8
+    taken = {r.doc_id: r for r in mixture.taken_words(mixed).collect()}
+    for d, row in taken.items():
+        shards = [v[0] for k, v in place.items() if k[0] == d]
+        assert (row.n_slots, row.first_shard) == (len(shards), min(shards, default=None))
+    parts = mixture.mixed_documents(docs, **options).collect()
+    words = sum(len(r.text.split()) for r in parts)
+    assert words == sum(r.taken for r in taken.values())
+
+
 # ---- 3 packing ----------------------------------------------------------------------------------
 def test_differencing_gives_near_equal_windows():
     rng = random.Random(3)
