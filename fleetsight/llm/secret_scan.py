@@ -9,6 +9,12 @@ prefix. Words, identifiers and paths compress away; keys don't. A string that on
 help to compress is a secret that stands repeatedly: it is measured once more with the copies left
 out, and it and all its copies in the text are spans of the kind ``novel_repeated``.
 
+A shorter string, of SHORTEST characters or more, is measured where it is the value of a sensitive
+name ('pwd: ...', 'DB_PWD=...', 'Bearer ...'), without its copies and against a higher bar: the fewer
+bytes, the less a match says. Left out are short values in other places, values of fewer than SHORTEST
+characters, those with other than printable ASCII, and those whose letters and digits are all plain
+words ('changeme', 'Token2', 'os.getenv') or numbers. Copies of a short secret are ``novel_repeated``.
+
 Defined cases: null text counts as empty and has no spans; null ids and repeated rows are kept;
 an empty table gives no rows; other columns are ignored by ``scan`` and kept by ``redact``.
 """
@@ -55,6 +61,15 @@ _OPENING, _CLOSING = "([{<=:,;", ".,;:)]}>"  # taken off a run's ends: punctuati
 _JOINED = re.compile(r"(^|[&;,?|({\[])([\w.+/-]+)(?:=+|:)(?!=|$)")
 _NAME = re.compile(r"(?=.*[A-Za-z]{3})[._/+-]*(?:(?:[A-Z]+|[A-Z]?[a-z]+)[0-9]{0,2}(?:[._/-]+|$))+")
 _PIECE = re.compile(r"[^:,;&?|/()\[\]{}<>@]{16,}")
+# A short value: what follows a sensitive name and '=' or ':' at once, or the scheme of a header.
+_NAMED = re.compile(
+    rf"(?:(?:{_CONTEXT.pattern})[\w.-]{{0,24}}[\"'`]?[^\S\n]*(?:=>|:=|[:=])(?:\x20*(?:bearer|basic|token)(?=\x20))?|bearer(?=\x20))[^\S\n]*[\"'`]?([^\s\"'`]+)",
+    re.IGNORECASE | re.ASCII,
+)
+_PLAIN = re.compile(r"(?:[A-Z]+|[A-Z]?[a-z]+)[0-9]{0,2}|[0-9]+")  # a word of one case or capitalised, or a number
+_RUN = re.compile(r"[^\s\"'`]+")
+SHORTEST = 8
+SHORT_NOVELTY = 0.85
 REACH = 48
 AROUND = 512
 MIN_NOVELTY = 0.62  # marginal compressed bytes for each character
@@ -102,11 +117,22 @@ https://www.example.com/docs/ reference/ index.html https://github.com/ blob/mai
 DICTIONARY = WORDS + WORDS.upper() + IDENTIFIERS.upper() + "\n" + IDENTIFIERS
 
 
+def _bare(string: str, begin: int) -> tuple[int, int]:
+    """Where a run that begins at ``begin`` lies without the punctuation at its ends."""
+    closed = string.rstrip(_CLOSING)
+    opened = closed.lstrip(_OPENING)
+    begin += len(closed) - len(opened)
+    return begin, begin + len(opened)
+
+
+def _is_plain(value: str) -> bool:
+    return all(_PLAIN.fullmatch(x) for x in re.findall(r"[A-Za-z0-9]+", value))
+
+
 def _values(run: re.Match) -> list[tuple[int, int]]:
     """The parts of a run behind its names that are long enough; a run that has none is one part, less the name before it."""
-    string = run[0].rstrip(_CLOSING)
-    string = string[len(string) - len(string.lstrip(_OPENING)) :]
-    begin = run.start() + run[0].index(string)
+    begin, end = _bare(run[0], run.start())
+    string = run[0][begin - run.start() : end - run.start()]
     cuts = [(m.start(), m.end()) for m in _JOINED.finditer(string) if _NAME.fullmatch(m[2]) or _CONTEXT.search(m[2])]
     lead = cuts[0][1] if cuts and cuts[0][0] == 0 else 0
     ends = [*(a for a, _ in cuts if a), len(string)]
@@ -137,6 +163,31 @@ class Scanner:
         alone = len(press.compress(lead + b"\n"))
         return (len(press.compress(lead + candidate + b"\n")) - alone) / max(1, len(candidate))
 
+    def short_spans(self, text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """Spans of short values of sensitive names and of their copies, but for those inside a span found before."""
+        held = sorted((s, e) for s, _, e in found)
+        covers = list(itertools.accumulate((e for _, e in held), max))
+
+        def covered(s: int, e: int) -> bool:
+            at = bisect.bisect_right(held, (s, len(text)))
+            return bool(at) and covers[at - 1] >= e
+
+        named = {}
+        for m in _NAMED.finditer(text):
+            s, e = _bare(m[1], m.start(1))
+            value = text[s:e]
+            if not SHORTEST <= e - s < LEAST or covered(s, e) or not (value.isascii() and value.isprintable()) or _is_plain(value):
+                continue
+            if self.novelty(text, s, e, copies=False) >= max(SHORT_NOVELTY, self.min_novelty):
+                named[s, e] = value
+        secrets = set(named.values())
+        copies = set()
+        for run in _RUN.finditer(text) if secrets else ():
+            s, e = _bare(run[0], run.start())
+            if text[s:e] in secrets and (s, e) not in named and not covered(s, e):
+                copies.add((s, e))
+        return [(s, 3, e) for s, e in named] + [(s, 4, e) for s, e in copies]
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind's place in KINDS, end) in order; positions are code points, the end exclusive."""
         found = []
@@ -174,6 +225,8 @@ class Scanner:
                     if len(parts) == 1:  # what compresses as a whole can hold a part that doesn't
                         parts += [x for m in _PIECE.finditer(text, s, e) if (x := m.span()) != (s, e)]
         found += [(s, 4, e) for s, e in others if text[s:e] in secrets]
+        if contexts:
+            found += self.short_spans(text, found)
         return sorted(found)
 
     def _repeats(self, text: str, start: int, end: int) -> bool:

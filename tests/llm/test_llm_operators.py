@@ -260,6 +260,25 @@ def test_any_incompressible_run_is_found(key):
     assert secret_scan.Scanner().spans("token: ひらがなとカタカナの文章がここにありますね") == []
 
 
+@pytest.mark.parametrize("key", ["Xk9!mQ2#vL7@pR", "k7#Qz!9vRm2x", "9vRm2xKq", "Tr0ub4dor&3x", "qZkXwPvLmTrY"])
+def test_short_values_of_sensitive_names_are_found(key):
+    scan = secret_scan.Scanner()
+    for text in (f"passphrase: {key}\n", f"pwd: {key}", f"DB_PWD={key}\nPORT=80", f"credential = '{key}', next", f"(my pwd: {key}).", f"Authorization: Basic {key}"):
+        spans = scan.spans(text)
+        assert [text[s:e] for s, k, e in spans if k == 3] == [key], text
+        assert key not in secret_scan.redacted(text, spans)
+    text = f"pwd: {key}\nthen {key}, and again pwd: {key}\n"
+    assert [(text[s:e], k) for s, k, e in scan.spans(text)] == [(key, 3), (key, 4), (key, 3)]
+    assert scan.spans(f"the order {key} of things: a token was given") == []
+
+
+def test_short_words_and_numbers_near_sensitive_names_are_left():
+    scan = secret_scan.Scanner()
+    for value in ("something", "Wiedersehen", "changeme12", "os.getenv(", "10.0.0.12:8080", "2024-05-17", "e-mail/post", "get_user()", "Überraschung", "self.name_2", "<see-below>", "abc", "k7#Qz!9"):
+        for name in ("password", "token", "The secret", "pwd", "auth"):
+            assert scan.spans(f"{name}: {value} and so on\n") == [], (name, value)
+
+
 def test_only_whole_sensitive_words_are_context():
     scan, key = secret_scan.Scanner(), "qZkXwPvLmTrYbNcDfGhJ"
     for clean in (
