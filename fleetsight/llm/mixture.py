@@ -35,7 +35,7 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 BLOCK_WORDS = 256
 BUCKETS = 4096
-SHARD_WORDS = 1 << 20  # words of the mix for each output shard, on average
+SHARD_WORDS = 1 << 19  # words of the mix for each output shard, on average
 SLOT_RUN = 4096  # slots that one row of the plan expands to
 
 
@@ -241,7 +241,9 @@ def mixed_documents(
     start, count = (F.col(f"{key}p.at") + 1).cast("int"), F.col(f"{key}p.words").cast("int")
     part = F.array_join(F.slice(f"{key}w", start, count), "")
     out = held.withColumn(text_col, part).withColumns({f"{key}{c}": F.col(f"{key}p.{c}") for c in ("shard", "seat", "from")}).drop(f"{key}w", f"{key}s")
-    out = out.repartition(f"{key}shard").sortWithinPartitions(f"{key}shard", f"{key}seat", f"{key}from")
+    # with a number given, whole shards aren't merged into a few large tasks
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartition(tasks, f"{key}shard").sortWithinPartitions(f"{key}shard", f"{key}seat", f"{key}from")
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
     return out.select(*docs.columns)
