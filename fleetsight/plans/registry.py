@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from fleetsight.functions.columns import round_doubles
 from fleetsight.operators import checks, clean, evaluation, features, reports, training
 from fleetsight.plans import fixtures
 from fleetsight.plans import oracle as O
+from fleetsight.sources.tables import footer_extent, table_rows
 from fleetsight.spec import DEFAULT_SPEC
 from fleetsight.streaming import scoring
 
@@ -66,6 +67,16 @@ def last_date_c1(spark: SparkSession, sf_dir: str):
     return valid.select(F.max(SPEC.date)).scalar()
 
 
+def staged_c1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, Column]:
+    """The cleaned rows without z-scores as a staged table, their number and last day (from the files' footers)."""
+    from pyspark.sql import functions as F
+
+    path = shared_folder(spark, "cleaned")
+    cleaned_c1(spark, sf_dir, zscores=False).write.parquet(path)
+    extent = footer_extent(spark, path, SPEC.date).first()
+    return spark.read.parquet(path), extent["total_rows"], F.lit(extent["last"]).cast("date")
+
+
 def model_rows_c1(spark: SparkSession, sf_dir: str, censor: str = "whole_window") -> DataFrame:
     return training.prepare_model_rows(
         features_c1(spark, sf_dir), SPEC, censor=censor, last_date=last_date_c1(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.operators import clean, features, incremental, reports
@@ -103,11 +103,18 @@ TREND_DAYS = 21
 _WIDE = R._q([f"{m.raw}" for m in SPEC.metrics])
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, days: int) -> tuple[DataFrame, DataFrame]:
-    """Cleaned readings before the last days, and those of the last days."""
-    cleaned = R.cleaned_c1(spark, sf_dir, zscores=False)
-    cut = F.date_sub(R.last_date_c1(spark, sf_dir), days)
-    return cleaned.filter(F.col(SPEC.date) <= cut), cleaned.filter(F.col(SPEC.date) > cut)
+def _arrivals(spark: SparkSession, sf_dir: str, days: int) -> tuple[DataFrame, DataFrame, int, Column]:
+    """Cleaned readings before the last days, those of the last days, the number of both, and the day between.
+
+    As in a deployment, the stream's sides and its deliveries come from a cleaned table that is there."""
+    cleaned, rows, last = R.staged_c1(spark, sf_dir)
+    cut = F.date_sub(last, days)
+    return cleaned.filter(F.col(SPEC.date) <= cut), cleaned.filter(F.col(SPEC.date) > cut), rows, cut
+
+
+def _deliver(rows: DataFrame, path: str) -> None:
+    """One file; only its rows meet in the task that writes it, the table is read by all tasks."""
+    rows.repartition(1).write.parquet(path)
 
 
 @R.register(
@@ -125,10 +132,10 @@ FROM features WHERE date > (SELECT max(date) - {TREND_DAYS} FROM cleaned)""",
 def stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2, W6, W2: trends of the arriving readings from keyed state. The readings of the last days come in three
     files of mixed dates, the middle one twice, on top of a state that starts from the history."""
-    history, arriving = _arrivals(spark, sf_dir, TREND_DAYS)
+    history, arriving, _, cut = _arrivals(spark, sf_dir, TREND_DAYS)
     root = R.shared_folder(spark, "keyed-stream")
     for n, part in enumerate((2, 0, 0, 1)):
-        arriving.filter(_batch_of() == part).coalesce(1).write.parquet(f"{root}/conformed/{n}")
+        _deliver(arriving.filter(_batch_of() == part), f"{root}/conformed/{n}")
     started = R.shared_folder(spark, "keyed-history")
     keyed.entity_history(history, SPEC).write.parquet(started)
     start = spark.read.parquet(started)
@@ -138,9 +145,7 @@ def stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     rows = keyed.current_rows(spark.read.parquet(f"{root}/scores"), SPEC)
-    return rows.filter(F.col(SPEC.date) > F.date_sub(R.last_date_c1(spark, sf_dir), TREND_DAYS)).select(
-        "serial_number", "model", "date", "age_days", *SPEC.trend_columns
-    )
+    return rows.filter(F.col(SPEC.date) > cut).select("serial_number", "model", "date", "age_days", *SPEC.trend_columns)
 
 
 # ---- ST1 / ST3 ------------------------------------------------------------------------------------------
@@ -159,7 +164,7 @@ batch_raw AS (SELECT a.* FROM all_cleaned a, cutoff WHERE a.date > c)"""
 @R.register("stream_scores_redelivered", O.rounded(_ONCE_SQL, R._SCORE_DOUBLES))
 def stream_scores_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1, ST3: readings delivered twice, in one micro-batch and again in a later one, give one score row a key."""
-    history, arriving = _arrivals(spark, sf_dir, R.STREAM_DAYS)
+    history, arriving, n_rows, _ = _arrivals(spark, sf_dir, R.STREAM_DAYS)
     statistics = scoring.model_statistics(history, SPEC)
     context = scoring.entity_context(features.build_features(history, SPEC), SPEC)
     root = R.shared_folder(spark, "distinct-stream")

@@ -39,6 +39,11 @@ def footer_extent(spark: SparkSession, path: str, column: str) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("total_rows"), F.min(column).alias("first"), F.max(column).alias("last"))
 
 
+def table_rows(spark: SparkSession, path: str) -> int:
+    """The number of rows of a staged table, from its footers."""
+    return footer_session(spark).read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+
+
 def is_absent(error: AnalysisException) -> bool:
     """Whether Spark's error condition says that a path or table isn't there."""
     return error.getCondition() in ABSENT

@@ -123,21 +123,20 @@ class TrendState(StatefulProcessor):
         self.state = handle.getValueState("rows", f"first_seen int, rows array<struct<day: int, {fields}>>")
 
     def _held(self) -> tuple[int | None, dict[int, tuple]]:
-        if not self.state.exists():
+        value = self.state.get()
+        if value is None:
             return None, {}
-        first_seen, rows = self.state.get()
+        first_seen, rows = value
         return first_seen, {r[0]: tuple(r[1:]) for r in rows}
 
     def _taken(self, row: Row) -> tuple[int, tuple]:
         return row[self.date].toordinal() - _EPOCH, tuple(row[c] for c in self.columns)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        """One row of the history: the entity's first date, and one of its last rows."""
-        first_seen, held = self._held()
-        day, values = self._taken(initialState)
-        held[day] = values
+        """The history of the entity: its first date, and its last rows. The state is written once an entity, not once a row."""
+        held = dict(self._taken(row) for row in initialState["rows"])
         born = initialState["first_seen"].toordinal() - _EPOCH
-        self.state.update((min(born, day if first_seen is None else first_seen), [(d, *v) for d, v in sorted(held.items())]))
+        self.state.update((min(born, *held), [(d, *v) for d, v in sorted(held.items())]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         first_seen, held = self._held()
@@ -184,6 +183,12 @@ def entity_history(cleaned: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> Da
     return ranked.filter(F.col("_n") <= max(spec.trend_rows)).drop("_n")
 
 
+def _by_entity(history: DataFrame, columns: list[str], spec: TelemetrySpec) -> DataFrame:
+    """One row for each entity of a history, with its rows in date order (as many as the longest trend needs)."""
+    rows = F.sort_array(F.collect_list(F.struct(spec.date, *columns))).alias("rows")
+    return history.groupBy(spec.group, spec.entity).agg(F.min("first_seen").alias("first_seen"), rows)
+
+
 def _payload(spec: TelemetrySpec) -> list[str]:
     return [spec.event, *([spec.capacity] if spec.capacity else []), *spec.raw_columns]
 
@@ -211,7 +216,7 @@ def streamed_trends(
     timed = with_event_time(stream.select(spec.group, spec.entity, spec.date, *columns), spec, delay)
     start = None
     if history is not None:
-        start = history.select(spec.group, spec.entity, spec.date, *columns, "first_seen").groupBy(spec.group, spec.entity)
+        start = _by_entity(history, columns, spec).groupBy(spec.group, spec.entity)
     return timed.groupBy(spec.group, spec.entity).transformWithState(processor, StructType(out), "Append", "EventTime", initialState=start)
 
 
