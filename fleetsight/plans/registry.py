@@ -55,7 +55,9 @@ def cleaned_c1(spark: SparkSession, sf_dir: str, zscores: bool = True) -> DataFr
 
 
 def features_c1(spark: SparkSession, sf_dir: str, zscores: bool = True) -> DataFrame:
-    return features.build_features(cleaned_c1(spark, sf_dir, zscores), SPEC)
+    """The features of all cleaned rows; there are at most as many as rows of lineitem (from its footers)."""
+    rows = table_rows(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return features.build_features(cleaned_c1(spark, sf_dir, zscores), SPEC, rows)
 
 
 def last_date_c1(spark: SparkSession, sf_dir: str):
@@ -456,7 +458,7 @@ _FEATURE_DOUBLES = _Z + _TRENDS
 @register("latest_per_drive", O.rounded(_C1_FEATURES + _LATEST_SQL + "\nSELECT * FROM latest", _FEATURE_DOUBLES))
 def latest_per_drive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest feature row of every drive."""
-    return reports.latest_per_entity(features_c1(spark, sf_dir), SPEC)
+    return reports.latest_per_entity(features_c1(spark, sf_dir), SPEC, dealt=True)
 
 
 def _count_sql(conds) -> str:
@@ -486,7 +488,7 @@ watchlist AS (
 )
 def drive_risk_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P14-P17 + W5: latest reading of never-failed drives with a positive rule score."""
-    return reports.drive_risk_watchlist(features_c1(spark, sf_dir), SPEC)
+    return reports.drive_risk_watchlist(features_c1(spark, sf_dir), SPEC, dealt=True)
 
 
 # ---- C5: J4 / A10 / A11 / T3 / T4 ---------------------------------------------------------------
@@ -516,7 +518,7 @@ def riskiest_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + A10 + T3: watchlist with each drive's latest predicted probability, top 20."""
     feats = features_c1(spark, sf_dir)
     return reports.riskiest_drives(
-        reports.drive_risk_watchlist(feats, SPEC), fixtures.predictions_c5(feats), k=20, spec=SPEC
+        reports.drive_risk_watchlist(feats, SPEC, dealt=True), fixtures.predictions_c5(feats), k=20, spec=SPEC
     )
 
 

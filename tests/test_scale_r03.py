@@ -76,3 +76,28 @@ def test_the_state_is_written_once_an_entity(spark, telemetry):
 def test_stream_trends_is_started_from_staged_rows(spark, monkeypatch):
     args, kw = given(monkeypatch, keyed, "start_trend_scoring", spark, "stream_trends")
     assert not reads(args[4], "lineitem") and not reads(args[5], "lineitem")
+
+
+# ---- drive_risk_watchlist, riskiest_drives ------------------------------------------------------
+def test_latest_rows_of_dealt_features(spark, telemetry):
+    moved = [telemetry_row("U0", day(90), model="MODEL_1"), telemetry_row("U7", day(3)), telemetry_row("U8", None), Row(**telemetry_row(None, day(2)).asDict())]
+    built = features.build_features(telemetry.unionByName(telemetry_df(spark, moved)), S)
+    some = ["serial_number", "model", "date", "age_days", *S.trend_columns]
+    rows = lambda df: sorted(map(str, df.select(*some).collect()))
+    assert rows(reports.latest_per_entity(built, S, dealt=True)) == rows(reports.latest_per_entity(built, S))
+
+
+@pytest.mark.parametrize("name", ["drive_risk_watchlist", "riskiest_drives", "latest_per_drive"])
+def test_only_last_rows_are_sorted_again(spark, name):
+    plan = plan_of(registry.queries()[name](spark, SF_SMALL))
+    assert "_last#" in plan and plan.index("WindowGroupLimit [serial_number") < plan.index("_last#")
+
+
+def test_rows_of_a_feature_task_are_bounded(spark, telemetry, monkeypatch):
+    monkeypatch.setattr(features, "ROWS_A_TASK", 10)
+    n = telemetry.count()
+    dealt = features.dealt_by_entity(telemetry, n, S)
+    assert dealt.rdd.getNumPartitions() == -(-n // 10) and sorted(map(str, dealt.collect())) == sorted(map(str, telemetry.collect()))
+    assert features.dealt_by_entity(telemetry, 20, S) is telemetry
+    built = lambda *rows: sorted(map(str, features.build_features(telemetry, S, *rows).collect()))
+    assert built(n) == built()
