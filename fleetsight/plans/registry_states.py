@@ -166,12 +166,14 @@ def stream_scores_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1, ST3: readings delivered twice, in one micro-batch and again in a later one, give one score row a key."""
     history, arriving, n_rows, _ = _arrivals(spark, sf_dir, R.STREAM_DAYS)
     statistics = scoring.model_statistics(history, SPEC)
-    context = scoring.entity_context(features.build_features(history, SPEC), SPEC)
     root = R.shared_folder(spark, "distinct-stream")
+    # built once, not by each micro-batch
+    scoring.entity_context(features.build_features(history, SPEC, n_rows), SPEC, dealt=True).write.parquet(f"{root}/context")
+    context = spark.read.parquet(f"{root}/context")
     first = _batch_of() == 0
     once = arriving.filter(first)
     for n, rows in enumerate((once.unionAll(once), arriving.filter(~first), arriving)):
-        rows.coalesce(1).write.parquet(f"{root}/conformed/{n}")
+        _deliver(rows, f"{root}/conformed/{n}")
     query = keyed.start_distinct_scoring(
         spark, f"{root}/conformed", f"{root}/checkpoint", f"{root}/scores", statistics, context, None, SPEC, max_files_per_trigger=1
     )

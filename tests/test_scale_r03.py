@@ -78,6 +78,13 @@ def test_stream_trends_is_started_from_staged_rows(spark, monkeypatch):
     assert not reads(args[4], "lineitem") and not reads(args[5], "lineitem")
 
 
+# ---- stream_scores_redelivered ------------------------------------------------------------------
+def test_micro_batches_join_a_context_that_is_there(spark, monkeypatch):
+    args, kw = given(monkeypatch, keyed, "start_distinct_scoring", spark, "stream_scores_redelivered")
+    context = args[5]
+    assert not reads(context, "lineitem") and "Window" not in plan_of(context)
+
+
 # ---- drive_risk_watchlist, riskiest_drives ------------------------------------------------------
 def test_latest_rows_of_dealt_features(spark, telemetry):
     moved = [telemetry_row("U0", day(90), model="MODEL_1"), telemetry_row("U7", day(3)), telemetry_row("U8", None), Row(**telemetry_row(None, day(2)).asDict())]
