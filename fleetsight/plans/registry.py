@@ -1103,7 +1103,10 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("train_and_evaluate")
 def train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit both candidates, tune and pick, evaluate once on test; metrics table."""
-    result = training.train_and_evaluate(features_c1(spark, sf_dir), SPEC, staging_path=shared_folder(spark, "model-rows"))
+    # the label counts and the model rows are two passes; both start from rows that are cleaned once
+    cleaned, rows, last = staged_c1(spark, sf_dir)
+    feats = features.build_features(clean.add_group_zscores(cleaned, SPEC), SPEC, rows)
+    result = training.train_and_evaluate(feats, SPEC, staging_path=shared_folder(spark, "model-rows"), last_date=last)
     result.release()
     return result.metrics
 

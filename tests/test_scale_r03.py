@@ -85,6 +85,15 @@ def test_micro_batches_join_a_context_that_is_there(spark, monkeypatch):
     assert not reads(context, "lineitem") and "Window" not in plan_of(context)
 
 
+# ---- train_and_evaluate -------------------------------------------------------------------------
+def test_training_starts_from_rows_cleaned_once(spark, monkeypatch):
+    (feats, *_), kw = given(monkeypatch, training, "train_and_evaluate", spark, "train_and_evaluate")
+    assert not reads(feats, "lineitem")
+    cleaned = clean.clean_telemetry(registry.fixtures.telemetry_c1(spark, SF_SMALL), S, zscores=False)
+    want = cleaned.agg(F.count("*"), F.max("date")).first()
+    assert (feats.count(), feats.select(kw["last_date"]).first()[0]) == tuple(want)
+
+
 # ---- drive_risk_watchlist, riskiest_drives ------------------------------------------------------
 def test_latest_rows_of_dealt_features(spark, telemetry):
     moved = [telemetry_row("U0", day(90), model="MODEL_1"), telemetry_row("U7", day(3)), telemetry_row("U8", None), Row(**telemetry_row(None, day(2)).asDict())]
