@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetsight.functions.columns import week_start_sunday
 from fleetsight.operators.clean import MEAN_SUFFIX, STDDEV_SUFFIX
-from fleetsight.operators.reports import metric_unpivot
+from fleetsight.operators.reports import cohort
 from fleetsight.spec import DEFAULT_SPEC, TelemetrySpec
 
 BATCH = "state_batch"
@@ -103,16 +103,27 @@ def sketch_rank_error(k: int = SKETCH_K) -> float:
 
 def signal_sketches(features: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC, k: int = SKETCH_K) -> DataFrame:
     """A4 as a state: per metric, cohort and month a sketch of the z-scores, and the counts and sums of the means."""
-    n = spec.trend_rows[-1]
-    keys = ["attribute_id", "attribute_name", "cohort", "month"]
-    monthly = features.withColumn("month", month_of(spec))
-    long = metric_unpivot(monthly, spec, n, keep=["month"])
-    return long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.struct(F.count(c).alias("n"), F.sum(c).alias("total")).alias(c) for c in ("reported", f"trend_{n}d")],
-        F.struct(F.count("zscore").alias("n"), F.sum("zscore").alias("total")).alias("z"),
-        F.kll_sketch_agg_double("zscore", F.lit(k)).alias("sketch"),
+    trend = f"trend_{spec.trend_rows[-1]}d"
+
+    def summed(c: Column, name: str) -> Column:
+        return F.struct(F.count(c).alias("n"), F.sum(c).alias("total")).alias(name)
+
+    def state(m) -> Column:
+        return F.struct(
+            F.lit(m.id).alias("attribute_id"),
+            F.lit(m.name).alias("attribute_name"),
+            summed(F.col(m.reported).cast("double"), "reported"),
+            summed(F.col(m.trend(spec.trend_rows[-1])), trend),
+            summed(F.col(m.zscore), "z"),
+            F.kll_sketch_agg_double(m.zscore, F.lit(k)).alias("sketch"),
+        )
+
+    # every row counts for every metric, so a row is aggregated once, and the few states are unpivoted instead of the rows
+    wide = features.groupBy(cohort(spec).alias("cohort"), month_of(spec)).agg(
+        F.count(F.lit(1)).alias("row_count"), *[state(m).alias(f"_{m.id}") for m in spec.metrics]
     )
+    long = wide.select("cohort", "month", "row_count", F.explode(F.array(*[f"_{m.id}" for m in spec.metrics])).alias("m"))
+    return long.select("m.attribute_id", "m.attribute_name", "cohort", "month", "row_count", "m.reported", f"m.{trend}", "m.z", "m.sketch")
 
 
 def signal_from_sketches(sketches: DataFrame, spec: TelemetrySpec = DEFAULT_SPEC) -> DataFrame:

@@ -52,7 +52,8 @@ _MEANS = ["reported_share", "mean_zscore", "mean_trend_30d"]
 def signal_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: the metric signal from monthly sketches; its percentiles are held against exact ones at the ranks of the stated error."""
     path = R.shared_folder(spark, "sketched-features")
-    R.features_c1(spark, sf_dir).write.parquet(path)
+    used = [c for m in SPEC.metrics for c in (m.zscore, m.reported, m.trend(SPEC.trend_rows[-1]))]
+    R.features_c1(spark, sf_dir).select(*SPEC.key, SPEC.label, *used).write.parquet(path)
     feats = spark.read.parquet(path)
     states = R.shared_folder(spark, "sketches")
     for batch in range(N_BATCHES):

@@ -117,3 +117,17 @@ def test_rows_of_a_feature_task_are_bounded(spark, telemetry, monkeypatch):
     assert features.dealt_by_entity(telemetry, 20, S) is telemetry
     built = lambda *rows: sorted(map(str, features.build_features(telemetry, S, *rows).collect()))
     assert built(n) == built()
+
+
+# ---- signal_from_states -------------------------------------------------------------------------
+def test_sketches_unpivot_states_not_rows(spark, telemetry):
+    feats = features.build_features(clean.add_group_zscores(telemetry, S), S)
+    states = incremental.signal_sketches(feats, S)
+    plan = plan_of(states)
+    assert plan.index("Generate explode") < plan.index("Aggregate") and plan.count("Generate") == 1
+    long = reports.metric_unpivot(feats.withColumn("month", incremental.month_of(S)), S, keep=["month"])
+    keys = ["attribute_id", "attribute_name", "cohort", "month"]
+    sums = [F.count(F.lit(1)), F.count("reported"), F.sum("reported"), F.count("zscore"), F.round(F.sum("zscore"), 9), F.round(F.sum("trend_30d"), 9)]
+    want = long.groupBy(*keys).agg(*sums)
+    got = states.select(*keys, "row_count", "reported.n", "reported.total", "z.n", F.round("z.total", 9), F.round("trend_30d.total", 9))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
