@@ -131,3 +131,10 @@ def test_sketches_unpivot_states_not_rows(spark, telemetry):
     want = long.groupBy(*keys).agg(*sums)
     got = states.select(*keys, "row_count", "reported.n", "reported.total", "z.n", F.round("z.total", 9), F.round("trend_30d.total", 9))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+# ---- published_tables, weekly_distinct_drives ---------------------------------------------------
+def test_published_tables_read_features_that_are_there(spark, monkeypatch):
+    (tables, _), _ = given(monkeypatch, registry_states, "publish_all", spark, "published_tables")
+    assert tables.keys() == {"daily_fleet_health", "model_failure_summary"}
+    assert not any(reads(df, "lineitem") for df, _ in tables.values())
