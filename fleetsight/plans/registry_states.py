@@ -83,7 +83,9 @@ def signal_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weekly_distinct_drives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A9 with A2: distinct drives of a week from daily bitmaps of two batches, and daily sketches held against them."""
     path = R.shared_folder(spark, "daily-states")
-    cleaned = R.cleaned_c1(spark, sf_dir, zscores=False).select(SPEC.entity, SPEC.date)
+    # cleaned once, not for each of the batches' states
+    R.cleaned_c1(spark, sf_dir, zscores=False).select(*SPEC.key).write.parquet(f"{path}/cleaned")
+    cleaned = spark.read.parquet(f"{path}/cleaned")
     numbers = None
     for batch in (0, 1):
         part = cleaned.filter(F.pmod(F.xxhash64(SPEC.entity), F.lit(2)) == batch)

@@ -138,3 +138,9 @@ def test_published_tables_read_features_that_are_there(spark, monkeypatch):
     (tables, _), _ = given(monkeypatch, registry_states, "publish_all", spark, "published_tables")
     assert tables.keys() == {"daily_fleet_health", "model_failure_summary"}
     assert not any(reads(df, "lineitem") for df, _ in tables.values())
+
+
+@pytest.mark.parametrize("step", ["entity_numbers", "distinct_bitmaps", "distinct_sketches"])
+def test_distinct_states_read_rows_cleaned_once(spark, monkeypatch, step):
+    (rows, *_), _ = given(monkeypatch, incremental, step, spark, "weekly_distinct_drives")
+    assert not reads(rows, "lineitem")
