@@ -18,6 +18,10 @@ CACHE_ENTRIES = 500_000
 # a byte-level vocabulary writes visible bytes as themselves and the others from character 256 on
 _HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b >= 174)]
 _ALPHABET = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+_SPELLED = np.array([_ALPHABET.get(b, b) for b in range(256)], "<u4")
+_IN_WORD = np.zeros(256, dtype=np.int64)  # 1 for ASCII letters and bytes of other characters, which add 2**32
+_IN_WORD[65:91] = _IN_WORD[97:123] = 1
+_IN_WORD[128:] = 1 + (1 << 32)
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -57,7 +61,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids whose text begins with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self._hold({}, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        self._hold(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -67,34 +71,75 @@ class Encoder:
         """Text as the byte-level vocabulary writes it: a character for each byte."""
         return text.encode().decode("latin-1").translate(_ALPHABET)
 
-    # ---- cache: chunk hash -> slot, and the slots' ids behind one another ------------------------
-    def _hold(self, slots: dict[int, int], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.slots, self.ids, self.sizes = slots, ids, sizes  # a size of -1: text around this chunk can't be cut
+    # ---- cache: sorted chunk hashes with their slots, and the slots' ids behind one another ------
+    def _hold(self, keys: np.ndarray, slots: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.keys, self.slots, self.ids, self.sizes = keys, slots, ids, sizes  # a size of -1: text around this chunk can't be cut
         held = np.maximum(sizes, 0)
         self.starts = np.cumsum(held) - held
         self.again = np.zeros(len(sizes), dtype=bool)  # slots that were found again
 
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The slots of sorted hashes, -1 for those that aren't held."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.slots[at], -1).astype(np.int64)
+
     def _evict(self) -> None:
         """Keep chunks that came more than once, or none if those are too many."""
         keep = np.flatnonzero(self.again)
         if len(keep) > self.cache_entries // 2:
             keep = keep[:0]
-        place = np.full(len(self.sizes), -1)
+        place = np.full(len(self.sizes), -1, np.int32)
         place[keep] = np.arange(len(keep))
-        slots = {h: int(place[i]) for h, i in self.slots.items() if place[i] >= 0}
-        self._hold(slots, self.ids[_spans(self.starts[keep], np.maximum(self.sizes[keep], 0))], self.sizes[keep])
-
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
-        ids = self._chunk_ids(chunks)
-        found = [ids[c] for c in chunks]
-        sizes = np.array([-1 if x is None else len(x) // 4 for x in found], np.int64)
-        first = len(self.sizes)
-        self.slots.update(zip(hashes, range(first, first + len(chunks)), strict=True))
+        slots = place[self.slots]
+        stays = slots >= 0
+        self._hold(self.keys[stays], slots[stays], self.ids[_spans(self.starts[keep], np.maximum(self.sizes[keep], 0))], self.sizes[keep])
+
+    def _learn(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Hold the chunks of sorted hashes in new slots, which follow those there are."""
+        at = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.slots = np.insert(self.slots, at, np.arange(len(self.sizes), len(self.sizes) + len(hashes), dtype=np.int32))
         held = np.maximum(sizes, 0)
         self.starts = np.append(self.starts, len(self.ids) + np.cumsum(held) - held)
-        self.ids = np.append(self.ids, np.frombuffer(b"".join(x for x in found if x), dtype="<u4"))
+        self.ids = np.append(self.ids, ids)
         self.sizes = np.append(self.sizes, sizes)
-        self.again = np.append(self.again, np.zeros(len(chunks), dtype=bool))
+        self.again = np.append(self.again, np.zeros(len(hashes), dtype=bool))
+
+    def _new_chunks(self, stream: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks of the stream behind one another, and how many each has.
+
+        Most chunks are a space and a word of letters, perhaps with a full stop or comma: those words go
+        to the model in the spelling of the whole stream. The others take the general way.
+        ``letters`` sums _IN_WORD over each chunk.
+        """
+        last = raw[ends - 1]
+        stop = ((last == 46) | (last == 44)) & (ends - starts > 2)
+        until = ends - stop
+        plain = (raw[starts] == 32) & (letters & 0xFFFFFFFF == until - starts - 1) & (letters > 0)
+        for i in np.flatnonzero(plain & (letters >> 32 > 0)).tolist():
+            plain[i] = stream[starts[i] + 1 : until[i]].decode().isalpha()
+        others = [stream[s:e].decode() for s, e in zip(starts[~plain].tolist(), ends[~plain].tolist(), strict=True)]
+        known = self._chunk_ids(others)
+        found = [known[c] for c in others]
+        spelled, pieces, flat, counts = _SPELLED[raw].tobytes().decode("utf-32-le"), self.tokenizer.model.tokenize, [], []
+        for s, e in zip(starts[plain].tolist(), until[plain].tolist(), strict=True):
+            ids = [t.id for t in pieces(spelled[s:e])]
+            flat += ids
+            counts.append(len(ids))
+        sizes = np.empty(len(starts), np.int64)
+        sizes[plain] = counts
+        sizes[plain & stop] += 1
+        sizes[~plain] = [-1 if x is None else len(x) // 4 for x in found]
+        held = np.maximum(sizes, 0)
+        ids, kind = np.empty(int(held.sum()), np.uint32), np.repeat(plain.astype(np.int8), held)
+        ids[kind == 0] = np.frombuffer(b"".join(x for x in found if x), dtype="<u4")
+        for mark in ".,":
+            at = (np.cumsum(held) - 1)[plain & stop & (last == ord(mark))]
+            ids[at], kind[at] = np.frombuffer(self.stops[mark], dtype="<u4")[0], 2
+        ids[kind == 1] = flat
+        return ids, sizes
 
     def _chunk_ids(self, chunks: list[str]) -> dict[str, bytes | None]:
         """Encode chunks in runs; the ids that open a chunk show where each begins.
@@ -144,20 +189,19 @@ class Encoder:
         within = np.arange(len(raw)) - np.repeat(starts, sizes)
         hashes = mix64(np.add.reduceat(_BYTE_KEYS[raw] * _powers(int(sizes.max()))[within], starts))
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        slots = np.array([self.slots.get(h, -1) for h in keys], np.int64)
+        slots = self._find(distinct)
         new = np.flatnonzero(slots < 0)
         if len(new) and len(self.sizes) + len(new) > self.cache_entries:
             self.again[slots[slots >= 0]] = True
             self._evict()
-            slots = np.array([self.slots.get(h, -1) for h in keys], np.int64)
+            slots = self._find(distinct)
             new = np.flatnonzero(slots < 0)
         self.again[slots[slots >= 0]] = True
         if len(new):
-            at = starts[first[new]].tolist()
-            ends = (starts[first[new]] + sizes[first[new]]).tolist()
+            at = first[new]
+            letters = np.add.reduceat(_IN_WORD[raw], starts)[at]
             slots[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
-            self._learn([keys[i] for i in new.tolist()], [stream[s:e].decode() for s, e in zip(at, ends, strict=True)])
+            self._learn(distinct[new], *self._new_chunks(stream, raw, starts[at], starts[at] + sizes[at], letters))
         slot = slots[inverse]
         lengths = np.array([len(t.encode()) for t in texts])
         opening = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)  # each text's first chunk
