@@ -16,24 +16,35 @@ from fleetsight.session import checkpoint_dir
 # Fixed value: words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: list[str] | None = None, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` into the shared folder and read it back.
 
     This cuts lineage like ``checkpoint()``, and later stages can prune its columns. The folder
     is that of ``spark.checkpoint.dir``; the deployment clears it as it clears checkpoints.
+    ``batch_bytes`` bounds the Arrow batches that go to Python functions meanwhile: Spark's own bound
+    of 64 MB is held several times by each task, in the JVM and in Python.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark, allow_local_default=True)}/llm-{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(BATCH_CONF, None)
+    if batch_bytes:
+        spark.conf.set(BATCH_CONF, str(batch_bytes))
+    try:
+        writer.parquet(path)
+    finally:
+        if batch_bytes:
+            spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.llm.common import mix64, slices, staged, text_buffer, word_hashes
@@ -41,11 +42,15 @@ from fleetsight.llm.common import mix64, slices, staged, text_buffer, word_hashe
 ORDERS = 5
 LOW = 2  # orders up to this one are tables by context, broadcast
 PARTS, GRAMS_A_PART = 64, 1 << 17  # least number of parts; distinct 6-grams to a part
+KEY_RUNS = 256  # runs of keys that counts travel in
 SLOT_BITS = 22  # of a table of hashed slots in memory
 CHUNK_BITS = 8
 TOP_WORDS = 65_536  # bound of the words whose counts are broadcast
 MIXER_SHARE = 16  # one training text in so many teaches the mixer instead of the counts
 BLOCK = 1 << 21  # bytes that are sorted at a time
+CODED = 1 << 20  # bytes that are sorted with their places at a time
+SCORE_BLOCK = 1 << 22  # bytes whose distinct 6-grams are asked for together to be scored
+BATCH_BYTES = 1 << 23  # of texts or packed rows that a Python function gets at once
 MIXER_BLOCK = 1 << 13  # bytes between two updates of the weights
 GATES = 2 * (ORDERS + 1)
 BUCKETS = 33
@@ -63,23 +68,23 @@ def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lengths = np.diff(offsets)
     gap = ORDERS + 1
     buffer = np.zeros(len(raw) + gap * len(lengths), np.uint8)
-    text_of = np.repeat(np.arange(len(lengths)), lengths)
-    buffer[np.arange(len(raw)) + gap * text_of + ORDERS] = raw
     coded = np.ones(len(buffer), bool)
     begins = offsets[:-1] + gap * np.arange(len(lengths))
     for k in range(ORDERS):
         coded[begins + k] = False
     places = np.flatnonzero(coded)
+    ends = begins + ORDERS + lengths
+    coded[ends] = False
+    buffer[coded] = raw
     firsts = offsets[:-1] + np.arange(len(lengths))
     return buffer, places, firsts
 
 
 def gram_keys(buffer: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The byte at each place and the ORDERS bytes before, the latest in the highest bits."""
-    key = buffer[places].astype(np.uint64) << np.uint64(8 * ORDERS)
-    for k in range(1, _GRAM):
-        key |= buffer[places - k].astype(np.uint64) << np.uint64(8 * (ORDERS - k))
-    return key
+    longer = np.concatenate([buffer, np.zeros(8 - _GRAM, np.uint8)])
+    eight = np.ndarray(max(0, len(longer) - 7), "<u8", longer, strides=(1,))  # the eight bytes from each place on
+    return eight[places - ORDERS] & np.uint64((1 << (8 * _GRAM)) - 1)
 
 
 def _prefix(keys: np.ndarray, order: int) -> np.ndarray:
@@ -249,22 +254,28 @@ def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     Few byte values occur in one block, so a key and its place mostly fit 64 bits and one sort of
     plain integers does it; else the general way.
     """
-    used = np.zeros(256, bool)
-    for k in range(_GRAM):
-        used[np.unique(((keys >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8))] = True
+    pairs = keys.astype("<u8", copy=False).view("<u2").reshape(-1, 4)[:, : _GRAM // 2]
+    seen = np.zeros((256, 256), bool)
+    for k in range(_GRAM // 2):
+        seen.reshape(-1)[pairs[:, k]] = True
+    used = seen.any(axis=0) | seen.any(axis=1)
     width, place_bits = max(1, int(used.sum() - 1).bit_length()), max(1, (len(keys) - 1).bit_length())
     if _GRAM * width + place_bits > 64:
         return np.unique(keys, return_inverse=True)
     rank = (np.cumsum(used) - 1).astype(np.uint64)
+    of_pair = ((rank[:, None] << np.uint64(width)) | rank[None, :]).ravel()
     packed = np.zeros(len(keys), np.uint64)
-    for k in range(_GRAM - 1, -1, -1):
-        packed = (packed << np.uint64(width)) | rank[((keys >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8)]
-    packed = np.sort((packed << np.uint64(place_bits)) | np.arange(len(keys), dtype=np.uint64))
+    for k in range(_GRAM // 2 - 1, -1, -1):
+        packed <<= np.uint64(2 * width)
+        packed |= of_pair[pairs[:, k]]
+    packed <<= np.uint64(place_bits)
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
     at = (packed & np.uint64((1 << place_bits) - 1)).astype(np.int64)
     packed >>= np.uint64(place_bits)
     new = np.concatenate([[True], packed[1:] != packed[:-1]])
     code = np.empty(len(keys), np.int32)
-    code[at] = np.cumsum(new) - 1
+    code[at] = np.cumsum(new, dtype=np.int32) - 1
     return keys[at[new]], code
 
 
@@ -322,18 +333,21 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     """(kind, key, n): 6-grams of the texts for the counts, word hashes of all training texts.
 
     docs: text, mixer (this training text is kept for the mixer). A task merges its batches' counts
-    and gives what it holds when that grows large, so its memory is bounded.
+    and gives what it holds when that grows large, so its memory is bounded. They travel sorted and
+    compressed in KEY_RUNS runs of keys, and a run is summed up at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {_KIND_GRAM: [], _KIND_WORD: []}
 
-        def out(kind: int) -> pa.RecordBatch:
+        def out(kind: int) -> Iterator[pa.RecordBatch]:
             keys, counts = _merge(held[kind])
             held[kind] = []
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], ["kind", "key", "n"]
-            )
+            for bucket, at in _by_part(keys.view(np.uint64), KEY_RUNS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([_pack(np.concatenate([keys[at].view(np.int64), counts[at]]))], pa.binary())],
+                    ["kind", "bucket", "payload"],
+                )
 
         for batch in batches:
             for part in slices(batch, "text", BLOCK):
@@ -349,13 +363,36 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                     if len(parts) >= 8:
                         held[kind] = [_merge(parts)]
                         if len(held[kind][0][0]) > 2_000_000:
-                            yield out(kind)
+                            yield from out(kind)
         for kind, parts in held.items():
             if parts:
-                yield out(kind)
+                yield from out(kind)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, of = [], 0, None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, counts = _merge(held)
+                kinds = np.full(len(keys), of[0], np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), pa.array(counts)], ["kind", "key", "n"])
+
+        for batch in batches:
+            for *place, raw in zip(batch.column("kind").to_pylist(), batch.column("bucket").to_pylist(), batch.column("payload"), strict=True):
+                if place != of:
+                    yield from out()
+                    held, size, of = [], 0, place
+                keys, counts = _unpack(raw.as_py(), np.int64).reshape(2, -1)
+                held.append((keys, counts))
+                size += len(keys)
+                if size > 4_000_000:
+                    held = [_merge(held)]
+                    size = len(held[0][0])
+        yield from out()
 
-    found = docs.select("text", "mixer").mapInArrow(run, "kind int, key long, n long")
-    return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    packed = docs.select("text", "mixer").mapInArrow(run, "kind int, bucket int, payload binary")
+    dealt = packed.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+    return dealt.mapInArrow(summed, "kind int, key long, n long")
 
 
 def low_tables(counts: DataFrame) -> list[np.ndarray]:
@@ -377,6 +414,15 @@ def low_tables(counts: DataFrame) -> list[np.ndarray]:
     return table
 
 
+def shared_tables(spark: SparkSession, low: list[np.ndarray]) -> Broadcast:
+    """The tables of the low orders for all tasks, compressed: most of their entries are empty, and every machine keeps a copy on disk."""
+    return spark.sparkContext.broadcast([zstandard.ZstdCompressor(level=1).compress(table) for table in low])
+
+
+def read_tables(shared: Broadcast) -> list[np.ndarray]:
+    return [np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint16) for raw in shared.value]
+
+
 _ROWS = "slice long, part int, payload binary"
 _TEXTS = -1  # in place of a part: the slice's texts; in place of a slice: a part's counts
 
@@ -389,7 +435,7 @@ def _parts_of(grams: np.ndarray, parts: int) -> np.ndarray:
 
 def _pack(values: np.ndarray) -> bytes:
     """The values compressed byte place by byte place: sorted or alike, they compress well so."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes())
 
 
 def _unpack(raw: bytes, kind: type) -> np.ndarray:
@@ -412,7 +458,7 @@ def _by_part(grams: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def _block_grams(buffer: np.ndarray, places: np.ndarray) -> np.ndarray:
     pieces = [distinct(gram_keys(buffer, places[at : at + BLOCK]))[0] for at in range(0, len(places), BLOCK)]
-    return pieces[0] if len(pieces) == 1 else np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]))
+    return pieces[0] if len(pieces) == 1 else distinct(np.concatenate([np.zeros(0, np.uint64), *pieces]))[0]
 
 
 def counted(counts: DataFrame, parts: int) -> DataFrame:
@@ -438,37 +484,53 @@ def counted(counts: DataFrame, parts: int) -> DataFrame:
     return counts.filter(F.col("kind") == _KIND_GRAM).select("key", "n").mapInArrow(run, _ROWS)
 
 
-def blocks(texts: DataFrame, parts: int) -> DataFrame:
-    """Slices of the texts: a row with the texts, and a row for each part with the slice's distinct 6-grams."""
+def sliced(texts: DataFrame, size: int) -> DataFrame:
+    """Slices of about ``size`` bytes of the texts, a row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text", BLOCK):
-                buffer, places, _ = padded(*text_buffer(part.column("text")))
-                grams = _block_grams(buffer, places)
+            for part in slices(batch, "text", size):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as writer:
                     writer.write_batch(part)
                 yield _row(at, _TEXTS, sink.getvalue().to_pybytes())
-                for number, chosen in _by_part(grams, parts):
-                    yield _row(at, number, _pack(grams[chosen]))
                 at += 1
 
     return texts.mapInArrow(run, _ROWS)
 
 
-def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
-    """For each row of 6-grams what ``answer(tables, grams)`` gives for them, in their order, as bytes."""
+def _texts_of(payload: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(payload).read_all().combine_chunks().to_batches()[0]
+
+
+def asked_grams(rows: DataFrame, parts: int) -> DataFrame:
+    """For each slice a row for each part with the slice's distinct 6-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, raw in zip(batch.column("slice").to_pylist(), batch.column("payload"), strict=True):
+                buffer, places, _ = padded(*text_buffer(_texts_of(raw.as_py()).column("text")))
+                grams = _block_grams(buffer, places)
+                for part, chosen in _by_part(grams, parts):
+                    yield _row(number, part, _pack(grams[chosen]))
+
+    return rows.mapInArrow(run, _ROWS)
+
+
+def answered(asked: DataFrame, known: DataFrame, answers: Callable) -> DataFrame:
+    """For each row of 6-grams what a task's ``answers()(tables, grams)`` gives for them, in their order, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answer = answers()
         part, counts, tables, waiting, size = None, [], None, [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
             every = np.unique(np.concatenate([g for _, g in waiting]))
             values = answer(tables, every)
             for number, grams in waiting:
-                yield _row(number, part, _pack(values[np.searchsorted(every, grams)]))
+                found = values[np.searchsorted(every, grams)]
+                yield _row(number, part, _pack(found.reshape(len(grams), -1).T))  # 6-grams in order have runs of equal entries
 
         for batch in batches:
             for number, of, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), batch.column("payload"), strict=True):
@@ -495,40 +557,49 @@ def answered(asked: DataFrame, known: DataFrame, answer: Callable) -> DataFrame:
     return asked.unionByName(known).repartition("part").sortWithinPartitions("part", "slice").mapInArrow(run, _ROWS)
 
 
+def _coded(buffer: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted distinct 6-grams at the places, and block after block their places among those."""
+    found = [_by_key(gram_keys(buffer, places[at : at + CODED])) for at in range(0, len(places), CODED)]
+    every = distinct(np.concatenate([np.zeros(0, np.uint64), *(grams for grams, _ in found)]))[0]
+    return every, [np.searchsorted(every, grams).astype(np.int32)[code] for grams, code in found]
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], parts: int, kind: type, shape: tuple) -> Iterator[tuple]:
-    """Of each slice, whose rows come one after the other: texts, their buffer, places, firsts, distinct 6-grams and the answers for them."""
+    """Of each slice, whose rows come one after the other: texts, distinct 6-grams, the places of all among them and the answers for them."""
     for batch in batches:
         for number, of, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), batch.column("payload"), strict=True):
             raw = raw.as_py()
             if of == _TEXTS:
-                texts = pa.ipc.open_stream(raw).read_all().combine_chunks().to_batches()[0]
+                texts = _texts_of(raw)
                 buffer, places, firsts = padded(*text_buffer(texts.column("text")))
-                grams = _block_grams(buffer, places)
+                grams, codes = _coded(buffer, places)
+                del buffer, places
                 chosen = dict(_by_part(grams, parts))
                 values = np.empty((len(grams), *shape), kind)
             else:
-                values[chosen.pop(of)] = _unpack(raw, kind).reshape(-1, *shape)
+                at = chosen.pop(of)
+                values[at] = _unpack(raw, kind).reshape(-1, len(at)).T.reshape(-1, *shape)
             if not chosen:
-                yield texts, buffer, places, firsts, grams, values
+                yield texts, firsts, grams, codes, values
 
 
 def _with_texts(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    return rows.filter(F.col("part") == _TEXTS).unionByName(answers).repartition("slice").sortWithinPartitions("slice", "part")
+    return rows.unionByName(answers).repartition("slice").sortWithinPartitions("slice", "part")
 
 
-def train_mixer(rows: DataFrame, known: DataFrame, low: list[np.ndarray], parts: int) -> Model:
-    """Weights and map from the blocks of the training texts kept for the mixer; one row for each task comes back."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(low)
-    answers = answered(rows.filter(F.col("part") != _TEXTS), known, high_entries)
+def train_mixer(rows: DataFrame, known: DataFrame, low: Broadcast, parts: int) -> Model:
+    """Weights and map, without tables, from the blocks of the training texts kept for the mixer; one row for each task comes back."""
+    answers = answered(asked_grams(rows, parts), known, lambda: high_entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = blank(shared.value), 0
+        model, seen = blank(read_tables(low)), 0
         hits, tries = np.zeros(GATES * BUCKETS), np.zeros(GATES * BUCKETS)
-        for _, buffer, places, _, every, values in _gathered(batches, parts, np.uint16, (8, ORDERS - LOW)):
-            for at in range(0, len(places), MIXER_BLOCK):
-                grams, counts = distinct(gram_keys(buffer, places[at : at + MIXER_BLOCK]))
-                found = np.concatenate([low_entries(model.table, grams), values[np.searchsorted(every, grams)]], axis=2)
+        for _, _, every, codes, values in _gathered(batches, parts, np.uint16, (8, ORDERS - LOW)):
+            code = np.concatenate(codes)
+            for at in range(0, len(code), MIXER_BLOCK):
+                chosen, counts = distinct(code[at : at + MIXER_BLOCK])
+                grams = every[chosen]
+                found = np.concatenate([low_entries(model.table, grams), values[chosen]], axis=2)
                 learn_block(model, hits, tries, grams, counts, found)
                 seen += int(counts.sum())
         if seen:
@@ -536,7 +607,7 @@ def train_mixer(rows: DataFrame, known: DataFrame, low: list[np.ndarray], parts:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int64()), pa.array(values)], ["place", "value"])
 
     sums = _with_texts(rows, answers).mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    model = blank(low)
+    model = blank([])
     n = GATES * BUCKETS
     total = np.zeros(GATES * ORDERS + 2 * n + 1)
     for r in sums.collect():  # one row for each parameter
@@ -548,24 +619,27 @@ def train_mixer(rows: DataFrame, known: DataFrame, low: list[np.ndarray], parts:
     return model
 
 
-def _scored(docs: DataFrame, known: DataFrame, parts: int, model: Model, top: tuple[np.ndarray, np.ndarray], base: tuple[float, float]) -> DataFrame:
+def _scored(docs: DataFrame, known: DataFrame, parts: int, low: Broadcast, model: Model, top: tuple[np.ndarray, np.ndarray], base: tuple[float, float]) -> DataFrame:
     """A row for each document: its score, the base score of its known frequent words and end, and its other words."""
     context = docs.sparkSession.sparkContext
     shared, frequent = context.broadcast(model), context.broadcast(top)
     end_value, total = base
-    rows = staged(blocks(docs.select("doc_id", "held_out", "text"), parts), "lm-blocks")
-    answers = answered(rows.filter(F.col("part") != _TEXTS), known, lambda tables, grams: found_costs(shared.value, tables, grams).astype(np.float32))
+    rows = staged(sliced(docs.select("doc_id", "held_out", "text"), SCORE_BLOCK), "lm-blocks")
+
+    def of_model() -> Callable:
+        whole = dataclasses.replace(shared.value, table=read_tables(low))
+        return lambda tables, grams: found_costs(whole, tables, grams).astype(np.float32)
+
+    answers = answered(asked_grams(rows, parts), known, of_model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top_keys, top_values = frequent.value
-        for part, buffer, places, firsts, every, values in _gathered(batches, parts, np.float32, ()):
-            raw, offsets = text_buffer(part.column("text"))
-            each = np.empty(len(places))
-            for at in range(0, len(places), BLOCK):
-                grams, code = _by_key(gram_keys(buffer, places[at : at + BLOCK]))
-                each[at : at + BLOCK] = values[np.searchsorted(every, grams)][code]
+        for part, firsts, _, codes, values in _gathered(batches, parts, np.float32, ()):
+            _, offsets = text_buffer(part.column("text"))
+            each = np.concatenate([values[code] for code in codes]).astype(np.float64)
             score = np.add.reduceat(each, firsts)
-            words, counts = _words(raw, offsets)
+            found = [_words(*text_buffer(p.column("text"))) for p in slices(part, "text", CODED)]
+            words, counts = (np.concatenate(x) for x in zip(*found, strict=True))
             edges = np.concatenate([[0], np.cumsum(counts)])
             at = np.searchsorted(top_keys, words)
             at[at == len(top_keys)] = 0
@@ -603,11 +677,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     )
     mixer = F.pmod(F.xxhash64("doc_id", F.lit("mixer")), F.lit(MIXER_SHARE)) == 0
     training = source.filter(~F.col("held_out")).withColumn("mixer", mixer)
-    counts = staged(corpus_counts(training), "lm-counts")
+    counts = staged(corpus_counts(training), "lm-counts", batch_bytes=BATCH_BYTES)
     parts = max(PARTS, -(-counts.filter(F.col("kind") == _KIND_GRAM).count() // GRAMS_A_PART))
     known = counted(counts, parts)
-    learning = staged(blocks(training.filter("mixer").select("doc_id", "held_out", "text"), parts), "lm-mixer")
-    model = train_mixer(learning, known, low_tables(counts), parts)
+    learning = staged(sliced(training.filter("mixer").select("doc_id", "held_out", "text"), BLOCK), "lm-mixer")
+    low = shared_tables(docs.sparkSession, low_tables(counts))
+    model = train_mixer(learning, known, low, parts)
 
     words = counts.filter(F.col("kind") == _KIND_WORD).select("key", "n")
     ends = training.count()
@@ -622,8 +697,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     keys = np.array(sorted(r.key for r in frequent), np.int64)
     by_key = {r.key: r.n for r in frequent}
     top = (keys, np.array([value(by_key[k]) for k in keys.tolist()], np.float64))
-    rows = _scored(source, known, parts, model, top, ((float(value(ends)), bool(ends)), total))
-    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    rows = _scored(source, known, parts, low, model, top, ((float(value(ends)), bool(ends)), total))
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "lm-scored", batch_bytes=BATCH_BYTES)
 
     rest = rows.select("row", F.explode("rest").alias("key"))
     log = F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.5)) / F.lit(float(scale)))
