@@ -23,6 +23,7 @@ are judged by their own texts; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -33,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetsight.llm.common import mix64, slices, staged, text_buffer, word_hashes
+from fleetsight.llm import common
+from fleetsight.llm.common import mix64, slices, text_buffer, word_hashes
 from fleetsight.llm.components import components
 
 BANDS, ROWS = 50, 5
@@ -42,6 +44,9 @@ WORDS = 5
 PERCENT = 80
 BLOCK = 512  # members of a bucket that one task compares with as many others
 SLOTS = 1 << 22  # bits of the filter that picks the texts to confirm on
+BATCH_BYTES = 4 << 20  # of texts or shingle sets that a Python function gets at once
+
+staged = functools.partial(common.staged, batch_bytes=BATCH_BYTES)
 
 _EMPTY = np.uint64(1 << 63)
 _ORDER = mix64(np.arange(BINS * BINS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(BINS, BINS)
