@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
+# Texts that a Python function works on at once: its arrays take 50 to 200 bytes for each byte of text.
+PART_BYTES = 1 << 18
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
@@ -48,6 +51,16 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None, batc
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, batch_bytes: int = 4 << 20) -> None:
+    """Let the session's Arrow batches be of ``batch_bytes`` at most; a smaller bound stays.
+
+    For functions whose result runs after they return, so that ``staged`` can't bound its batches.
+    """
+    held = spark.conf.get(BATCH_CONF, None)
+    if held is None or not held.isdigit() or not 0 < int(held) <= batch_bytes:
+        spark.conf.set(BATCH_CONF, str(batch_bytes))
+
+
 def crc_remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus

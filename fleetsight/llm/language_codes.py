@@ -32,14 +32,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fleetsight.llm.common import broadcast_value, slices, staged, text_buffer
+from fleetsight.llm.common import PART_BYTES, broadcast_value, slices, staged, text_buffer
 
 SAMPLE_DOCUMENTS = 4_000  # bound of the labelled rows that are learned from
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 AMBIGUOUS = 0.5  # a runner-up of at most this much more loss
 LETTER = r"\p{L}"
-SLICE = 1 << 20
+BLOCK_BYTES = 32 << 20  # of log-odds that are looked up at once
+HELD_LANGUAGES = 32  # whose counts a task holds
 
 # letters of ASCII as themselves, other ASCII as a space, bytes of other characters as themselves
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -68,8 +69,9 @@ def grams(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np
     n_texts = len(offsets) - 1
     starts = offsets[:-1] + 2 * np.arange(n_texts)
     stream = np.full(len(raw) + 2 * n_texts, 32, np.uint32)
-    place = np.arange(len(raw)) + 2 * np.repeat(np.arange(n_texts), np.diff(offsets)) + 1
-    stream[place] = _FOLD[raw]
+    inside = np.ones(len(stream), bool)
+    inside[starts] = inside[starts + np.diff(offsets) + 1] = False
+    stream[inside] = _FOLD[raw]
     value = stream[:-1] << 8 | stream[1:]
     for n in (2, 3, 4):
         if n > 2:
@@ -92,12 +94,17 @@ def evidence(raw: np.ndarray, offsets: np.ndarray, odds: np.ndarray) -> np.ndarr
     """
     lengths = np.diff(offsets)
     total = np.zeros((len(lengths), odds.shape[1]))
+    block = max(1, BLOCK_BYTES // (odds.itemsize * max(1, odds.shape[1])))
     for keys, starts in grams(raw, offsets):
         if not len(keys):
             continue
-        sizes = np.diff(np.append(starts, len(keys)))
-        some = sizes > 0
-        total[some] += np.add.reduceat(odds[keys], starts[some], axis=0)
+        some = np.flatnonzero(np.diff(np.append(starts, len(keys))) > 0)
+        begins = starts[some]
+        for at in range(0, len(keys), block):  # a text longer than a block is summed in pieces
+            stop = min(at + block, len(keys))
+            low, high = np.searchsorted(begins, at, "right") - 1, np.searchsorted(begins, stop)
+            cuts = np.maximum(begins[low:high], at) - at
+            total[some[low:high]] += np.add.reduceat(odds[keys[at:stop]], cuts, axis=0)
     return np.sign(total) * np.log1p(np.abs(total))
 
 
@@ -155,8 +162,18 @@ def train(
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, total in sums.items():
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang]), pa.array([rows[lang]]), pa.array([at], pa.list_(pa.int64())), pa.array([total[at]], pa.list_(pa.int64()))],
+                    names=["lang", "docs", "buckets", "counts"],
+                )
+
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            parts = (part.slice(i, HELD_LANGUAGES) for part in slices(batch, "text", PART_BYTES) for i in range(0, part.num_rows, HELD_LANGUAGES))
+            for part in parts:
                 raw, offsets = text_buffer(pc.utf8_lower(part.column("text")))
                 langs = part.column("lang").to_pylist()
                 for keys, starts in grams(raw, offsets):
@@ -166,12 +183,10 @@ def train(
                         sums[lang] += np.bincount(keys[s:e], minlength=BUCKETS)
                 for lang in langs:
                     rows[lang] = rows.get(lang, 0) + 1
-        for lang, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([rows[lang]]), pa.array([at], pa.list_(pa.int64())), pa.array([total[at]], pa.list_(pa.int64()))],
-                names=["lang", "docs", "buckets", "counts"],
-            )
+                if len(sums) > HELD_LANGUAGES:  # the driver adds up what tasks give, so a language may come again
+                    yield from out()
+                    sums, rows = {}, {}
+        yield from out()
 
     sample = staged(_sample(docs, learn, id_col, text_col, lang_col, limit).repartition(8), "language-sample")
     apart = F.pmod("h", F.lit(4)) == 3
@@ -196,7 +211,7 @@ def train(
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text", PART_BYTES):
                 found = evidence(*text_buffer(pc.utf8_lower(part.column("text"))), shared.value.odds)
                 yield pa.RecordBatch.from_arrays([part.column("h"), part.column("lang"), pa.array(list(found), pa.list_(pa.float64()))], names=["h", "lang", "z"])
 
@@ -253,7 +268,7 @@ def predict(docs: DataFrame, codes: Codes, text_col: str = "text") -> DataFrame:
         codes = shared.value
         names = np.array([*codes.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for part in slices(batch, text_col, SLICE):
+            for part in slices(batch, text_col, PART_BYTES):
                 text = part.column(text_col)
                 some = np.asarray(pc.fill_null(pc.match_substring_regex(text, LETTER), False))
                 if len(codes.languages) > 1:

@@ -23,7 +23,7 @@ from fleetsight.llm import (
     secret_scan,
     warc,
 )
-from fleetsight.llm.common import crc_remainder
+from fleetsight.llm.common import bound_batches, crc_remainder
 from fleetsight.session import checkpoint_dir
 
 
@@ -99,6 +99,7 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     docs = _table(spark, sf_dir, "documents")
     held_out = crc_remainder(F.col("doc_id"), 4) == 2
     codes = language_codes.train(docs, ~held_out)

@@ -3,6 +3,7 @@
 import os
 import pickle
 import tempfile
+import tracemalloc
 import uuid
 from collections import Counter
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fleetsight.llm import common, context_mixing, minhash, tokens
+from fleetsight.llm import common, context_mixing, language_codes, minhash, tokens
 
 
 # ---- op3: new chunks ------------------------------------------------------------------------------
@@ -94,3 +95,31 @@ def test_full_sets_go_to_python_in_bounded_batches(spark, monkeypatch):
     sizes = [int(open(f"{seen}/{name}").read()) for name in os.listdir(seen)]
     assert sum(sizes) > 15_000_000 and max(sizes) < 2 * minhash.BATCH_BYTES
     assert spark.conf.get(common.BATCH_CONF) == before
+
+
+# ---- op13: what scoring holds ----------------------------------------------------------------------
+def test_log_odds_of_a_long_text_are_looked_up_in_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    odds = rng.integers(-8, 9, (language_codes.BUCKETS, 40)).astype(np.float32)
+    texts = ["", "a", "".join(rng.choice(list("abcdefg "), 600_000)), "b c", "", "word " * 9]
+    raw, offsets = common.text_buffer(pa.array(texts))
+    tracemalloc.start()
+    got = language_codes.evidence(raw, offsets, odds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70_000_000  # 600,000 places of 40 numbers are 96 MB
+    want = np.stack([sum(odds[k].astype(float).sum(axis=0) for k, _ in language_codes.grams(*common.text_buffer(pa.array([t])))) for t in texts])
+    assert np.allclose(got, np.sign(want) * np.log1p(np.abs(want)))
+    monkeypatch.setattr(language_codes, "BLOCK_BYTES", 40 * 4 * 7)  # blocks that begin and end within texts
+    few = common.text_buffer(pa.array([texts[i] for i in (0, 1, 3, 4, 5)]))
+    assert np.allclose(language_codes.evidence(*few, odds), got[[0, 1, 3, 4, 5]])
+
+
+def test_counts_of_many_languages_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(language_codes, "HELD_LANGUAGES", 3)
+    words = {f"l{i}": "".join(chr(97 + (7 * i + 3 * j * j) % 26) for j in range(9)) for i in range(12)}
+    docs = spark.createDataFrame([(40 * i + k, f"{w} " * (k % 5 + 3), lang) for i, (lang, w) in enumerate(words.items()) for k in range(40)], "doc_id long, text string, lang string")
+    codes = language_codes.train(docs, F.lit(True))
+    assert codes.languages == sorted(words)
+    got = language_codes.predict(docs, codes).select("lang", "lang_pred").collect()
+    assert all(r.lang == r.lang_pred for r in got)
