@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of ``documents``. ``run`` writes each stage's result to the shared folder and reads it back, so a
-lost executor costs at most the stage at hand.
+lost executor costs at most the stage at hand. Stages that end in a Python function bound the session's
+Arrow batches: with Spark's own bound of 64 MB, each task holds several times that outside the heap.
 """
 
 from __future__ import annotations
@@ -11,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetsight.llm import conv_classifier, minhash, mixture, packing, secret_scan
-from fleetsight.llm.common import crc_remainder, staged
+from fleetsight.llm.common import bound_batches, crc_remainder, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the convolutional classifier scores at its threshold or above."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     learnt = crc_remainder(F.col("doc_id"), 4) != 2
     net = conv_classifier.train(docs.select("doc_id", "text"), labels, learnt)
@@ -31,6 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
+    bound_batches(spark)
     return secret_scan.redact(docs.select(*COLUMNS))
 
 
@@ -41,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed sequences' pieces, with their ids."""
+    bound_batches(spark)
     return packing.pack(docs)
 
 

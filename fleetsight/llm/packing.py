@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetsight.llm import tokens
-from fleetsight.llm.common import slices
+from fleetsight.llm.common import PART_BYTES, slices
 
 WINDOW = 2048
 GROUP_WINDOWS = 128
@@ -153,7 +153,7 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW.types, strict=True)], schema=_ARROW)
 
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", PART_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 rows = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):

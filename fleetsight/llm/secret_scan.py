@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetsight.llm.common import slices
+from fleetsight.llm.common import PART_BYTES, slices
 
 # The base patterns, and the least length of a match.
 ASSIGN = re.compile(
@@ -253,7 +253,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_no
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(min_novelty=min_novelty)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 found = [scanner.spans(t or "") for t in part.column("text").to_pylist()]
                 counts = [pa.array([sum(min(k, 3) == kind for _, k, _ in spans) for spans in found], pa.int64()) for kind in range(4)]
                 base = pa.array([_listed([x for x in spans if x[1] < 3]) for spans in found], pa.string())
@@ -294,7 +294,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
         text_at = names.index(text_col)
         chars_at = names.index(chars_col) if chars_col in names else None
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, PART_BYTES):
                 columns = list(part.columns)
                 texts = columns[text_at].to_pylist()
                 clean = [t if t is None else redacted(t, spans) if (spans := scanner.spans(t)) else t for t in texts]

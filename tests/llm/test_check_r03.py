@@ -12,7 +12,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fleetsight.llm import common, context_mixing, language_codes, minhash, tokens
+import corpus_pipeline
+from fleetsight.llm import common, context_mixing, language_codes, minhash, secret_scan, tokens
 
 
 # ---- op3: new chunks ------------------------------------------------------------------------------
@@ -123,3 +124,27 @@ def test_counts_of_many_languages_are_whole(spark, monkeypatch):
     assert codes.languages == sorted(words)
     got = language_codes.predict(docs, codes).select("lang", "lang_pred").collect()
     assert all(r.lang == r.lang_pred for r in got)
+
+
+# ---- pipeline: Arrow batches of stages that end in a Python function --------------------------------
+def test_last_functions_of_stages_get_bounded_batches(spark, monkeypatch):
+    seen = tempfile.mkdtemp(prefix="fleetsight-test-")
+    usual = secret_scan.slices
+
+    def watched(batch, text, limit=1 << 22):
+        with open(f"{seen}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(batch.nbytes))
+        yield from usual(batch, text, limit)
+
+    monkeypatch.setattr(secret_scan, "slices", watched)
+    docs = spark.createDataFrame([(i, f"{i} " * 30_000, "en", "a", None) for i in range(120)], "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get(common.BATCH_CONF)
+    try:
+        assert corpus_pipeline.secrets(spark, docs, "").filter(F.length("text") > 0).count() == 120
+        spark.conf.set(common.BATCH_CONF, "1000000")
+        common.bound_batches(spark)
+        assert spark.conf.get(common.BATCH_CONF) == "1000000"
+    finally:
+        spark.conf.set(common.BATCH_CONF, before)
+    sizes = [int(open(f"{seen}/{name}").read()) for name in os.listdir(seen)]
+    assert sum(sizes) > 10_000_000 and max(sizes) < 6_000_000
